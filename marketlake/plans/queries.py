@@ -1,18 +1,547 @@
-"""The registered queries over the driver's tables, and the same in SQL."""
+"""The registered queries: each operator over the driver's tables, and the same in DuckDB's SQL.
+
+The driver's tables are no market data, so columns stand in: users, parts and customers for tickers, event types and
+brands for series.
+"""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions import scalars as S
+from marketlake.operators import audit, catalog, incremental, normalize, quality, upsert
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with market_ticker and ts_ms."""
+    events = table(spark, sf_dir, "events")
+    return events.withColumns({"ts_ms": F.unix_millis(F.col("ts").cast("timestamp")), "market_ticker": F.concat(F.lit("U"), F.col("user_id").cast("string"))})
+
+
+MS = "(epoch_us(ts) // 1000)"
+TICKER = "'U' || user_id"
+DAY_MS = 86_400_000
+
 
-def coverage_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    return events.groupBy(F.concat(F.lit("U"), "user_id").alias("market_ticker")).agg(
-        F.count("*").alias("n_rows"), F.min(ms).alias("first_ts_ms"), F.max(ms).alias("last_ts_ms")
+@query(f"SELECT {TICKER} AS market_ticker, count(*) AS n_rows, min({MS}) AS first_ts_ms, max({MS}) AS last_ts_ms FROM events GROUP BY 1")
+def coverage_by_ticker(spark, sf_dir):
+    return audit.coverage(user_events(spark, sf_dir))
+
+
+@query(
+    """
+    SELECT 'E' || event_id AS trade_id, 'U' || user_id AS market_ticker, epoch_us(ts) // 1000 AS ts_ms,
+        (event_id % 100) / 100.0::DOUBLE AS yes_price, (100 - event_id % 100) / 100.0::DOUBLE AS no_price,
+        value AS count, CASE WHEN event_type IN ('click', 'view') THEN 'yes' ELSE 'no' END AS taker_side
+    FROM events
+    """
+)
+def normalize_trades(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    price = lambda c: F.format_string("%d.%02d", (c / 100).cast("int"), (c % 100).cast("int"))
+    wire = events.select(
+        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("trade_id"),
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_time"),
+        price(F.col("event_id") % 100).alias("yes_price_dollars"),
+        price(100 - F.col("event_id") % 100).alias("no_price_dollars"),
+        F.col("value").cast("string").alias("count_fp"),
+        F.when(F.col("event_type").isin("click", "view"), "yes").otherwise("no").alias("taker_side"),
+        F.lit(False).alias("is_block_trade"),
     )
+    return normalize.normalize_trades(wire)
 
 
-QUERIES = {"coverage_by_ticker": coverage_by_ticker}
-ORACLE_SQL: dict[str, str] = {}
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, epoch_us(l_shipdate::TIMESTAMP) // 1000000 * 1000 AS ts_ms,
+        coalesce(nullif(l_discount, 0.05), l_tax) AS open, l_tax AS close, nullif(l_discount, 0.05) AS mean, l_quantity AS volume
+    FROM lineitem
+    """
+)
+def candle_fallback(spark, sf_dir):
+    text = lambda c: c.cast("string")
+    price, bid = F.nullif(F.col("l_discount"), F.lit(0.05)), F.col("l_tax")
+    none = F.lit(None).cast("string")
+    raw = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.struct(
+            F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("end_period_ts"),
+            text(F.col("l_quantity")).alias("volume"), none.alias("open_interest"),
+            F.struct(text(price).alias("open"), text(price).alias("high"), none.alias("low"), none.alias("close"), text(price).alias("mean")).alias("price"),
+            F.struct(*[text(bid).alias(b) for b in normalize.BARS]).alias("yes_bid"),
+        ).alias("c"),
+    )
+    out = raw.select("l_orderkey", "l_linenumber", F.struct(*normalize.historical_candle(F.col("c"))).alias("n"))
+    return out.select("l_orderkey", "l_linenumber", "n.ts_ms", "n.open", "n.close", "n.mean", "n.volume")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
+def json_field(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", S.number(F.get_json_object("props", "$.k")).alias("k"))
+
+
+@query(
+    """
+    SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value
+    FROM events GROUP BY ALL
+    """
+)
+def upsert_keep_last(spark, sf_dir):
+    rows = user_events(spark, sf_dir).select("user_id", S.day_of("ts_ms").alias("day"), "event_id", "value")
+    old, new = rows.where(F.col("event_id") % 3 == 0), rows.where(F.col("event_id") % 3 != 0)
+    both = old.unionByName(new).withColumn("_seq", F.col("event_id"))
+    return upsert.keep_last(both, ["user_id", "day"])
+
+
+@query(
+    f"""
+    WITH e AS (SELECT *, {MS} // {DAY_MS} AS day, median({MS}) OVER () AS cut, {MS} AS ms FROM events)
+    SELECT user_id, day FROM e WHERE ms >= cut GROUP BY ALL
+    EXCEPT SELECT user_id, day FROM e WHERE ms < cut
+    """
+)
+def upsert_net_new(spark, sf_dir):
+    rows = user_events(spark, sf_dir).select("user_id", "ts_ms", F.floor(F.col("ts_ms") / DAY_MS).alias("day"))
+    cut = rows.agg(F.percentile("ts_ms", F.lit(0.5)).alias("cut"))
+    cutoff = cut.first()["cut"]
+    return upsert.net_new(rows.where(F.col("ts_ms") < cutoff), rows.where(F.col("ts_ms") >= cutoff), ["user_id", "day"])
+
+
+@query(
+    f"""
+    SELECT event_id AS trade_id, {TICKER} AS market_ticker, {MS} AS ts_ms,
+        CASE WHEN event_id % 5 < 3 THEN 'historical' ELSE 'live' END AS tape FROM events
+    """
+)
+def union_tapes_dedupe(spark, sf_dir):
+    events = user_events(spark, sf_dir).select(F.col("event_id").alias("trade_id"), "market_ticker", "ts_ms")
+    live = events.where(F.col("trade_id") % 5 >= 2).withColumn("tape", F.lit("live"))
+    old = events.where(F.col("trade_id") % 5 < 3).withColumn("tape", F.lit("historical"))
+    both = live.unionByName(old).withColumn("_seq", normalize.tape_rank("tape"))
+    return upsert.keep_last(both, ["trade_id"])
+
+
+def _levels(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return events.select(
+        F.lit(0).cast("long").alias("ts_ms"), F.col("user_id").cast("string").alias("market_ticker"), F.col("event_type").alias("side"),
+        F.col("value").alias("price"), (F.col("event_id") % 10 + 1).cast("double").alias("quantity"), F.col("event_id").alias("pos"),
+    )
+
+
+@query(
+    """
+    SELECT CAST(0 AS BIGINT) AS ts_ms, CAST(user_id AS VARCHAR) AS market_ticker, event_type AS side, value AS price,
+        CAST(event_id % 10 + 1 AS DOUBLE) AS quantity,
+        sum(CAST(event_id % 10 + 1 AS DOUBLE)) OVER (w ROWS UNBOUNDED PRECEDING) AS cumulative_qty,
+        row_number() OVER w - 1 AS distance_from_top
+    FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY value DESC, event_id)
+    """
+)
+def book_ladder(spark, sf_dir):
+    return normalize.ladder(_levels(spark, sf_dir))
+
+
+@query(
+    """
+    WITH b AS (
+        SELECT CAST(user_id AS VARCHAR) AS market_ticker, max(value) FILTER (WHERE event_type = 'click') / 1000 AS yes_bid,
+            max(value) FILTER (WHERE event_type <> 'click') / 1000 AS no_bid
+        FROM events GROUP BY 1
+    )
+    SELECT CAST(0 AS BIGINT) AS ts_ms, market_ticker, yes_bid, no_bid, 1 - no_bid AS yes_ask, 1 - yes_bid AS no_ask,
+        1 - no_bid - yes_bid AS spread, (1 - no_bid + yes_bid) / 2 AS mid
+    FROM b
+    """
+)
+def top_of_book(spark, sf_dir):
+    side = F.when(F.col("side") == "click", "YES").otherwise("NO")
+    levels = _levels(spark, sf_dir).withColumns({"side": side, "price": F.col("price") / 1000})
+    return normalize.top_of_book(normalize.ladder(levels))
+
+
+@query(
+    """
+    SELECT o_orderkey, coalesce(c.c_mktsegment, split_part(o_orderpriority, '-', 1)) AS series_ticker,
+        coalesce(c.c_name, o_orderpriority || '/' || o_custkey) AS event_ticker
+    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) c ON o_custkey = c_custkey
+    """
+)
+def ticker_meta_join(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws("/", "o_orderpriority", F.col("o_custkey").cast("string")).alias("market_ticker"), "o_custkey")
+    customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 != 0)
+    named = orders.select("market_ticker", "o_custkey").distinct().join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    meta = named.select("market_ticker", F.col("c_mktsegment").alias("series_ticker"), F.col("c_name").alias("event_ticker"))
+    return catalog.with_ticker_meta(orders, meta, ()).select("o_orderkey", "series_ticker", "event_ticker")
+
+
+@query("SELECT c_custkey AS market_ticker FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995)")
+def missing_daily(spark, sf_dir):
+    stored = table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1995).select(F.col("o_custkey").alias("market_ticker"))
+    return audit.missing_tickers(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("market_ticker")), stored)
+
+
+@query("SELECT event_id, user_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def focus_semi(spark, sf_dir):
+    focus = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("market_ticker"))
+    return incremental.only(table(spark, sf_dir, "events").withColumn("market_ticker", F.col("user_id")), focus).select("event_id", "user_id")
+
+
+def _tier_rows(spark, sf_dir, status: str):
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status)
+    return orders.select(F.col("o_custkey").alias("event_ticker"), F.col("o_orderkey").cast("string").alias("market_ticker"), F.lit(status).alias("source"))
+
+
+@query(
+    """
+    WITH t AS (SELECT o_custkey, o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS tier FROM orders)
+    SELECT o_custkey AS event_ticker, CAST(o_orderkey AS VARCHAR) AS market_ticker, o_orderstatus AS source
+    FROM t QUALIFY tier = min(tier) OVER (PARTITION BY o_custkey)
+    """
+)
+def market_tiers(spark, sf_dir):
+    events = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("event_ticker"))
+    return catalog.markets_of_events(events, *[_tier_rows(spark, sf_dir, s) for s in "PFO"])
+
+
+@query(
+    """
+    WITH t AS (SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS tier FROM orders),
+    b AS (SELECT o_custkey, min(struct_pack(tier := tier, pos := o_orderkey)) AS m FROM t GROUP BY 1)
+    SELECT CAST(c_custkey AS VARCHAR) AS event_ticker, CAST(coalesce(m.pos, CASE WHEN c_custkey % 2 = 0 THEN c_custkey END) AS VARCHAR) AS market_ticker
+    FROM customer LEFT JOIN b ON c_custkey = o_custkey
+    """
+)
+def first_market(spark, sf_dir):
+    as_text = lambda df: df.withColumns({"event_ticker": F.col("event_ticker").cast("string"), "pos": F.col("market_ticker").cast("long")})
+    events = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("event_ticker"))
+    known = events.where(F.col("event_ticker").cast("long") % 2 == 0).select(F.col("event_ticker").alias("market_ticker"))
+    return catalog.market_of_event(events, *[as_text(_tier_rows(spark, sf_dir, s)) for s in "PFO"], known_markets=known)
+
+
+@query(
+    """
+    WITH l AS (SELECT o_custkey, max(epoch_us(o_orderdate::TIMESTAMP) // 1000) AS ms FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+    h AS (SELECT o_custkey, max(epoch_us(o_orderdate::TIMESTAMP) // 1000) AS ms FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+    SELECT c_custkey AS market_ticker, coalesce(l.ms, h.ms) AS open_ts_ms, 'unknown' AS expiration,
+        CASE WHEN l.ms IS NOT NULL THEN 'P' WHEN h.ms IS NOT NULL THEN 'F' ELSE 'unknown' END AS status
+    FROM customer LEFT JOIN l ON c_custkey = l.o_custkey LEFT JOIN h ON c_custkey = h.o_custkey
+    """
+)
+def meta_tiers(spark, sf_dir):
+    def tier(status):
+        orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
+        payload = orders.select(
+            F.col("o_custkey").alias("ticker"), F.date_format(F.col("d").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("open_time"),
+            F.lit("").alias("expiration_time"), F.lit(None).cast("string").alias("latest_expiration_time"), F.lit(status).alias("status"),
+        )
+        return catalog.metadata_columns(payload)
+
+    tickers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("market_ticker"))
+    return catalog.market_metadata(tickers, tier("P"), tier("F"))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS event_ticker, arg_min(event_type, event_id) AS title FROM events GROUP BY 1")
+def event_first_title(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("event_ticker"), "event_id", F.col("event_type").alias("title"))
+    return catalog.first_by(rows, "event_ticker", "event_id").drop("event_id")
+
+
+AS_OF = 904_608_000_000  # 1998-09-01
+
+
+def _daily(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("market_ticker"), F.col("p_brand").alias("series_ticker"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("market_ticker"), F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts_ms"), F.col("l_quantity").alias("volume"))
+    return lines.join(parts, "market_ticker")
+
+
+_AUDIT_SQL = f"""
+    SELECT l_partkey AS ticker, p_brand AS series, count(*) AS daily_rows, min(ms) AS first_ts_ms, max(ms) AS last_ts_ms,
+        sum(l_quantity) AS total_volume, sum(CASE WHEN ms >= {AS_OF - 30 * DAY_MS} THEN l_quantity ELSE 0 END) AS recent_volume_30d
+    FROM (SELECT *, epoch_us(l_shipdate::TIMESTAMP) // 1000 AS ms FROM lineitem) JOIN part ON l_partkey = p_partkey GROUP BY ALL
+"""
+_DENSE_SQL = f"""
+    SELECT *, CASE WHEN total_volume >= 1000 OR recent_volume_30d >= 100 THEN 'dense' ELSE 'sparse' END AS hourly_expectation,
+        CASE WHEN recent_volume_30d >= 500 THEN 'dense' ELSE 'sparse' END AS minute_expectation FROM ({_AUDIT_SQL})
+"""
+
+
+@query(_DENSE_SQL)
+def audit_ticker(spark, sf_dir):
+    return audit.audit_tickers(_daily(spark, sf_dir), AS_OF)
+
+
+@query(
+    f"""
+    SELECT series, grouping(series) = 1 AS is_total, count(*) AS n_tickers, CAST(sum(daily_rows) AS BIGINT) AS daily_rows, sum(total_volume) AS total_volume,
+        sum(recent_volume_30d) AS recent_volume_30d,
+        CASE WHEN grouping(series) = 0 THEN count(*) FILTER (WHERE hourly_expectation = 'dense') END AS dense_hourly,
+        CASE WHEN grouping(series) = 0 THEN count(*) FILTER (WHERE minute_expectation = 'dense') END AS dense_minute
+    FROM ({_DENSE_SQL}) GROUP BY ROLLUP (series)
+    """
+)
+def audit_series(spark, sf_dir):
+    return audit.audit_series(audit.audit_tickers(_daily(spark, sf_dir), AS_OF))
+
+
+@query("SELECT c_mktsegment AS category, count(*) AS n FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1")
+def category_counts(spark, sf_dir):
+    return catalog.category_counts(table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("category")))
+
+
+@query("SELECT c_custkey, c_mktsegment AS category FROM customer WHERE coalesce(c_mktsegment ILIKE '%build%', false)")
+def category_contains(spark, sf_dir):
+    return catalog.in_category(table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("category")), "Build")
+
+
+@query(
+    """
+    WITH m AS (SELECT r_name AS series, n_name, c_custkey FROM region JOIN nation ON r_regionkey = n_regionkey JOIN customer ON c_nationkey = n_nationkey)
+    SELECT series, count(DISTINCT n_name) AS n_events, count(*) AS n_markets, count(DISTINCT c_custkey) AS n_tickers FROM m GROUP BY series
+    UNION ALL SELECT NULL, count(DISTINCT n_name), count(*), count(DISTINCT c_custkey) FROM m
+    """
+)
+def catalog_counts(spark, sf_dir):
+    nations = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("r_regionkey") == F.col("n_regionkey"))
+    text = lambda c: F.col(c).cast("string")
+    both = nations.join(table(spark, sf_dir, "customer"), F.col("c_nationkey") == F.col("n_nationkey"))
+    markets = both.select(
+        F.col("r_name").alias("series"), F.col("n_name").alias("event_ticker"), text("c_custkey").alias("market_ticker"), F.col("c_name").alias("title"),
+        F.col("c_mktsegment").alias("status"), F.lit("historical").alias("source"),
+    )
+    events = both.select(F.col("r_name").alias("series"), F.col("n_name").alias("event_ticker"), F.col("n_name").alias("title"))
+    counts = catalog.catalog_counts(catalog.build_catalog(events, markets))
+    return counts.select("series", *[F.col(c).cast("long").alias(c) for c in ("n_events", "n_markets", "n_tickers")])
+
+
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1-%' THEN '1' WHEN o_orderpriority LIKE '2-%' THEN '2' ELSE split_part(o_orderpriority, '-', 1) END AS of_market,
+        'KX' || regexp_replace(o_orderpriority, '-[^-]*$', '') AS of_event
+    FROM orders
+    """
+)
+def prefix_split(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", S.series_of_market("o_orderpriority", ("1", "2")).alias("of_market"), S.series_of_event("o_orderpriority").alias("of_event"))
+
+
+@query(
+    """
+    WITH s AS (SELECT DISTINCT CASE WHEN o_orderkey % 2 = 0 THEN 'KX' ELSE '' END || split_part(o_orderpriority, '-', 1) AS series FROM orders)
+    SELECT series, 0 AS variant_pos, CASE WHEN series LIKE 'KX%' THEN series ELSE 'KX' || series END AS variant FROM s
+    UNION ALL SELECT series, 1, CASE WHEN series LIKE 'KX%' THEN substr(series, 3) ELSE series END FROM s
+    """
+)
+def variants(spark, sf_dir):
+    name = F.concat(F.when(F.col("o_orderkey") % 2 == 0, "KX").otherwise(""), F.split_part(F.col("o_orderpriority"), F.lit("-"), F.lit(1)))
+    return catalog.series_variants(table(spark, sf_dir, "orders").select(name.alias("series")).distinct())
+
+
+@query(
+    f"""
+    WITH l AS (SELECT user_id, max({MS}) AS ms FROM events GROUP BY 1), o AS (SELECT c_custkey, 725846400000 + c_custkey * 1000 AS open_ms FROM customer WHERE c_custkey % 4 <> 0),
+    p AS (SELECT c.c_custkey AS market_ticker, coalesce(ms // 1000, open_ms // 1000) AS start_s FROM customer c LEFT JOIN l ON c.c_custkey = user_id LEFT JOIN o ON c.c_custkey = o.c_custkey),
+    m AS (SELECT max(ms) // 1000 - 86400 AS as_of FROM l)
+    SELECT market_ticker, start_s, CASE WHEN start_s IS NULL THEN 'no stored rows and no open time' WHEN start_s >= as_of THEN 'up to date' END AS reason FROM p, m
+    """
+)
+def resume_points(spark, sf_dir):
+    stored = user_events(spark, sf_dir).select(F.col("user_id").alias("market_ticker"), "ts_ms")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("market_ticker"))
+    meta = customers.where(F.col("market_ticker") % 4 != 0).withColumn("open_ts_ms", F.lit(725_846_400_000) + F.col("market_ticker") * 1000)
+    as_of = stored.agg(F.max("ts_ms")).first()[0] // 1000 - incremental.DAY
+    return incremental.resume_points(customers, stored, meta, as_of)
+
+
+def _tape(spark, sf_dir):
+    return user_events(spark, sf_dir).select(F.col("event_id").alias("trade_id"), "market_ticker", "ts_ms")
+
+
+@query(
+    f"""
+    WITH t AS (SELECT event_id AS trade_id, {TICKER} AS market_ticker, {MS} AS ts_ms FROM events),
+    c AS (SELECT market_ticker, arg_max(ts_ms, (ts_ms, trade_id)) AS cutoff FROM t WHERE trade_id % 4 = 0 GROUP BY 1)
+    SELECT t.* FROM t LEFT JOIN c USING (market_ticker) WHERE cutoff IS NULL OR ts_ms > cutoff
+    """
+)
+def trades_after_cutoff(spark, sf_dir):
+    tape = _tape(spark, sf_dir)
+    return incremental.new_trades(tape, tape.where(F.col("trade_id") % 4 == 0), "strict_ts")
+
+
+@query(f"SELECT event_id AS trade_id, {TICKER} AS market_ticker, {MS} AS ts_ms FROM events WHERE event_id % 4 <> 0 AND {MS} >= 1704067200000")
+def trades_not_stored(spark, sf_dir):
+    tape = _tape(spark, sf_dir)
+    return incremental.new_trades(tape, tape.where(F.col("trade_id") % 4 == 0), "anti_join", since_ms=1_704_067_200_000)
+
+
+@query(f"SELECT {TICKER} AS market_ticker, arg_max(event_id, ({MS}, event_id)) AS last_trade_id FROM events GROUP BY 1")
+def latest_trade(spark, sf_dir):
+    return incremental.latest_trades(_tape(spark, sf_dir))
+
+
+@query(
+    f"""
+    WITH p AS (SELECT o_custkey AS market_ticker, min(epoch_us(o_orderdate::TIMESTAMP)) // 1000000 AS start_s FROM orders GROUP BY 1)
+    SELECT market_ticker, start_s + i * 31536000 AS window_start_s, least(start_s + (i + 1) * 31536000, {AS_OF // 1000}) AS window_end_s
+    FROM (SELECT *, unnest(range(0, CAST(ceil(({AS_OF // 1000} - start_s) / 31536000.0) AS BIGINT))) AS i FROM p WHERE start_s < {AS_OF // 1000})
+    """
+)
+def backfill_windows(spark, sf_dir):
+    first = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("market_ticker")).agg(F.min(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))).alias("start_s"))
+    return incremental.windows(first, AS_OF // 1000, 1440)
+
+
+@query(
+    """
+    SELECT l_orderkey AS market_ticker, epoch_us(max(l_shipdate)::TIMESTAMP) // 1000000 AS window_start_s
+    FROM lineitem GROUP BY l_orderkey HAVING count(*) >= 5 AND max(l_shipdate) > min(l_shipdate)
+    """
+)
+def truncated_pages(spark, sf_dir):
+    seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
+    pages = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("market_ticker")).agg(
+        F.min(seconds).alias("start_ts"), F.max(seconds).alias("adjusted_end_ts"), (F.count("*") * 1000).alias("n_candles")
+    )
+    return incremental.truncated_pages(pages)
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS ym, year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n FROM orders GROUP BY ALL")
+def partition_counts(spark, sf_dir):
+    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    return table(spark, sf_dir, "orders").groupBy(S.year_month(ms).alias("ym"), S.year_of(ms).cast("long").alias("year"), S.month_of(ms).cast("long").alias("month")).agg(F.count("*").alias("n"))
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, 'price' AS violated, l_discount AS found FROM lineitem WHERE l_discount < 0.02 OR l_discount > 0.08
+    """
+)
+def dq_violations(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_discount").alias("price"))
+    return quality.violations(rows, low=0.02, high=0.08).drop("price")
+
+
+@query("SELECT p_partkey, p_name AS title FROM part WHERE contains(p_name, 'above_below_between')")
+def template_titles(spark, sf_dir):
+    return quality.template_titles(table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("title")))
+
+
+@query(
+    """
+    SELECT 'orders' AS dataset, CAST(o_custkey AS VARCHAR) AS market_ticker, 'no price' AS reason, count(*) AS n
+    FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL
+    """
+)
+def quarantined(spark, sf_dir):
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("market_ticker"), S.number(price).alias("price"))
+    _, bad = quality.split_bad(rows, "orders", ("market_ticker", "price"))
+    return bad.groupBy("dataset", "market_ticker", "reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    """
+    SELECT count(*) FILTER (WHERE c_acctbal >= 0) AS processed, count(*) FILTER (WHERE c_acctbal < 0) AS skipped,
+        CAST(7 AS BIGINT) AS rows_written, CAST(0.5 AS DOUBLE) AS elapsed_sec
+    FROM customer
+    """
+)
+def run_counters(spark, sf_dir):
+    points = table(spark, sf_dir, "customer").select(F.when(F.col("c_acctbal") < 0, F.lit("in debt")).alias("reason"))
+    return quality.run_counters(points, 7, 0.5)
+
+
+@query("SELECT DISTINCT o_custkey AS market_ticker FROM orders ORDER BY 1 LIMIT 25")
+def limit_sorted(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("market_ticker")).distinct().orderBy("market_ticker").limit(25)
+
+
+def _candle_rows(spark, sf_dir):
+    """events as daily candles: one per user and day and, before merging, several."""
+    rows = user_events(spark, sf_dir)
+    price = F.round(F.col("value") % 1, 6)
+    return rows.select(
+        (F.floor(F.col("ts_ms") / DAY_MS) * DAY_MS).alias("ts_ms"), *[price.alias(b) for b in (*normalize.BARS, "mean")], F.col("value").alias("volume"),
+        F.col("event_id").cast("double").alias("open_interest"), "market_ticker", F.col("market_ticker").alias("event_ticker"), F.col("event_type").alias("kind"), "event_id",
+        F.lit("ALL").alias("series_ticker"),
+    )
+
+
+_STORED_SQL = f"""
+    SELECT market_ticker, ts_ms, max(event_id) AS last_event, arg_max(value, event_id) AS volume
+    FROM (SELECT *, {TICKER} AS market_ticker, {MS} // {DAY_MS} * {DAY_MS} AS ts_ms FROM events) GROUP BY ALL
+"""
+
+
+@query(_STORED_SQL)
+def table_upsert(spark, sf_dir):
+    """Two upserts into a stored table, the second with newer and repeated rows, and the table read back."""
+    daily = upsert.tables()["daily"]
+    rows = _candle_rows(spark, sf_dir)
+    root = scratch(spark, "upsert")
+    first = rows.where(F.col("event_id") % 2 == 0)
+    upsert.upsert(first.select(*daily.schema.names, "event_id"), root, daily, "event_id")
+    upsert.upsert(rows.select(*daily.schema.names, "event_id"), root, daily, "event_id")
+    return upsert.read_table(spark, root, daily).select("market_ticker", "ts_ms", F.col("open_interest").cast("long").alias("last_event"), "volume")
+
+
+@query(_STORED_SQL)
+def stream_upsert(spark, sf_dir):
+    """The same from files that land out of order, as a stream that ends when all are taken."""
+    daily = upsert.tables()["daily"]
+    root = scratch(spark, "stream")
+    raw = _candle_rows(spark, sf_dir).select(*daily.schema.names, "event_id")
+    raw.repartition(4, F.col("event_id") % 7).write.parquet(f"{root}/landing")
+    pages = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+
+    def merge(batch: DataFrame, _: int) -> None:
+        old = upsert.read_table(batch.sparkSession, root, daily).select(*daily.schema.names).withColumn("event_id", F.col("open_interest").cast("long"))
+        upsert.upsert(old.join(batch.select(*upsert_keys).distinct(), upsert_keys, "left_semi").unionByName(batch), root, daily, "event_id")
+
+    upsert_keys = list(daily.key)
+    pages.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return upsert.read_table(spark, root, daily).select("market_ticker", "ts_ms", F.col("open_interest").cast("long").alias("last_event"), "volume")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared folder (spark.checkpoint.dir), or a local one where that is unset."""
+    import atexit
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    local = tempfile.mkdtemp(prefix=f"marketlake-{name}-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
+    return local
+
+
+@query(f"SELECT brand AS series, sum(volume) AS volume, count(*) AS n FROM (SELECT p_brand AS brand, l_quantity AS volume FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY 1")
+def volume_by_series(spark, sf_dir):
+    return _daily(spark, sf_dir).groupBy(F.col("series_ticker").alias("series")).agg(F.sum("volume").alias("volume"), F.count("*").alias("n"))
