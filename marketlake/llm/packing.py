@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ END = 2
 #: Documents in a group, on average.
 GROUP_DOCS = 8192
 #: Words whose ids a Python worker remembers, and the longest of them.
-MEMORY_WORDS, MEMORY_LENGTH = 400_000, 48
+MEMORY_WORDS, MEMORY_LENGTH = 1_000_000, 48
+#: Texts that are encoded together.
+BATCH = 256
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 _ENCODERS: dict[str, Encoder] = {}
@@ -29,7 +32,8 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer's ids of a text are those of its stretches between white space, one after another: white space ends
-    every word and is dropped. So a stretch is encoded once and remembered.
+    every word and is dropped. So a stretch is encoded once and remembered. Of a stretch of letters with one mark
+    behind it, letters and mark are words of their own; and ASCII capitals are lower-cased anyway.
     """
 
     def __init__(self, name: str):
@@ -38,31 +42,54 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # ids that end a word
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in found]
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word: those of letters only as one text, cut where words end, others one by one."""
+        letters = [w for w in words if w.isalpha()]
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.empty(0, dtype=np.int64)
+        out: dict[str, bytes] = {}
+        if len(cuts) == len(letters) and (not len(cuts) or cuts[-1] == len(ids)):
+            data, at = ids.tobytes(), 0
+            for w, end in zip(letters, (cuts * 4).tolist()):
+                out[w] = data[at:end]
+                at = end
+        rest = [w for w in words if w not in out]
+        out.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        return out
 
-    def ids(self, text: str | None) -> bytes:
-        text = text or ""
-        words = text.split() if not _SEPARATORS.search(text) else [w for w in _SPACE.split(text) if w]  # \x1c-\x1f are no white space here
+    def _learn(self, fresh: set[str]) -> dict[str, bytes]:
+        """Ids of stretches that are not known, by way of the letters in them."""
+        core = {}
+        for w in fresh:
+            c = w[:-1] if len(w) > 1 and w[-1] in ".,;:" and w[-2].isalpha() else w
+            core[w] = c.lower() if c.isascii() and c.isalpha() else c
+        marks = {w[-1] for w, c in core.items() if len(c) < len(w)}
+        needed = {*core.values(), *marks}
+        ids = {c: self.known[c] for c in needed if c in self.known}
+        ids |= self._encode(sorted(needed.difference(ids)))
+        out = {w: ids[c] if len(c) == len(w) else ids[c] + ids[w[-1]] for w, c in core.items()}
+        return out | ids
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text of a batch; new words are learned first, and forgotten all at once when they are too many."""
+        each = [_stretches(t or "") for t in texts]
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        fresh = list(set(words).difference(known))
-        here = dict(zip(fresh, self._encode(fresh)))
-        if len(known) + len(fresh) > MEMORY_WORDS:
+        if len(known) > MEMORY_WORDS:
             known.clear()
-        out = b"".join([here[w] if w in here else known[w] if w in known else self._once(w, here) for w in words])
-        known.update((w, b) for w, b in here.items() if len(w) <= MEMORY_LENGTH)
+        known.update(self._learn(set().union(*each).difference(known)))
+        out = [b"".join(map(known.__getitem__, words)) for words in each]
+        for w in [w for words in each for w in words if len(w) > MEMORY_LENGTH]:
+            known.pop(w, None)
         return out
 
-    def _once(self, word: str, here: dict[str, bytes]) -> bytes:
-        here[word] = self._encode([word])[0]
-        return here[word]
+
+def _stretches(text: str) -> list[str]:
+    """What stands between white space, of which the tokenizer does not count \x1c to \x1f."""
+    return [w for w in _SPACE.split(text) if w] if _SEPARATORS.search(text) else text.split()
 
 
 def encoder(name: str) -> Encoder:
@@ -109,14 +136,14 @@ def pieces_of(docs: DataFrame, space: int, tokenizer: str) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end = encoder(tokenizer), END.to_bytes(4, "little")
         for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                ids = enc.ids(text if isinstance(text, str) else None) + end
-                total = len(ids) // 4
-                salt = zlib.crc32(ids)
-                rows += [(doc, at, min(space, total - at), zlib.crc32(ids[4 * at : 4 * (at + space)]), total, salt) for at in range(0, total, space)]
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
-            yield out.astype({"doc_id": "Int64"})
+            for at in range(0, len(pdf), BATCH):
+                part = pdf.iloc[at : at + BATCH]
+                rows = []
+                for doc, ids in zip(part["doc_id"], enc.ids([t if isinstance(t, str) else None for t in part["text"]])):
+                    ids += end
+                    total, salt = len(ids) // 4, zlib.crc32(ids)
+                    rows += [(doc, k, min(space, total - k), zlib.crc32(ids[4 * k : 4 * (k + space)]), total, salt) for k in range(0, total, space)]
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"]).astype({"doc_id": "Int64"})
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return slim.mapInPandas(cut, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, salt bigint")
