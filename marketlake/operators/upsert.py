@@ -33,10 +33,11 @@ def merged(old: DataFrame, new: DataFrame, key: Sequence[str], order: str | None
     """old and new under keep-last. Any new row beats any old one, new ones by `order` among themselves; rows of old
     have no order of their own."""
     o = F.col(order) if order else F.lit(0)
-    a = old.select("*", F.struct(F.lit(0).alias("side"), F.lit(None).cast(new.schema[order].dataType if order else "int").alias("o")).alias("_seq"))
-    b = new.select("*", F.struct(F.lit(1).alias("side"), o.alias("o")).alias("_seq"))
+    none = F.lit(None).cast(new.schema[order].dataType if order else "int")
+    a = old.withColumn("_merge", F.struct(F.lit(0).alias("side"), none.alias("o")))
+    b = new.withColumn("_merge", F.struct(F.lit(1).alias("side"), o.alias("o")))
     b = b.drop(order) if order and order not in old.columns else b
-    return keep_last(a.unionByName(b), key)
+    return keep_last(a.unionByName(b), key, "_merge")
 
 
 def net_new(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
