@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,19 +165,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
     ship(docs.sparkSession)
     flag: Column | None = None
     for items in blocks_of(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        here = _holder(docs.sparkSession.sparkContext.broadcast(items), rate, min_words)(F.col(text))
+        flag = here if flag is None else flag | here
+    return flag
 
-        @F.pandas_udf("boolean")
-        def holds(series: Iterator, sent=sent) -> Iterator:
-            import pandas as pd
 
-            pieces = Pieces(sent.value, rate, min_words)
-            for s in series:
-                yield pd.Series([bool(m) for m in matched([t if isinstance(t, str) else None for t in s], pieces)], dtype=bool)
+def _holder(sent, rate: float, min_words: int):
+    @F.pandas_udf("boolean")
+    def holds(each: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        pieces = Pieces(sent.value, rate, min_words)
+        for texts in each:
+            yield pd.Series([bool(m) for m in matched([t if isinstance(t, str) else None for t in texts], pieces)], dtype=bool)
 
-        here = holds(F.col(text))
-        flag = here if flag is None else flag | here
-    return flag
+    return holds
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min_words: int = MIN_WORDS) -> DataFrame:

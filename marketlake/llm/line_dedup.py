@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
+
 #: A line on more than this share of a host's pages is boilerplate ...
 RATIO = 0.05
 #: ... if it is on this many pages at least.
 MIN_PAGES = 3
+#: Boilerplate lines, of 16 bytes each, up to which their lists are broadcast.
+BROADCAST_LINES = 500_000
 
 
 def _lines(text: str | Column) -> Column:
@@ -49,14 +53,15 @@ def drop_boilerplate_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int
     nothing and stay.
 
     A host has at most (mean lines of its pages) / ratio such lines, so its list fits a row; the lists are joined to
-    the pages by host. Spark broadcasts them if they are below its threshold, and else splits the pages of a hot host
-    (AQE skew join).
+    the pages by host. They are counted first: up to BROADCAST_LINES lines are broadcast and pages stay where they
+    are; beyond that pages are shuffled by host, and Spark splits those of a hot host (AQE skew join).
 
     Defined cases: a null text stays null and is a page without lines; a null host is no site, its pages stay as they
     are; a text of boilerplate only becomes empty; repeated rows are all kept, and count as one page.
     """
-    found = boilerplate_lines(docs, ratio, min_pages, host, text)
+    found = written(boilerplate_lines(docs, ratio, min_pages, host, text).select("host", "a", "b"), "boilerplate")
     lists = found.groupBy(F.col("host").alias("__site")).agg(F.collect_list(F.struct("a", "b")).alias("__drop"))
+    lists = F.broadcast(lists) if found.count() <= BROADCAST_LINES else lists
     marked = docs.join(lists, F.col(host) == F.col("__site"), "left")
     here = F.array_intersect(_keys(text), F.col("__drop"))
     kept = F.array_join(F.filter(_lines(F.col(text)), lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__here"), _key(x))), "\n")
