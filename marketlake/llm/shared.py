@@ -52,18 +52,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read back: it is computed once, its lineage ends there, and it
-    outlives any executor."""
+    outlives any executor. The table goes when the application ends."""
     path = f"{shared_folder(df.sparkSession)}/marketlake/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    fs, p = _hadoop(df.sparkSession, path)
+    fs.deleteOnExit(p)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written(df: DataFrame) -> None:
     """Deletes the files of a table that written() made and that nothing reads any more."""
-    spark = df.sparkSession
     for path in {f.rpartition("/")[0] for f in df.inputFiles() if "/marketlake/" in f}:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = _hadoop(df.sparkSession, path)
+        fs.delete(p, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Hadoop's objects."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def _slices(data: bytes) -> Iterator[bytes]:
