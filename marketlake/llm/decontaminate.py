@@ -69,33 +69,48 @@ class Pieces:
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[np.fromiter(self.at, np.uint64, len(self.at)) >> np.uint64(64 - _TABLE_BITS)] = True
 
-    def hits(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(item, where it would begin) for each piece that a run of words holds."""
+    def places(self, words: np.ndarray) -> dict[int, set[int]]:
+        """For each item of which a run of words holds a piece: where the item would begin."""
+        found: dict[int, set[int]] = {}
         for n in sorted(self.lengths):
             g = grams(words, n)
             for p in np.flatnonzero(self.table[g >> np.uint64(64 - _TABLE_BITS)]):
                 for item, a in self.at.get(int(g[p]), ()):
-                    yield item, int(p) - a
+                    found.setdefault(item, set()).add(int(p) - a)
+        return found
 
     def matches(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, distance, begin, end) of each item's best match in a text's words."""
+        """(item, distance, begin, end) of each item's best match in a text's words.
+
+        Windows around the places overlap where a text repeats a piece; what they cover is searched once, so the work
+        for an item is at most in proportion to the text.
+        """
         found: dict[int, tuple[int, int, int]] = {}
-        seen: dict[int, set[int]] = {}
-        for item, begin in self.hits(words):
-            if begin in seen.setdefault(item, set()):
-                continue
-            seen[item].add(begin)
+        for item, begins in self.places(words).items():
             _, pattern, budget = self.items[item]
-            low = max(0, begin - budget)
-            window = words[low : begin + len(pattern) + budget]
-            distance, end = distance_in(pattern, window)
-            if distance <= budget:
-                back, length = distance_in(pattern[::-1], window[:end][::-1])
-                start = end - length if back == distance else max(0, end - len(pattern))
-                found[item] = min(found.get(item, (1 << 30, 0, 0)), (distance, low + start, low + end))
+            for low, high in joined_windows(begins, budget, len(pattern) + budget, len(words)):
+                distance, end = distance_in(pattern, words[low:high])
+                if distance <= budget:
+                    back, length = distance_in(pattern[::-1], words[max(low, low + end - len(pattern) - budget) : low + end][::-1])
+                    start = end - length if back == distance else max(0, end - len(pattern))
+                    found[item] = min(found.get(item, (1 << 30, 0, 0)), (distance, low + start, low + end))
         return [(item, *f) for item, f in sorted(found.items())]
 
 
+def joined_windows(begins: set[int], before: int, behind: int, size: int) -> Iterator[tuple[int, int]]:
+    """The windows [begin - before, begin + behind) inside [0, size), overlapping ones as one."""
+    low = high = -1
+    for begin in sorted(begins):
+        a, b = max(0, begin - before), min(size, begin + behind)
+        if a > high:
+            if high > low:
+                yield low, high
+            low = a
+        high = max(high, b)
+    if high > low:
+        yield low, high
+
+
 def matched(texts: list[str | None], pieces: Pieces) -> list[list[tuple[int, int, int, int]]]:
     """The matches in each text. Pieces are looked up over many texts at once; texts that hold one are verified."""
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
