@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from .shared import ship, written
 
-#: Vectors in a shard, queries in a block (on average), vectors in a leaf.
-SHARD_ROWS, BLOCK_ROWS, LEAF = 16384, 2048, 64
+#: Vectors in a shard and queries in a block (on average), vectors in a leaf, queries whose bounds are made at a time.
+SHARD_ROWS, BLOCK_ROWS, LEAF, CHUNK = 8192, 32768, 64, 512
 SCALE = 256
+TOP = (1 << 63) - 1
 
 
 class Tree:
@@ -99,26 +100,53 @@ def _stacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["vec_id"].to_numpy(dtype=np.int64), vectors
 
 
+Queries = dict[int, tuple[np.ndarray, np.ndarray, dict[int, int]]]  # by dimension: ids, vectors, scores to reach
+
+
+def _searched(trees: DataFrame, queries: Queries, k: int) -> DataFrame:
+    """query_id, vec_id and score of each query's best k in each tree. The block of queries is sent to the trees."""
+    sent = trees.sparkSession.sparkContext.broadcast(queries)  # BLOCK_ROWS vectors
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for dim, packed in zip(pdf["dim"], pdf["tree"]):
+                if dim not in sent.value:
+                    continue
+                ids, all_q, least = sent.value[dim]
+                tree = pickle.loads(packed)
+                tree.vectors, tree.low, tree.high, all_q = exact(tree.vectors, tree.low, tree.high, all_q)
+                out = []
+                for at in range(0, len(ids), CHUNK):
+                    q = all_q[at : at + CHUNK]
+                    bounds = tree.bounds(q)
+                    for i, own in enumerate(ids[at : at + CHUNK].tolist()):
+                        out += [(own, v, min(max(-s, -TOP - 1), TOP)) for s, v in tree.search(own, q[i], bounds[i], k, least.get(own, -np.inf))]
+                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+
+    return trees.select("dim", "tree").mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+
+
 def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """For each vector whose vec_id is divisible by `every` the k others with the largest integer inner product.
 
     vectors has vec_id and embedding; other columns are ignored. Returns query_id, rank (from 1), vec_id and score,
-    ties to the smaller vec_id. Vectors are dealt into shards, each made into a KD-tree once; queries go in blocks. A
-    block first searches one shard; the k-th scores found there go with it to all others, where boxes that cannot
-    reach them stay closed. So each task holds one tree and one block, whatever the table's size.
+    ties to the smaller vec_id. Vectors are dealt into shards, each made into a KD-tree once and written; they are
+    never shuffled again. Queries go to the trees in blocks of about block_rows, which bounds what is broadcast and
+    what the driver holds: ids, vectors and scores of one block. A block first searches one shard; the k-th scores
+    found there go with it to all others, where boxes that cannot reach them stay closed. A task holds one tree and
+    one block.
 
     Defined cases: vectors that are null or have null or non-finite components (or one of 2^52 or more, beyond exact
     integers) take no part, nor do those without vec_id; only vectors of the same length are compared; rows that
     repeat a vec_id are candidates each, but a query never finds rows of its own id, and a repeated query is searched
-    once (the row with the smallest vector). Fewer rows than k give all there are.
+    once (the row with the smallest vector). Fewer rows than k give all there are. A score beyond 64 bits is shown as
+    the end of their range.
     """
     spark = vectors.sparkSession
     ship(spark)
     slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("e")).where(F.col("vec_id").isNotNull() & usable(F.col("e")))
     slim = slim.select("vec_id", quantised(F.col("e")).alias("q"), F.size("e").alias("dim"))
-    rows = slim.count()
-    n_shards = max(1, -(-rows // shard_rows))
-    n_blocks = max(1, -(-rows // every // block_rows))
+    n_shards = max(1, -(-slim.count() // shard_rows))
 
     def number(of: int, salt: str) -> Column:
         return F.pmod(F.xxhash64("vec_id", "q", F.lit(salt)), F.lit(of)).cast("int")
@@ -126,48 +154,20 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([(key[0], key[1], pickle.dumps(Tree(*_stacked(pdf))))], columns=["dim", "shard", "tree"])
 
-    def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, q = _stacked(pdf)
-        return pd.DataFrame([(key[0], key[1], pickle.dumps((ids, q)))], columns=["dim", "block", "queries"])
-
     trees = written(slim.withColumn("shard", number(n_shards, "shard")).groupBy("dim", "shard").applyInPandas(grow, "dim int, shard int, tree binary"), "trees")
-    queries = slim.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "q")).alias("x")).select("vec_id", "x.dim", "x.q")
-    blocks = written(queries.withColumn("block", number(n_blocks, "block")).groupBy("dim", "block").applyInPandas(gather, "dim int, block int, queries binary"), "queries")
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            tree = pickle.loads(left["tree"].iat[0])
-            ids, q = pickle.loads(right["queries"].iat[0])
-            least = right["least"].iat[0]
-            floor = dict(pickle.loads(least)) if isinstance(least, bytes) else {}
-            tree.vectors, tree.low, tree.high, q = exact(tree.vectors, tree.low, tree.high, q)
-            bounds = tree.bounds(q)
-            for i, own in enumerate(ids.tolist()):
-                out += [(own, v, -s) for s, v in tree.search(own, q[i], bounds[i], k, floor.get(own, -np.inf))]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    def searched(pairs_left: DataFrame, pairs_right: DataFrame) -> DataFrame:
-        keys = ["dim", "shard", "block"]
-        return pairs_left.groupBy(*keys).cogroup(pairs_right.groupBy(*keys)).applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
-
-    # which shard a block searches first: one that there is, of its dimension
-    home = trees.groupBy("dim").agg(F.min("shard").alias("home"))
-    first_blocks = blocks.join(home, "dim").select("dim", F.col("home").alias("shard"), "block", "queries", F.lit(None).cast("binary").alias("least"))
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
-    spread = trees.select("dim", "shard", "tree", all_blocks)
-    at_home = spread.join(home, "dim")
-    first = written(searched(at_home.where(F.col("shard") == F.col("home")).drop("home"), first_blocks), "first")
-
-    def floors(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        kth = pdf.groupby("query_id")["score"].agg(lambda s: s.min() if len(s) >= k else np.nan).dropna()
-        return pd.DataFrame([(key[0], key[1], pickle.dumps([(int(q), float(s)) for q, s in kth.items()]))], columns=["of_dim", "of_block", "least"])
-
-    by_block = first.join(queries.select(F.col("vec_id").alias("query_id"), "dim", number(n_blocks, "block").alias("block")), "query_id")
-    least = by_block.groupBy("dim", "block").applyInPandas(floors, "of_dim int, of_block int, least binary")
-    known = blocks.join(least, (F.col("dim") == F.col("of_dim")) & (F.col("block") == F.col("of_block")), "left").drop("of_dim", "of_block")
-    others = trees.select(F.col("dim").alias("d"), "shard")
-    rest_blocks = known.join(home, "dim").join(others, (F.col("dim") == F.col("d")) & (F.col("shard") != F.col("home"))).select("dim", "shard", "block", "queries", "least")
-    rest = searched(at_home.where(F.col("shard") != F.col("home")).drop("home"), rest_blocks)
+    asked = slim.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "q")).alias("x")).select("vec_id", "x.dim", "x.q")
+    asked = written(asked, "queries")
+    n_blocks = max(1, -(-asked.count() // block_rows))
+
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return first.union(rest).withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = lambda found: found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = None
+    for b in range(n_blocks):
+        block = asked.where(number(n_blocks, "block") == b).toPandas()
+        queries: Queries = {int(dim): (*_stacked(part), {}) for dim, part in block.groupby("dim")}
+        first = written(_searched(trees.where("shard = 0"), queries, k), "first")
+        kth = {r["query_id"]: r["least"] for r in first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k).collect()}
+        queries = {dim: (ids, q, {i: kth[i] for i in ids.tolist() if i in kth}) for dim, (ids, q, _) in queries.items()}
+        found = best(first.union(_searched(trees.where("shard <> 0"), queries, k)))
+        out = found if out is None else out.union(found)
+    return out
