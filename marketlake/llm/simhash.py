@@ -128,7 +128,9 @@ def links(fingerprints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 own, number, anchor = anchors(f.view(np.uint64), threshold)
                 yield pd.DataFrame({"anchor": anchor, "v": f[number], "home": anchor == own[number]})
 
-    dealt = fingerprints.select("f").mapInPandas(deal, "anchor bigint, v bigint, home boolean")
+    # each becomes some sixty rows, so few bytes are dealt out to as many tasks as a large shuffle would get
+    spread = fingerprints.select("f").repartition(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "f")
+    dealt = spread.mapInPandas(deal, "anchor bigint, v bigint, home boolean")
     at_home = dealt.where("home").select("anchor", F.col("v").alias("u"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= threshold
     return at_home.join(dealt.select("anchor", "v"), "anchor").where((F.col("u") < F.col("v")) & near).select("u", "v")
@@ -163,11 +165,13 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """docs with one row of each component of near_duplicates(): that of the smallest doc_id (of rows that repeat this
-    id, that of the smallest fingerprint, then any of equal ones). All columns are kept."""
+    id, that of the smallest fingerprint, then the first written). All columns are kept.
+
+    Rows are numbered as they are written with their fingerprints; the numbers to keep are joined back, so texts are
+    shuffled once.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = written(fingerprinted(docs), "fingerprinted")
-    slim = whole.select(F.col("doc_id").alias("id"), F.col("__fingerprint").alias("f")).groupBy("f").agg(F.min("id").alias("id"))
-    best = _with_root(slim, threshold).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "f")).alias("k"))
-    keep = best.select(F.col("k.id").alias("__id"), F.col("k.f").alias("__f"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__fingerprint") == F.col("__f"))
-    return whole.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__fingerprint"]).select(*columns)
+    whole = written(fingerprinted(docs).withColumn("__row", F.monotonically_increasing_id()), "fingerprinted")
+    slim = whole.select(F.col("__fingerprint").alias("f"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__fingerprint").alias("f"), F.col("__row").alias("row")).alias("k"))
+    best = _with_root(slim.groupBy("f").agg(F.min("k").alias("k")), threshold).groupBy("root").agg(F.min("k").alias("k"))
+    return whole.join(best.select(F.col("k.row").alias("__row")), "__row", "left_semi").select(*columns)
