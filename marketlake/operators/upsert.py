@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -29,15 +29,28 @@ def keep_last_ranked(rows: DataFrame, key: Sequence[str], *order: Column) -> Dat
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def merged(old: DataFrame, new: DataFrame, key: Sequence[str], order: str | None = None) -> DataFrame:
-    """old and new under keep-last. Any new row beats any old one, new ones by `order` among themselves; rows of old
-    have no order of their own."""
+def _sides(old: DataFrame, new: DataFrame, order: str | None) -> DataFrame:
+    """Both with _merge, by which any new row beats any old one, and new ones each other by `order`."""
     o = F.col(order) if order else F.lit(0)
     none = F.lit(None).cast(new.schema[order].dataType if order else "int")
     a = old.withColumn("_merge", F.struct(F.lit(0).alias("side"), none.alias("o")))
     b = new.withColumn("_merge", F.struct(F.lit(1).alias("side"), o.alias("o")))
-    b = b.drop(order) if order and order not in old.columns else b
-    return keep_last(a.unionByName(b), key, "_merge")
+    return a.unionByName(b.drop(order) if order and order not in old.columns else b)
+
+
+def merged(old: DataFrame, new: DataFrame, key: Sequence[str], order: str | None = None) -> DataFrame:
+    """old and new under keep-last. Any new row beats any old one, new ones by `order` among themselves; rows of old
+    have no order of their own."""
+    return keep_last(_sides(old, new, order), key, "_merge")
+
+
+def merged_counting(old: DataFrame, new: DataFrame, key: Sequence[str], order: str | None, counts: Observation) -> DataFrame:
+    """merged(), which also counts, as it is written, the keys that old lacks: in the same aggregate, without a join."""
+    both = _sides(old, new, order)
+    others = [c for c in both.columns if c not in (*key, "_merge")]
+    best = both.groupBy(*key).agg(F.max(F.struct("_merge", *others)).alias("_best"), F.min("_merge.side").alias("_first"))
+    seen = best.observe(counts, F.count_if(F.col("_first") == 1).alias("net_new"))
+    return seen.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in both.columns if c != "_merge"])
 
 
 def net_new(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -141,8 +154,7 @@ def upsert(new: DataFrame, root: str, table: Table, order: str | None = None) ->
         return 0
     old = read_table(spark, root, table).join(F.broadcast(touched), table.partition_names, "left_semi")  # as many rows as partitions
     old = old.select(*table.stored_schema.names)
-    added = net_new(old, dated, table.key).count()
-    staged = f"{root}/_staging/{table.name}/{uuid.uuid4().hex}"
-    merged(old, dated, table.key, order).write.option("compression", "zstd").parquet(staged)
+    staged, counts = f"{root}/_staging/{table.name}/{uuid.uuid4().hex}", Observation()
+    merged_counting(old, dated, table.key, order, counts).write.option("compression", "zstd").parquet(staged)
     _publish(spark, staged, root, table)
-    return added
+    return counts.get["net_new"]

@@ -40,6 +40,23 @@ def test_stored_table_may_be_absent(spark, tmp_path):
     assert landing.stored(spark, str(tmp_path / "none"), schemas.CANDLES).count() == 0
 
 
+def test_plain_files_of_another_layout(spark, tmp_path):
+    """One file per ticker in folders that mean nothing; a column without values has no type of its own."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from marketlake import schemas
+    from marketlake.operators.audit import coverage
+
+    for ticker, n in (("A>1", 2), ("B 2", 1)):
+        (tmp_path / "2026" / ticker).mkdir(parents=True)
+        cols = {"ts_ms": list(range(n)), "open": [0.5] * n, "mean": pa.nulls(n), "market_ticker": [ticker] * n}
+        pq.write_table(pa.table(cols), tmp_path / "2026" / ticker / "x.parquet")
+    rows = landing.stored(spark, str(tmp_path), schemas.CANDLES, layout="files")
+    assert {(r.market_ticker, r["mean"], r.volume) for r in rows.collect()} == {("A>1", None, None), ("B 2", None, None)}
+    assert [(r.market_ticker, r.n_rows) for r in coverage(rows).collect()] == [("A>1", 2), ("B 2", 1)]
+
+
 def test_meta_last_file_wins_and_fallback(spark, folder):
     meta = C.ticker_meta(landing.catalogs(spark, folder))
     assert {(r.market_ticker, r.series_ticker) for r in meta.collect()} == {("KXA-1-T1", "KXA"), ("A-23-T", "KXB"), ("KXB-1", "KXB")}
