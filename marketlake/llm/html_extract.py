@@ -20,7 +20,9 @@ _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HOST = re.compile(r"^\s*\w[\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 #: Elements whose content is no text.
-_RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "select", "option", "video", "audio"}
+_RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "select", "video", "audio"}
+#: Of these, the ones that hide the rest of a page if they are not closed.
+_TO_END = {"script", "style", "title", "textarea"}
 _NOISE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "label", "head"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 _BLOCK = {
@@ -35,6 +37,8 @@ _NOISE_WORDS = {
     "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "skip", "social",
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Of these, the ones that also say so of an article element, whose classes often name what it has beside its text.
+_OTHER_ARTICLES = {"ad", "ads", "advert", "advertisement", "comment", "comments", "reply", "replies", "sponsored"}
 
 
 @dataclass
@@ -48,7 +52,8 @@ class Block:
 def _zone(name: str, attributes: str, outer: str) -> str:
     marks = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
     words = {w for k in ("class", "id", "role") for w in re.split(r"[^a-z0-9]+", marks.get(k, ""))}
-    if name in _NOISE or (words & _NOISE_WORDS and name not in ("html", "body", "main")):
+    noise = _OTHER_ARTICLES if name == "article" else _NOISE_WORDS
+    if name in _NOISE or (words & noise and name not in ("html", "body", "main")):
         return "form" if name == "form" and outer != "noise" else "noise"
     if outer == "noise":
         return outer
@@ -85,7 +90,7 @@ def blocks(page: str) -> list[Block]:
         closing = tag[1] or tag[4]
         if not closing and name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
+            at = end.end() if end else n if name in _TO_END else at
             buffer.append(" ")
             continue
         if name == "br":

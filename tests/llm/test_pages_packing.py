@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -37,6 +38,8 @@ def page(body: str) -> str:
         ('<article><p title="a > b">q</p><p class=>r</p></article>', "q\nr"),
         ("<article><p>a < b and <3</p></article>", "a < b and <3"),
         ("<article></article>", ""),
+        ("<article>a<video src=x>b<script>never closed</article>", "ab"),
+        ("<article class='post share related'>kept<div class='share'>no</div></article>", "kept"),
         ("<p>alone on its page</p>", "alone on its page"),
     ],
 )
@@ -166,3 +169,39 @@ def test_stage_columns(spark, tmp_path):
         docs = spark.createDataFrame(out.limit(0).collect(), docs.schema) if name == "none" else docs
     empty = docs.limit(0)
     assert all(stage(spark, empty, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+class Reader(HTMLParser):
+    """The article of a page by Python's own parser; blocks end at h1 and p tags."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.out = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if tag in ("p", "h1"):
+            self.out.append("")
+        elif tag == "br":
+            self.out[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        if tag in ("p", "h1"):
+            self.out.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.out[-1] += data
+
+
+def test_pages_against_another_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        reader = Reader()
+        reader.feed(r.html or "")
+        reader.close()
+        want[r.page_id] = "\n".join(t for t in (" ".join(x.split()) for x in reader.out) if t)
+    got = {r.page_id: r.text for r in H.extract_pages(pages).collect()}
+    assert got == want
