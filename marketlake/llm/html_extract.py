@@ -91,7 +91,6 @@ def blocks(page: str) -> list[Block]:
         if not closing and name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n if name in _TO_END else at
-            buffer.append(" ")
             continue
         if name == "br":
             buffer.append(" ")
