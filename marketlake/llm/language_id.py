@@ -41,20 +41,24 @@ def has_letter(text: str | None) -> bool:
 
 
 def char_counts(text: str) -> np.ndarray:
-    """Hashed counts of the 1- to 3-grams of a text's lower-cased characters, digits and symbols left out."""
+    """Hashed counts of the 1- to 3-grams of a text's lower-cased characters; each run of ASCII digits, marks and white
+    space is one space. A long text is counted in slices, with the last two characters carried on."""
     counts = np.zeros(1 << BITS, dtype=np.int64)
+    carry = np.empty(0, dtype=np.uint32)
     for at in range(0, len(text), SLICE):
-        low = text[max(0, at - 2) : at + SLICE].lower()
-        c = np.frombuffer(low.encode("utf-32-le", "replace"), dtype=np.uint32)
-        ascii_other = (c < 128) & ((c < 97) | (c > 122))
-        c = np.where(ascii_other, np.uint32(32), c)
-        c = c[np.r_[True, (c[1:] != 32) | (c[:-1] != 32)]] if len(c) else c  # one space for a run of others
+        c = np.frombuffer(text[at : at + SLICE].lower().encode("utf-32-le", "replace"), dtype=np.uint32)
+        c = np.where((c < 128) & ((c < 97) | (c > 122)), np.uint32(32), c)
+        c = np.concatenate([carry, c])
+        c = c[np.r_[True, (c[1:] != 32) | (c[:-1] != 32)]]
+        m = len(carry)
+        carry = c[-2:]
         with np.errstate(over="ignore"):
             h = (c + np.uint32(1)) * _GRAM[0]
             for n in range(3):
                 if n:
                     h = (h[:-1] ^ (h[:-1] >> np.uint32(15))) * _GRAM[n] + c[n:]
-                counts += np.bincount((h * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS), minlength=1 << BITS)
+                fresh = h[max(0, m - n) :]  # those that end behind what was carried on
+                counts += np.bincount((fresh * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS), minlength=1 << BITS)
     return counts
 
 

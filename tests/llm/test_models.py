@@ -38,10 +38,13 @@ def test_language_edge_cases(spark):
     assert {r.lang_pred for r in one.collect()} == {"en"}
 
 
-def test_counts_do_not_depend_on_slices(monkeypatch):
-    text = "Älpha beta, gamma. " * 50
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_counts_do_not_depend_on_slices(monkeypatch, size):
+    text = "Älpha  beta, 12 gamma. \n é" * 20
     whole = L.char_counts(text)
-    assert whole.sum() > 2000 and (L.features(text) ** 2).sum() == pytest.approx(1, abs=1e-4)
+    monkeypatch.setattr(L, "SLICE", size)
+    assert (L.char_counts(text) == whole).all() and whole.sum() > 900
+    assert (L.features(text) ** 2).sum() == pytest.approx(1, abs=1e-4) and not L.features("").any()
 
 
 def auc(y, s):
