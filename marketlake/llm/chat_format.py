@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 OPEN, CLOSE, BREAK = "<|im_start|>", "<|im_end|>", "\n"
 #: Turns rendered into one row; a longer dialogue continues in further rows.
 PART_TURNS = 512
-SYSTEM = "system"
+SYSTEM, ASSISTANT = "system", "assistant"
 
 
 def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -16,9 +16,12 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataF
 
     turns has conv_id, turn, role (the speaker) and text; other columns are ignored. Returns conv_id, perspective,
     part, part_start, n_turns, text and loss_spans: text is the rendered part, loss_spans the [start, end) code
-    points in it that the speaker said (with the closing marker), the only ones to train on. A dialogue of more than
-    part_turns turns is rendered in several rows of one (conv_id, perspective); their texts, joined by part, are the
-    whole dialogue, and part_start counts the code points before a part. So no task ever holds a whole long dialogue.
+    points in it that the speaker said (with the closing marker), the only ones to train on. A dialogue is rendered in
+    parts of part_turns turn numbers; the parts of one (conv_id, perspective) joined are the whole dialogue, and
+    part_start counts the code points before a part. So no task ever holds a whole long dialogue.
+
+    Texts are shuffled once, to their part. Who speaks in a dialogue and where its parts start follows from lengths
+    alone, and is joined to the parts.
 
     Defined cases: turns are ordered by (turn, speaker, text), nulls first; a row that repeats another in all four
     columns is one turn. A null role is the speaker "unknown", a null text an empty one, a null turn comes before
@@ -26,37 +29,58 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataF
     no participant: a dialogue with nothing else gives no rows. Markers inside a text are broken up ("<|" becomes
     "< |"), so no text can forge a turn.
     """
+    dialogue = ["conv", "none"]  # null and its stand-in are told apart, so that equal keys join
+    part = [*dialogue, "part"]
     said = turns.select(
-        F.col("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"),
+        F.col("conv_id").isNull().alias("none"),
+        F.coalesce(F.floor(F.col("turn").cast("long") / F.lit(part_turns)), F.lit(-(1 << 40))).alias("part"),
+        F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 62))).alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("speaker"),
         F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit("<|"), F.lit("< |")).alias("content"),
-    ).withColumn("part", F.coalesce(F.floor(F.col("turn") / F.lit(part_turns)), F.lit(-(1 << 40))))
-    parts = said.groupBy("conv_id", "part").agg(F.array_sort(F.collect_set(F.struct(F.coalesce(F.col("turn"), F.lit(-(1 << 62))).alias("turn"), "speaker", "content"))).alias("turns"))
-    speakers = said.where(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("speaker").alias("perspective")).distinct()
-    rows = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
-
-    def rendered(t: Column, p: Column) -> Column:
-        head = F.when(t["speaker"] == p, F.lit("assistant")).when(t["speaker"] == SYSTEM, F.lit(SYSTEM)).otherwise(F.concat(F.lit("user name="), t["speaker"]))
-        return F.concat(F.lit(OPEN), head, F.lit(BREAK), t["content"], F.lit(CLOSE + BREAK))
-
-    pieces = F.transform("turns", lambda t: F.struct(rendered(t, F.col("perspective")).alias("text"), F.length(t["content"]).cast("long").alias("n"), (t["speaker"] == F.col("perspective")).alias("own")))
-    def step(acc: Column, x: Column) -> Column:
-        end = acc["at"] + F.length(x["text"])
-        span = F.struct((end - F.lit(len(CLOSE + BREAK)) - x["n"]).alias("start"), (end - F.lit(len(BREAK))).alias("end"))
-        return F.struct(end.alias("at"), F.when(x["own"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-
+    )
+    parts = said.groupBy(*part).agg(F.array_sort(F.collect_set(F.struct("turn", "speaker", "content"))).alias("turns"))
+    pieces = F.transform("turns", lambda t: F.struct(_rendered(t, F.col("perspective")).alias("text"), F.length(t["content"]).alias("n"), (t["speaker"] == F.col("perspective")).alias("own")))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
-    out = rows.withColumn("pieces", pieces).select(
-        "conv_id", "perspective", "part",
+    rows = parts.join(_places(said, dialogue, part), part).withColumn("pieces", pieces)
+    return rows.select(
+        F.when(~F.col("none"), F.col("conv")).alias("conv_id"), "perspective",
+        F.col("number").alias("part"), "part_start",
         F.size("turns").cast("long").alias("n_turns"),
         F.array_join(F.transform("pieces", lambda x: x["text"]), "").alias("text"),
-        F.aggregate("pieces", start, step)["spans"].alias("loss_spans"),
-    )
-    before = Window.partitionBy("conv_id", "perspective").orderBy("part")
-    return out.select(
-        "conv_id", "perspective",
-        (F.row_number().over(before) - 1).cast("long").alias("part"),
-        F.coalesce(F.sum(F.length("text").cast("long")).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("part_start"),
-        "n_turns", "text", "loss_spans",
-    )
+        F.aggregate("pieces", start, _with_span)["spans"].alias("loss_spans"),
+    )
+
+
+def _name(speaker: Column) -> Column:
+    """How a speaker is announced to the others."""
+    return F.when(speaker == SYSTEM, F.lit(SYSTEM)).otherwise(F.concat(F.lit("user name="), speaker))
+
+
+def _rendered(t: Column, perspective: Column) -> Column:
+    head = F.when(t["speaker"] == perspective, F.lit(ASSISTANT)).otherwise(_name(t["speaker"]))
+    return F.concat(F.lit(OPEN), head, F.lit(BREAK), t["content"], F.lit(CLOSE + BREAK))
+
+
+def _with_span(acc: Column, x: Column) -> Column:
+    """One piece on: where the text is, and the spans to train on."""
+    end = acc["at"] + F.length(x["text"])
+    span = F.struct((end - F.lit(len(CLOSE + BREAK)) - x["n"]).alias("start"), (end - F.lit(len(BREAK))).alias("end"))
+    return F.struct(end.alias("at"), F.when(x["own"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+
+def _places(said: DataFrame, dialogue: list[str], part: list[str]) -> DataFrame:
+    """For each part and perspective the part's number and where it starts, from lengths alone."""
+    turns = said.select(*part, "turn", "speaker", F.length("content").alias("n"), F.xxhash64("content").alias("a"), F.xxhash64(F.lit(1), "content").alias("b")).distinct()
+    by_speaker = turns.groupBy(*part, "speaker").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    marks = len(OPEN + BREAK + CLOSE + BREAK)
+    sizes = by_speaker.groupBy(*part).agg(F.sum(F.col("k") * (F.length(_name(F.col("speaker"))) + marks) + F.col("n")).alias("size"))
+    speakers = by_speaker.where(F.col("speaker") != SYSTEM).select(*dialogue, F.col("speaker").alias("perspective")).distinct()
+    own = by_speaker.select(*part, F.col("speaker").alias("perspective"), (F.col("k") * (F.length(_name(F.col("speaker"))) - len(ASSISTANT))).alias("less"))
+    all_parts = sizes.join(speakers, dialogue).join(own, [*part, "perspective"], "left").withColumn("size", F.col("size") - F.coalesce("less", F.lit(0)))
+    before = Window.partitionBy(*dialogue, "perspective").orderBy("part")
+    return all_parts.select(
+        *part, "perspective",
+        (F.row_number().over(before) - 1).cast("long").alias("number"),
+        F.coalesce(F.sum("size").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("part_start"),
+    )
