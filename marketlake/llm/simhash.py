@@ -129,7 +129,7 @@ def links(fingerprints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 yield pd.DataFrame({"anchor": anchor, "v": f[number], "home": anchor == own[number]})
 
     # each becomes some sixty rows, so few bytes are dealt out to as many tasks as a large shuffle would get
-    spread = fingerprints.select("f").repartition(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "f")
+    spread = fingerprints.select("f").repartition(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = spread.mapInPandas(deal, "anchor bigint, v bigint, home boolean")
     at_home = dealt.where("home").select("anchor", F.col("v").alias("u"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= threshold
