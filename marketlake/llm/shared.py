@@ -23,6 +23,8 @@ _CLASS = np.full(256, 2, dtype=np.uint8)  # punctuation and symbols
 _CLASS[[9, 10, 11, 12, 13, 32, *range(9), *range(14, 32)]] = 0
 _CLASS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = 1  # digits, letters, bytes of non-ASCII characters
 
+#: Marks beyond ASCII, by the first bytes of their UTF-8: U+0080-00BF, U+2000-207F, U+3000-303F.
+_MARKS = ((0xC2, (), 2), (0xE2, (0x80, 0x81), 3), (0xE3, (0x80,), 3))
 
 _SHIPPED: set[str] = set()
 
@@ -32,7 +34,7 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    top = Path(__file__).resolve().parents[1]
+    top = Path(__file__).resolve().parents[1]  # the archive is the driver's own file; Spark serves it to executors
     if top.suffix != ".zip" and top.is_dir():
         folder = tempfile.mkdtemp(prefix="marketlake-package-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -88,6 +90,11 @@ def _hashes(data: bytes, words_only: bool) -> tuple[np.ndarray, np.ndarray]:
     """Of each token in data: its hash and where it starts."""
     raw = np.frombuffer(data, dtype=np.uint8)
     kind = _CLASS[raw]
+    for lead, seconds, size in _MARKS:
+        at = np.flatnonzero(raw[: len(raw) - size + 1] == lead)
+        at = at[np.isin(raw[at + 1], seconds)] if seconds else at
+        for k in range(size if len(at) else 0):
+            kind[at + k] = 2
     if words_only:
         kind = np.where(kind == 1, kind, 0).astype(np.uint8)
     first = np.empty(len(raw), dtype=bool)
@@ -110,8 +117,8 @@ def _hashes(data: bytes, words_only: bool) -> tuple[np.ndarray, np.ndarray]:
 def token_hashes(texts: list[str | None], words_only: bool) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Yields (number of the first text, hashes of the tokens of each text) for one run of texts after another.
 
-    A text is lower-cased. A token is a longest run of ASCII letters, digits and non-ASCII characters, or, unless
-    words_only, of other visible characters. Null and empty texts have no tokens. Short texts are hashed together, a
+    A text is lower-cased. A token is a longest run of letters and digits (ASCII's, and all of Unicode but the marks in
+    _MARKS), or, unless words_only, of marks. Null and empty texts have no tokens. Short texts are hashed together, a
     text over BLOCK_BYTES in slices.
     """
     run: list[bytes] = []

@@ -150,3 +150,5 @@ def test_tree_prunes_nothing_that_counts(n, k, seed):
 def test_words():
     ((_, (a, b)),) = token_hashes(["Ab-c1 é", "ab C1"], True)
     assert len(a) == 3 and a[0] == b[0] and a[1] == b[1]
+    ((_, (c, d, e)),) = token_hashes(["“ab”—c1…\u3002é\xa0x", "ab c1 é x", "ÂâÃã"], True)
+    assert c.tolist() == d.tolist() and len(e) == 1
