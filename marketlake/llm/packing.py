@@ -24,6 +24,11 @@ MEMORY_WORDS, MEMORY_LENGTH = 1_000_000, 48
 #: Texts that are encoded together.
 BATCH = 256
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
+#: Characters that combine with the one before (ranges that hold them all) or become one that does in lower case; two
+#: marks side by side; letters with marks behind them.
+_COMBINING = re.compile("[\u0130\u0300-\u036f\u0483-\u0489\u0591-\u0dff\u0e31-\u0eff\u0f18-\u0fff\u1037-\u109f\u135d-\u135f\u1700-\u1cff\u1dc0-\u1dff\u20d0-\u20ff\u302a-\u309a\ua66f-\uabff\ufb1e\ufe20-\ufe2f\U00010000-\U0010ffff]")
+_MARKS = re.compile(r"(?:[^\w\s]|_){2}")
+_TAIL = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 _SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -32,8 +37,8 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer's ids of a text are those of its stretches between white space, one after another: white space ends
-    every word and is dropped. So a stretch is encoded once and remembered. Of a stretch of letters with one mark
-    behind it, letters and mark are words of their own; and ASCII capitals are lower-cased anyway.
+    every word and is dropped. So a stretch is encoded once and remembered. Of letters with marks behind them, letters
+    and marks are words of their own; and ASCII capitals are lower-cased anyway.
     """
 
     def __init__(self, name: str):
@@ -62,17 +67,16 @@ class Encoder:
         return out
 
     def _learn(self, fresh: set[str]) -> dict[str, bytes]:
-        """Ids of stretches that are not known, by way of the letters in them."""
-        core = {}
+        """Ids of stretches that are not known, and of the letters and marks in them."""
+        known, split = self.known, {}
         for w in fresh:
-            c = w[:-1] if len(w) > 1 and w[-1] in ".,;:" and w[-2].isalpha() else w
-            core[w] = c.lower() if c.isascii() and c.isalpha() else c
-        marks = {w[-1] for w, c in core.items() if len(c) < len(w)}
-        needed = {*core.values(), *marks}
-        ids = {c: self.known[c] for c in needed if c in self.known}
-        ids |= self._encode(sorted(needed.difference(ids)))
-        out = {w: ids[c] if len(c) == len(w) else ids[c] + ids[w[-1]] for w, c in core.items()}
-        return out | ids
+            if not w.isalpha() and (m := _TAIL.fullmatch(w)) and m[1].isalpha() and not _COMBINING.search(w):
+                split[w] = m.groups()
+        needed = fresh.difference(split).union(*split.values()).difference(known)
+        out = self._encode(sorted(needed))
+        for w, (letters, marks) in split.items():
+            out[w] = (out.get(letters) or known[letters]) + (out.get(marks) or known[marks])
+        return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text of a batch; new words are learned first, and forgotten all at once when they are too many."""
@@ -88,8 +92,18 @@ class Encoder:
 
 
 def _stretches(text: str) -> list[str]:
-    """What stands between white space, of which the tokenizer does not count \x1c to \x1f."""
-    return [w for w in _SPACE.split(text) if w] if _SEPARATORS.search(text) else text.split()
+    """What stands between white space, of which the tokenizer does not count \\x1c to \\x1f.
+
+    Where nothing can combine with an ASCII letter, those are lower-cased here; where no two marks stand side by side,
+    stops and commas that end a stretch are split off. Both make fewer different stretches with the same ids.
+    """
+    if _SEPARATORS.search(text):
+        return [w for w in _SPACE.split(text) if w]
+    if text.isascii() or not _COMBINING.search(text):
+        text = text.encode("utf-8", "replace").lower().decode()
+        if not _MARKS.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+    return text.split()
 
 
 def encoder(name: str) -> Encoder:
