@@ -1,7 +1,7 @@
 """The registered queries: each operator over the driver's tables, and the same in DuckDB's SQL.
 
 The driver's tables are no market data, so columns stand in: users, parts and customers for tickers, event types and
-brands for series.
+brands for series. Counts and times that may be NULL are shown as -1 there, as not all readers keep NULL integers.
 """
 
 from __future__ import annotations
@@ -246,7 +246,7 @@ def first_market(spark, sf_dir):
     """
     WITH l AS (SELECT o_custkey, max(epoch_us(o_orderdate::TIMESTAMP) // 1000) AS ms FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
     h AS (SELECT o_custkey, max(epoch_us(o_orderdate::TIMESTAMP) // 1000) AS ms FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
-    SELECT c_custkey AS market_ticker, coalesce(l.ms, h.ms) AS open_ts_ms, 'unknown' AS expiration,
+    SELECT c_custkey AS market_ticker, coalesce(l.ms, h.ms, -1) AS open_ts_ms, 'unknown' AS expiration,
         CASE WHEN l.ms IS NOT NULL THEN 'P' WHEN h.ms IS NOT NULL THEN 'F' ELSE 'unknown' END AS status
     FROM customer LEFT JOIN l ON c_custkey = l.o_custkey LEFT JOIN h ON c_custkey = h.o_custkey
     """
@@ -261,7 +261,7 @@ def meta_tiers(spark, sf_dir):
         return catalog.metadata_columns(payload)
 
     tickers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("market_ticker"))
-    return catalog.market_metadata(tickers, tier("P"), tier("F"))
+    return catalog.market_metadata(tickers, tier("P"), tier("F")).fillna(-1, ["open_ts_ms"])
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS event_ticker, arg_min(event_type, event_id) AS title FROM events GROUP BY 1")
@@ -299,13 +299,13 @@ def audit_ticker(spark, sf_dir):
     f"""
     SELECT series, grouping(series) = 1 AS is_total, count(*) AS n_tickers, CAST(sum(daily_rows) AS BIGINT) AS daily_rows, sum(total_volume) AS total_volume,
         sum(recent_volume_30d) AS recent_volume_30d,
-        CASE WHEN grouping(series) = 0 THEN count(*) FILTER (WHERE hourly_expectation = 'dense') END AS dense_hourly,
-        CASE WHEN grouping(series) = 0 THEN count(*) FILTER (WHERE minute_expectation = 'dense') END AS dense_minute
+        CASE WHEN grouping(series) = 0 THEN count(*) FILTER (WHERE hourly_expectation = 'dense') ELSE -1 END AS dense_hourly,
+        CASE WHEN grouping(series) = 0 THEN count(*) FILTER (WHERE minute_expectation = 'dense') ELSE -1 END AS dense_minute
     FROM ({_DENSE_SQL}) GROUP BY ROLLUP (series)
     """
 )
 def audit_series(spark, sf_dir):
-    return audit.audit_series(audit.audit_tickers(_daily(spark, sf_dir), AS_OF))
+    return audit.audit_series(audit.audit_tickers(_daily(spark, sf_dir), AS_OF)).fillna(-1, ["dense_hourly", "dense_minute"])
 
 
 @query("SELECT c_mktsegment AS category, count(*) AS n FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1")
@@ -367,7 +367,7 @@ def variants(spark, sf_dir):
     WITH l AS (SELECT user_id, max({MS}) AS ms FROM events GROUP BY 1), o AS (SELECT c_custkey, 725846400000 + c_custkey * 1000 AS open_ms FROM customer WHERE c_custkey % 4 <> 0),
     p AS (SELECT c.c_custkey AS market_ticker, coalesce(ms // 1000, open_ms // 1000) AS start_s FROM customer c LEFT JOIN l ON c.c_custkey = user_id LEFT JOIN o ON c.c_custkey = o.c_custkey),
     m AS (SELECT max(ms) // 1000 - 86400 AS as_of FROM l)
-    SELECT market_ticker, start_s, CASE WHEN start_s IS NULL THEN 'no stored rows and no open time' WHEN start_s >= as_of THEN 'up to date' END AS reason FROM p, m
+    SELECT market_ticker, coalesce(start_s, -1) AS start_s, CASE WHEN start_s IS NULL THEN 'no stored rows and no open time' WHEN start_s >= as_of THEN 'up to date' END AS reason FROM p, m
     """
 )
 def resume_points(spark, sf_dir):
@@ -375,7 +375,7 @@ def resume_points(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("market_ticker"))
     meta = customers.where(F.col("market_ticker") % 4 != 0).withColumn("open_ts_ms", F.lit(725_846_400_000) + F.col("market_ticker") * 1000)
     as_of = stored.agg(F.max("ts_ms")).first()[0] // 1000 - incremental.DAY
-    return incremental.resume_points(customers, stored, meta, as_of)
+    return incremental.resume_points(customers, stored, meta, as_of).fillna(-1, ["start_s"])
 
 
 def _tape(spark, sf_dir):
