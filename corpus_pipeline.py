@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from marketlake.llm.decontaminate import decontaminate
 from marketlake.llm.language_id import UNKNOWN, predicted, train_language_model
 from marketlake.llm.line_dedup import drop_boilerplate_lines
+from marketlake.llm.near_copies import drop_near_copies
 from marketlake.llm.packing import pack
 from marketlake.llm.shared import shared_folder
-from marketlake.llm.simhash import drop_near_duplicates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates."""
-    return drop_near_duplicates(docs)
+    """Keeps one document of each group of near copies: 5-word shingles, similarity of 0.8 or more."""
+    return drop_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
