@@ -39,27 +39,53 @@ _NOISE_WORDS = {
 }
 #: Of these, the ones that also say so of an article element, whose classes often name what it has beside its text.
 _OTHER_ARTICLES = {"ad", "ads", "advert", "advertisement", "comment", "comments", "reply", "replies", "sponsored"}
+#: What behind a noise word leaves a name's meaning as it is (sidebar-left); what before it says that the element only
+#: goes with such a thing (layout with-sidebar); and what may have a header or widget of its own (section-header).
+_BOXES = {
+    "area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container", "content", "form", "group", "holder", "icons", "inner", "item", "items",
+    "left", "link", "links", "list", "main", "module", "outer", "panel", "posts", "primary", "right", "section", "secondary", "slot", "stories", "text", "title", "top", "unit", "wrap", "wrapper",
+}
+_GOES_WITH = {"with", "without", "no", "not", "non", "has", "have", "is", "hide", "hidden", "show", "after", "before", "below", "above", "beside"}
+_PARTS, _OWN = {"header", "widget"}, {"article", "body", "chapter", "content", "entry", "main", "post", "section", "story", "text"}
 
 
 @dataclass
 class Block:
-    """A block's text and where it stands: in an article, in the main element, in noise, or open (nothing says)."""
+    """A block's text and where it stands: in an article, in the main element (or an article there), in noise, or open
+    (nothing says)."""
 
     text: str
     zone: str
 
 
+def _says(name: str, words: set[str]) -> bool:
+    """Whether one class, id or role is one of the words: as a whole, or by its main part (its last word, or the first
+    if only boxes and numbers follow)."""
+    parts = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+    at = next((i for i, w in enumerate(parts) if w in _GOES_WITH), len(parts))
+    parts = [w for w in parts[:at] if not w.isdigit()]
+    while len(parts) > 1 and parts[-1] in _BOXES and parts[-1] not in words:
+        parts.pop()
+    if not parts or parts[-1] not in words:
+        return False
+    return not (parts[-1] in _PARTS and any(w in _OWN for w in parts[:-1]))
+
+
 def _zone(name: str, attributes: str, outer: str) -> str:
     marks = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
-    words = {w for k in ("class", "id", "role") for w in re.split(r"[^a-z0-9]+", marks.get(k, ""))}
+    names = [w for k in ("class", "id", "role") for w in marks.get(k, "").split()]
     noise = _OTHER_ARTICLES if name == "article" else _NOISE_WORDS
-    if name in _NOISE or (words & noise and name not in ("html", "body", "main")):
+    if name in _NOISE:
         return "form" if name == "form" and outer != "noise" else "noise"
     if outer == "noise":
         return outer
+    if name not in ("html", "body", "main") and any(_says(w, noise) for w in names):
+        # class words may be wrong about a wrapper, so an article below it counts, unless it stands in an article
+        inside = outer in ("article", "main article") or any(_says(w, _OTHER_ARTICLES) for w in names)
+        return "noise" if inside else "noise in main" if outer in ("main", "noise in main") else "noise by name"
     if name == "article" or marks.get("itemprop") == "articlebody":
-        return "article"
-    if (name == "main" or marks.get("role") == "main") and outer != "article":
+        return "main article" if outer in ("main", "main article", "noise in main") else "article"
+    if (name == "main" or marks.get("role") == "main") and outer not in ("article", "main article"):
         return "main"
     return outer
 
@@ -74,7 +100,7 @@ def blocks(page: str) -> list[Block]:
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                out.append(Block(text, "noise" if zone == "form" else zone))
+                out.append(Block(text, "noise" if zone in ("form", "noise by name", "noise in main") else zone))
             buffer.clear()
 
     while at < n:
@@ -121,7 +147,7 @@ def blocks(page: str) -> list[Block]:
 def parsed(page: str | None) -> tuple[str | None, list[tuple[str, int, int]], list[int]]:
     """Text, if markup tells it; the open blocks (text, first token, tokens) otherwise; and hashes of all runs of RUN
     tokens in the page's stream of text outside its article."""
-    found = blocks(page or "")
+    found = [Block(b.text, b.zone.removeprefix("main ")) for b in blocks(page or "")]
     main = next((z for z in ("article", "main") if any(b.zone == z for b in found)), None)
     stream = [b for b in found if b.zone not in ("article", "main")]
     hashed = [h for _, each in token_hashes([b.text for b in stream], words_only=False) for h in each]
