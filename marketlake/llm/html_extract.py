@@ -145,20 +145,24 @@ def blocks(page: str) -> list[Block]:
 
 
 def parsed(page: str | None) -> tuple[str | None, list[tuple[str, int, int]], list[int]]:
-    """Text, if markup tells it; the open blocks (text, first token, tokens) otherwise; and hashes of all runs of RUN
-    tokens in the page's stream of text outside its article."""
-    found = [Block(b.text, b.zone.removeprefix("main ")) for b in blocks(page or "")]
-    main = next((z for z in ("article", "main") if any(b.zone == z for b in found)), None)
-    stream = [b for b in found if b.zone not in ("article", "main")]
+    """Text, if markup tells it; the blocks to decide (text, first token, tokens) otherwise; and hashes of all runs of
+    RUN tokens in the page's stream of text outside its main element or article."""
+    found = blocks(page or "")
+    own = [b.zone in ("main", "main article") for b in found]
+    rivals = any(own) and any(b.zone == "article" for b in found)
+    main = ("main", "main article") if any(own) else ("article",) if any(b.zone == "article" for b in found) else ()
+    stream = [b for b in found if b.zone not in main]
     hashed = [h for _, each in token_hashes([b.text for b in stream], words_only=False) for h in each]
     runs = grams(np.concatenate(hashed), RUN).view(np.int64).tolist() if hashed else []
-    if main is not None:
-        return "\n".join(b.text for b in found if b.zone == main), [], runs
-    at, undecided = 0, []
-    for b, h in zip(stream, hashed):
-        if b.zone == "open":
-            undecided.append((b.text, at, len(h)))
-        at += len(h)
+    if main and not rivals:
+        return "\n".join(b.text for b in found if b.zone in main), [], runs
+    # without tokens to cover, a block stays
+    at, undecided, sizes = 0, [], iter([len(h) for h in hashed])
+    for b in found:
+        n = 0 if b.zone in main else next(sizes)
+        if b.zone in main or b.zone == ("article" if rivals else "open"):
+            undecided.append((b.text, at, n))
+        at += n
     return (None if undecided else ""), undecided, runs
 
 
@@ -175,9 +179,9 @@ def uncovered(undecided: list, begins: set[int]) -> str:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html); other columns are ignored.
 
-    Blocks inside an article (else a main) element are the text; menus, headers, footers, sidebars, notices, adverts,
-    forms, comments, scripts and styles are not, by element name or by the words of class, id and role. Where no
-    element says where the article is, the host does: runs of RUN tokens or more that stand on two distinct pages of a
+    Blocks inside a main element, its articles included, are the text, else those inside articles; if there are
+    articles beside a main element, repeated runs decide on them. Menus, headers, footers, sidebars, notices, adverts,
+    forms, comments, scripts and styles are not, by element name or by the words of class, id and role (an article below a wrapper with such a word counts). Where no element says where the article is, the host does: runs of RUN tokens or more that stand on two distinct pages of a
     host are boilerplate, blocks that they cover are removed and unique ones kept.
 
     These runs are what a suffix array of the host's concatenated streams shows as suffixes that share RUN tokens or

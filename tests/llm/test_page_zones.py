@@ -28,3 +28,16 @@ def test_noise_by_name_still_goes(mark):
 
 def test_elements_and_comments_still_hide_articles():
     assert text("<p>x</p><article>a</article><aside><article>no</article></aside><div class='comments'><article>no</article></div>") == "a"
+
+
+def test_main_is_kept_with_its_articles_in_page_order(spark):
+    body = "<main><h1>Title</h1><p>long story</p><article class='card'>teaser</article><p>end</p></main>"
+    assert text(body) == "Title\nlong story\nteaser\nend"
+    assert text("<main><article>only</article></main>") == "only"
+
+
+def test_runs_of_the_host_decide_on_articles_beside_main(spark):
+    teaser = "<article>" + " ".join(f"teaser{i}" for i in range(12)) + "</article>"
+    rows = [(i, f"http://a.example/{i}", page(f"{teaser}<main><p>story {i}</p></main><article>letter{i} from{i} home{i}</article><p>out</p>")) for i in range(3)]
+    out = H.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {r.page_id: r.text for r in out.collect()} == {i: f"story {i}\nletter{i} from{i} home{i}" for i in range(3)}
