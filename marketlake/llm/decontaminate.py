@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,11 +16,28 @@ from .shared import grams, ship, token_hashes
 
 #: Share of an item's words that may differ: similarity of 0.8 or more.
 ERROR_RATE = 0.2
-#: Items of fewer words say too little to convict a document.
+#: Items of fewer words are matched as they are, without an error.
 MIN_WORDS = 5
 #: Characters of benchmark text that tasks hold at a time; a larger benchmark is matched in blocks of this size.
 BLOCK_CHARS = 16_000_000
 _TABLE_BITS = 22
+#: Scripts that do not part words by spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Tai Le to Tai Tham, Kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u1aaf\u3005-\u3007\u3031-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def spaced(text: str | None) -> str | None:
+    """text with spaces for all Unicode marks (punctuation, symbols, separators) beyond ASCII, and around each character
+    of a script that has no spaces, which so is a word."""
+    if not text or text.isascii():
+        return text
+    for c in set(text):
+        if c > "\x7f" and unicodedata.category(c)[0] in "PSZ":
+            text = text.replace(c, " ")
+    return _UNSPACED.sub(r" \g<0> ", text)
+
+
+def _words(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    return token_hashes([spaced(t) for t in texts], words_only=True)
 
 
 def distance_in(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -56,11 +75,11 @@ class Pieces:
         self.at: dict[int, list[tuple[int, int]]] = {}
         self.lengths: set[int] = set()
         texts = [t for _, t in items]
-        for begin, each in token_hashes(texts, words_only=True):
+        for begin, each in _words(texts):
             for i, words in enumerate(each):
-                if len(words) < max(1, min_words):
+                if not len(words):
                     continue
-                budget = int(len(words) * rate)
+                budget = int(len(words) * rate) if len(words) >= min_words else 0
                 cuts = [len(words) * k // (budget + 1) for k in range(budget + 2)]
                 for a, b in zip(cuts, cuts[1:]):
                     self.lengths.add(b - a)
@@ -116,7 +135,7 @@ def matched(texts: list[str | None], pieces: Pieces) -> list[list[tuple[int, int
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
     longest = max(pieces.lengths, default=0)
     gap = np.zeros(longest, dtype=np.uint64)  # no run of words reaches from one text into the next
-    for begin, each in token_hashes(texts, words_only=True):
+    for begin, each in _words(texts):
         joined = np.concatenate([x for words in each for x in (words, gap)])
         ends = np.cumsum([len(words) + longest for words in each])
         hit: set[int] = set()
@@ -142,13 +161,13 @@ def blocks_of(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[
 def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min_words: int = MIN_WORDS) -> DataFrame:
     """Every (document, benchmark item) where the document holds the item with at most rate of its words changed.
 
-    Words are lower-cased runs of letters and digits; changed means replaced, added or left out (edit distance over
+    Words are lower-cased runs of letters and digits, and single characters of scripts without spaces; changed means replaced, added or left out (edit distance over
     words, anywhere in the whole text). Returns doc_id, item_id, item_words, distance, start_word and end_word of the
     best match (the leftmost of equals). docs needs doc_id and text, benchmark item_id and text; other columns are
     ignored. The benchmark is sent to tasks in blocks of bounded size, each matched against all documents; documents
     are never shuffled.
 
-    Defined cases: null and empty texts match nothing; items of fewer than min_words words are not searched; repeated
+    Defined cases: null and empty texts match nothing; items of fewer than min_words words are searched without an error; repeated
     items count once, repeated documents are each reported; null ids are reported as null; an empty benchmark or table
     gives no rows.
     """
