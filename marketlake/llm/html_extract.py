@@ -1,4 +1,4 @@
-"""Main text of web pages: markup first, and the host's repeated token runs where markup does not tell."""
+"""Main text of web pages: what a suffix array of the host's pages shows as repeated goes, unique runs stay."""
 
 from __future__ import annotations
 
@@ -9,13 +9,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import grams, ship, token_hashes, written
+from .shared import grams, ship, written
 
-#: Tokens of the shortest run that counts as repeated, and the share of a block that such runs must cover.
+#: Words of the shortest run that counts as repeated, and the share of a block that covers it all.
 RUN, COVERED = 8, 0.8
+#: A run is boilerplate on more than this share of a host's different pages, and on so many at least: fewer cannot tell
+#: a template from a quotation.
+SHARE, LEAST = 0.5, 3
+#: Characters of pages (on average) that one suffix array is made of; a larger host has several.
+PART_CHARS = 8_000_000
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HOST = re.compile(r"^\s*\w[\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
@@ -98,7 +105,7 @@ def blocks(page: str) -> list[Block]:
 
     def flush() -> None:
         if buffer:
-            text = " ".join(html.unescape("".join(buffer)).split())
+            text = " ".join("".join(map(html.unescape, buffer)).split())
             if text:
                 out.append(Block(text, "noise" if zone in ("form", "noise by name", "noise in main") else zone))
             buffer.clear()
@@ -144,52 +151,154 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def parsed(page: str | None) -> tuple[str | None, list[tuple[str, int, int]], list[int]]:
-    """Text, if markup tells it; the blocks to decide (text, first token, tokens) otherwise; and hashes of all runs of
-    RUN tokens in the page's stream of text outside its main element or article."""
+def roles(page: str | None) -> list[tuple[str, str, bool]]:
+    """The blocks of a page: text, role and whether repeats of it count.
+
+    Roles: "noise" by its own markup; "text", of which only boilerplate goes; "beside" a main element or article. What
+    stands inside these does not count as repeated: articles quote each other, menus do not stand in them.
+    """
     found = blocks(page or "")
-    own = [b.zone in ("main", "main article") for b in found]
-    rivals = any(own) and any(b.zone == "article" for b in found)
-    main = ("main", "main article") if any(own) else ("article",) if any(b.zone == "article" for b in found) else ()
-    stream = [b for b in found if b.zone not in main]
-    hashed = [h for _, each in token_hashes([b.text for b in stream], words_only=False) for h in each]
-    runs = grams(np.concatenate(hashed), RUN).view(np.int64).tolist() if hashed else []
-    if main and not rivals:
-        return "\n".join(b.text for b in found if b.zone in main), [], runs
-    # without tokens to cover, a block stays
-    at, undecided, sizes = 0, [], iter([len(h) for h in hashed])
-    for b in found:
-        n = 0 if b.zone in main else next(sizes)
-        if b.zone in main or b.zone == ("article" if rivals else "open"):
-            undecided.append((b.text, at, n))
-        at += n
-    return (None if undecided else ""), undecided, runs
-
-
-def uncovered(undecided: list, begins: set[int]) -> str:
-    """The blocks that repeated runs cover to less than COVERED."""
-    kept = []
-    for text, first, n in undecided:
-        covered = sum(any(i - j in begins for j in range(RUN)) for i in range(first, first + n))
-        if not n or covered < COVERED * n:
+    zones = {b.zone for b in found}
+    own = {"main", "main article"} if zones & {"main", "main article"} else {"article"} & zones
+    role = {z: "noise" if z == "noise" else "beside" if own and z == "open" else "text" for z in zones}
+    return [(b.text, role[b.zone], b.zone not in own) for b in found]
+
+
+def sorted_suffixes(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array of a sequence of numbers, by prefix doubling as far as the first `depth` of each suffix: the order
+    of its suffixes, and the rank of each, which those share that begin with the same `depth` numbers.
+
+    Which suffixes share `depth` numbers, and so every repeat of that length or more, does not depend on what follows.
+    A suffix that is shorter counts as filled up with a number below all others.
+    """
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
+    known = 1
+    while known < depth:
+        step = min(known, depth - known)
+        behind = np.zeros_like(rank)
+        behind[:-step] = rank[step:]
+        rank = np.unique(rank * (len(tokens) + 2) + behind, return_inverse=True)[1].astype(np.int64) + 1
+        known += step
+    return np.argsort(rank, kind="stable"), rank
+
+
+def _hashed(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def run_hashes(words: list[str]) -> np.ndarray:
+    """A hash (int64) of each run of RUN words."""
+    return grams(_hashed(words), RUN).view(np.int64)
+
+
+def frequent_runs(streams: list[str], share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of RUN words on more than share of the streams, and on how many each is.
+
+    The streams are concatenated, a number of its own between any two, and their suffixes sorted; suffixes with one
+    rank are a run's places.
+    """
+    each = [s.split(" ") for s in streams]
+    text = pa.array([w for words in each for w in words], pa.large_string()).dictionary_encode()
+    hashes = _hashed(text.dictionary.to_pylist())
+    sizes = np.array([len(words) for words in each], dtype=np.int64)
+    ends = np.cumsum(sizes) + np.arange(len(each))  # where the numbers between streams stand
+    tokens = np.insert(text.indices.to_numpy().astype(np.int64), np.cumsum(sizes), len(hashes) + np.arange(len(each)))
+    page = np.repeat(np.arange(len(each)), sizes + 1)
+    order, rank = sorted_suffixes(tokens, RUN)
+    order = order[order + RUN <= ends[page[order]]]  # runs that end in their stream
+    if not len(order):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    # places of one run stand side by side, by stream
+    new_run = np.r_[True, np.diff(rank[order]) > 0]
+    begins = np.flatnonzero(new_run)
+    pages = np.add.reduceat(new_run | np.r_[True, np.diff(page[order]) > 0], begins, dtype=np.int64)
+    kept = pages > share * len(each)
+    at = order[begins[kept]]
+    runs = np.array([grams(hashes[tokens[i : i + RUN]], RUN)[0] for i in at.tolist()], dtype=np.uint64)
+    return runs.view(np.int64), pages[kept]
+
+
+def without_runs(found: list[tuple[str, str]], boilerplate: np.ndarray) -> str:
+    """The text of blocks (text, role) of a page without the boilerplate.
+
+    Runs go over the borders of blocks, as menus are many short ones. A block of which they cover COVERED goes; of any
+    other only what a run inside it covers does, and its unique words stay. A block beside the text stays if it is long
+    enough to be known as unique.
+    """
+    words = [t.split(" ") for t, _ in found]
+    begins = np.isin(run_hashes([w for each in words for w in each]), boilerplate)
+    n = sum(map(len, words))
+    covered = _covered(begins, n)
+    kept, at = [], 0
+    for (text, role), own in zip(found, words):
+        end = at + len(own)
+        n_covered = int(covered[at:end].sum())
+        if role == "beside" and (n_covered or len(own) < RUN) or role == "noise" or n_covered >= COVERED * len(own):
+            text = ""
+        elif n_covered:
+            inside = _covered(begins[at : max(at, end - RUN + 1)], len(own))
+            text = " ".join(w for w, c in zip(own, inside) if not c)
+        if text:
             kept.append(text)
+        at = end
     return "\n".join(kept)
 
 
+def _covered(begins: np.ndarray, n: int) -> np.ndarray:
+    """Which of n words lie in a run that begins at one of the marked."""
+    steps = np.zeros(n + 1, dtype=np.int64)
+    at = np.flatnonzero(begins)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + RUN, -1)
+    return np.cumsum(steps[:n]) > 0
+
+
+def boilerplate_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of found (host, key, stream; one row for each different page): the boilerplate runs (host, run), and the hosts
+    that have LEAST pages (host, n_pages, parts).
+
+    A large host is dealt into parts of bounded size, each with a suffix array of its own. A run on more than SHARE of
+    all pages is on more than SHARE of some part's, so what is frequent in a part is all that can be; those runs are
+    then counted in every part, which makes the counts exact.
+    """
+    sizes = found.groupBy("host").agg(F.count("*").alias("n_pages"), F.ceil(F.sum(F.length("stream").cast("long")) / PART_CHARS).alias("parts"))
+    hosts = sizes.where(F.col("n_pages") >= LEAST).withColumn("parts", F.greatest(F.col("parts"), F.lit(1)).cast("int"))
+    dealt = found.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+
+    def frequent(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        runs, pages = frequent_runs(pdf["stream"].tolist())
+        return pd.DataFrame({"host": key[0], "run": runs, "pages": pages})
+
+    def counted(key: tuple, pdf: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+        wanted = runs["run"].to_numpy()
+        here = [np.unique(h[np.isin(h, wanted)]) for h in (run_hashes(s.split(" ")) for s in pdf["stream"])]
+        run, pages = np.unique(np.concatenate(here) if here else np.empty(0, np.int64), return_counts=True)
+        return pd.DataFrame({"host": key[0], "run": run, "pages": pages})
+
+    schema = "host string, run bigint, pages bigint"
+    known = written(dealt.groupBy("host", "part").applyInPandas(frequent, schema).join(hosts, "host"), "frequent")
+    several = known.where("parts > 1").select("host", "run", "parts").distinct()
+    asked = several.select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    again = dealt.where("parts > 1").groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(counted, schema)
+    sums = again.groupBy("host", "run").agg(F.sum("pages").alias("pages")).join(hosts, "host")
+    exact = known.where("parts = 1").select("host", "run", "pages", "n_pages").union(sums.select("host", "run", "pages", "n_pages"))
+    return exact.where((F.col("pages") >= LEAST) & (F.col("pages") > F.col("n_pages") * SHARE)).select("host", "run"), hosts
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html); other columns are ignored.
 
-    Blocks inside a main element, its articles included, are the text, else those inside articles; if there are
-    articles beside a main element, repeated runs decide on them. Menus, headers, footers, sidebars, notices, adverts,
-    forms, comments, scripts and styles are not, by element name or by the words of class, id and role (an article below a wrapper with such a word counts). Where no element says where the article is, the host does: runs of RUN tokens or more that stand on two distinct pages of a
-    host are boilerplate, blocks that they cover are removed and unique ones kept.
+    Blocks that say themselves what they are (menus, headers, footers, sidebars, notices, adverts, forms, comments;
+    by element, or by the words of class, id and role) are no text, nor are scripts and styles. Of all others, the
+    host's pages decide: their token streams are concatenated and the suffixes sorted; runs of RUN words or more that
+    stand on more than SHARE of the host's different pages (LEAST at least) are boilerplate and taken out wherever
+    they stand, unique runs are kept. A main element or article tells two things more: what repeats inside it is no
+    sign of boilerplate, and blocks beside it are kept only where the host's pages show them to be unique.
 
-    These runs are what a suffix array of the host's concatenated streams shows as suffixes that share RUN tokens or
-    more. Only the first RUN tokens of a suffix decide that, so suffixes are keyed by a hash of those and grouped, with
-    the smallest and largest page for each: the order of equal suffixes is never needed, and a host with a third of
-    all pages, or a menu on all of them, is combined on the map side and never gathered in a task.
+    A host with a third of all pages is dealt into parts of about PART_CHARS, for the suffix arrays and for the pages
+    that are cut; pages of hosts without boilerplate are never shuffled.
 
-    Defined cases: null and empty html give an empty text; pages of a host with the same stream are one page, so that
+    Defined cases: null and empty html give an empty text; pages of a host with the same blocks are one page, so that
     copies do not make each other boilerplate; a null or broken url is a host of its own name ""; repeated rows are
     each returned, null ids too.
     """
@@ -202,28 +311,38 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 part = pdf.iloc[begin : begin + 512]
                 rows = []
                 for url, page in zip(part["url"], part["html"]):
-                    text, undecided, runs = parsed(page if isinstance(page, str) else None)
+                    found = roles(page if isinstance(page, str) else None)
                     host = _HOST.match(url) if isinstance(url, str) else None
-                    key = hash(tuple(runs)) if runs else 0  # of integers: the same in every process
-                    rows.append((host[1].lower() if host else "", key, text, [{"text": t, "first": f, "n": m} for t, f, m in undecided], runs))
-                out = pd.DataFrame(rows, columns=["host", "key", "text", "undecided", "runs"])
+                    key = xxhash.xxh64_intdigest("\n".join(t for t, _, _ in found)) - (1 << 63)
+                    rows.append((host[1].lower() if host else "", key, [{"text": t, "role": r, "counts": c} for t, r, c in found]))
+                out = pd.DataFrame(rows, columns=["host", "key", "blocks"])
                 out.insert(0, "page_id", part["page_id"].astype("Int64").to_numpy())
                 out.insert(1, "url", part["url"].to_numpy())
                 yield out
 
-    schema = "page_id bigint, url string, host string, key bigint, text string, undecided array<struct<text:string,first:bigint,n:bigint>>, runs array<bigint>"
-    found = written(slim.mapInPandas(parse, schema), "pages")
+    schema = "page_id bigint, url string, host string, key bigint, blocks array<struct<text:string,role:string,counts:boolean>>"
+    found = written(slim.mapInPandas(parse, schema).withColumn("row", F.monotonically_increasing_id()), "pages")
+    stream = F.array_join(F.transform(F.filter("blocks", lambda b: b["counts"]), lambda b: b["text"]), " ")
+    streams = written(found.select("host", "key", stream.alias("stream")).groupBy("host", "key").agg(F.first("stream").alias("stream")), "streams")
+    runs, hosts = boilerplate_runs(streams)
+    runs = written(runs, "boilerplate")
+
+    marked = runs.select("host").distinct().withColumn("cut", F.lit(True))
+    dealt = found.join(hosts.join(marked, "host", "left"), "host", "left").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    whole = dealt.where(F.col("cut").isNull()).select("page_id", "url", _text(F.col("n_pages") >= LEAST).alias("text"))
+
+    def cut(key: tuple, pdf: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        boilerplate = own["run"].to_numpy()
+        text = [without_runs([(b["text"], b["role"]) for b in each], boilerplate) for each in pdf["blocks"]]
+        return pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"].astype(object), "text": pd.Series(text, pdf.index, dtype=object)})
 
-    runs = found.select("host", "key", F.explode("runs").alias("run"))
-    repeated = runs.groupBy("host", "run").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a != b").select("host", "run")
-    open_pages = found.where(F.col("text").isNull())
-    own = open_pages.select("host", "key", "runs").dropDuplicates(["host", "key"]).select("host", "key", F.posexplode("runs").alias("at", "run"))
-    begins = own.join(repeated, ["host", "run"]).groupBy("host", "key").agg(F.sort_array(F.collect_set("at")).alias("begins"))
+    to_cut = dealt.where("cut").select("page_id", "url", "blocks", "host", "part")
+    asked = runs.join(hosts, "host").select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    rest = to_cut.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(cut, "page_id bigint, url string, text string")
+    return whole.union(rest).withColumn("n_chars", F.length("text").cast("long"))
 
-    @F.pandas_udf("string")
-    def unique(undecided: pd.Series, begins: pd.Series) -> pd.Series:
-        return pd.Series([uncovered([(b["text"], b["first"], b["n"]) for b in u], set() if s is None else set(s)) for u, s in zip(undecided, begins)], dtype=object)
 
-    decided = open_pages.drop("text").join(begins, ["host", "key"], "left").withColumn("text", unique("undecided", "begins"))
-    both = found.where(F.col("text").isNotNull()).select("page_id", "url", "text").union(decided.select("page_id", "url", "text"))
-    return both.withColumn("n_chars", F.length("text").cast("long"))
+def _text(compared: Column) -> Column:
+    """Text of a page whose host has no boilerplate; blocks beside it if the host's pages were compared."""
+    unique = lambda b: (b["role"] == "beside") & F.coalesce(compared, F.lit(False)) & (F.size(F.split(b["text"], " ")) >= RUN)
+    return F.array_join(F.transform(F.filter("blocks", lambda b: (b["role"] == "text") | unique(b)), lambda b: b["text"]), "\n")

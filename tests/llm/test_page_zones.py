@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
 from marketlake.llm import html_extract as H
@@ -7,7 +8,7 @@ from tests.llm.test_pages_packing import page
 
 
 def text(body):
-    return H.parsed(page(body))[0]
+    return H.without_runs([(t, r) for t, r, _ in H.roles(page(body))], np.empty(0, np.int64))
 
 
 @pytest.mark.parametrize("mark", ['class="layout with-sidebar"', 'class="no-sidebar"', 'class="has-header"', 'class="content-widget"', 'id="search-results"', 'class="sidebar"', 'class="page widget"'])
@@ -41,3 +42,7 @@ def test_runs_of_the_host_decide_on_articles_beside_main(spark):
     rows = [(i, f"http://a.example/{i}", page(f"{teaser}<main><p>story {i}</p></main><article>letter{i} from{i} home{i}</article><p>out</p>")) for i in range(3)]
     out = H.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
     assert {r.page_id: r.text for r in out.collect()} == {i: f"story {i}\nletter{i} from{i} home{i}" for i in range(3)}
+
+
+def test_tags_part_character_references():
+    assert text("<article>am&am<b>p;</b> x &amp;</article>") == "am&amp; x &"

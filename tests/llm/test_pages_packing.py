@@ -65,18 +65,78 @@ def test_repeated_runs_of_a_host_go_where_markup_is_silent(spark):
     assert H.extract_pages(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
-def test_covered_runs_equal_brute_force():
-    rng = random.Random(8)
-    streams = [[rng.choice("abcdef") for _ in range(60)] for _ in range(4)]
-    for s in streams[1:]:
-        at = rng.randrange(40)
-        s[at : at + 14] = streams[0][5:19]
-    hashes = [H.parsed(page(f"<div>{' '.join(s)}</div>"))[2] for s in streams]
-    of = [{h for h in hs} for hs in hashes]
-    for k, s in enumerate(streams):
-        runs = [tuple(s[i : i + H.RUN]) for i in range(len(s) - H.RUN + 1)]
-        elsewhere = {tuple(o[i : i + H.RUN]) for j, o in enumerate(streams) if j != k for i in range(len(o) - H.RUN + 1)}
-        assert [h in set().union(*(of[j] for j in range(4) if j != k)) for h in hashes[k]] == [r in elsewhere for r in runs]
+@given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 9))
+def test_suffixes_are_sorted(tokens, depth):
+    order, rank = H.sorted_suffixes(np.array(tokens, np.int64), depth)
+    heads = [tuple(tokens[i : i + depth]) for i in range(len(tokens))]
+    assert [heads[i] for i in order] == sorted(heads)
+    assert [rank[i] == rank[j] for i in range(len(tokens)) for j in range(i)] == [heads[i] == heads[j] for i in range(len(tokens)) for j in range(i)]
+
+
+def brute_runs(streams, share, least=1):
+    """Runs of RUN words on more than share of the streams, and on how many."""
+    count = {}
+    for s in streams:
+        w = s.split(" ")
+        for run in {tuple(w[i : i + H.RUN]) for i in range(len(w) - H.RUN + 1)}:
+            count[run] = count.get(run, 0) + 1
+    return {int(H.run_hashes(list(r))[0]): n for r, n in count.items() if n >= least and n > share * len(streams)}
+
+
+def repeating_streams(rng, n):
+    parts = [" ".join(rng.choice("abc") for _ in range(14)) for _ in range(5)]
+    return [" ".join([rng.choice(parts) if rng.random() < 0.6 else " ".join(rng.choice("abcdefg") for _ in range(9)) for _ in range(rng.randint(0, 6))]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_frequent_runs_against_brute_force(seed):
+    streams = repeating_streams(random.Random(seed), 12) + ["", "one"]
+    for share in (0.0, 0.3, 0.5):
+        assert dict(zip(*(x.tolist() for x in H.frequent_runs(streams, share)))) == brute_runs(streams, share)
+
+
+@pytest.mark.parametrize("chars", [10**6, 150])  # a suffix array for each host, or several
+def test_boilerplate_of_hosts_against_brute_force(spark, monkeypatch, chars):
+    monkeypatch.setattr(H, "PART_CHARS", chars)
+    rng = random.Random(9)
+    menu = " ".join(f"menu{i}" for i in range(11))
+    hosts = {"a": list(dict.fromkeys(s + f" {menu}" * (i % 3 > 0) for i, s in enumerate(repeating_streams(rng, 40)))), "b": list(dict.fromkeys(repeating_streams(rng, 7))), "c": ["x y z " * 9] * 2, "": ["q " * 20 + str(i) for i in range(5)]}
+    rows = [(h, k, s) for h, streams in hosts.items() for k, s in enumerate(streams)]
+    runs, sizes = H.boilerplate_runs(spark.createDataFrame(rows, "host string, key bigint, stream string"))
+    want = {(h, r) for h, streams in hosts.items() for r in brute_runs(streams, H.SHARE, H.LEAST)}
+    assert {(r.host, r.run) for r in runs.collect()} == want and {h for h, _ in want} >= {"a", ""}
+    assert (max(r.parts for r in sizes.collect()) > 1) == (chars < 1000)
+
+
+@pytest.mark.parametrize("chars", [8_000_000, 300])
+def test_pages_whose_articles_are_not_marked(spark, monkeypatch, chars):
+    """Without article tags the text is the same: what repeats on the host goes, the rest stays."""
+    monkeypatch.setattr(H, "PART_CHARS", chars)
+    menu = "".join(f"<div>menu {i}</div>" for i in range(9))
+    foot = "<div>about this site and who it is that writes it</div>"
+    mixed = "published by the staff of this site every day of the week"
+    rng = random.Random(2)
+    text = {i: "\n".join(" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randint(1, 30))) for _ in range(4)) for i in range(30)}
+    body = lambda t: menu + "".join(f"<div>{p}</div>" for p in t.split("\n")) + f"<div>{t[:6]} {mixed}</div>" + foot
+    rows = [(i, f"http://a.example/{i}", page(body(t))) for i, t in text.items()]
+    rows += [(100 + i, "http://b.example/x", page(body(text[i]))) for i in range(2)]
+    out = {r.page_id: r.text for r in H.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i: out[i] for i in text} == {i: t + "\n" + t[:6].strip() for i, t in text.items()}
+    assert all(mixed in out[100 + i] and "menu 8" in out[100 + i] for i in range(2))  # two pages tell nothing
+
+
+def test_given_pages_without_article_tags(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").where("page_id % 2 = 0")
+    plain = pages.withColumn("html", F.regexp_replace("html", r"(</?)article\b", "$1div"))
+    want = {r.page_id: r.text for r in H.extract_pages(pages).collect()}
+    assert {r.page_id: r.text for r in H.extract_pages(plain).collect()} == want
+
+
+def test_blocks_beside_the_text_need_proof(spark):
+    beside = lambda i: f"<p>unique note of page {i} with some more words {i}</p><p>short {i}</p><p>the same note on each of the pages here</p>"
+    rows = [(i, "http://a.example/", page(f"{beside(i)}<main><p>story {i}</p></main>")) for i in range(3)] + [(9, "http://b.example/", page(f"{beside(9)}<main><p>story</p></main>"))]
+    out = {r.page_id: r.text for r in H.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == {**{i: f"unique note of page {i} with some more words {i}\nstory {i}" for i in range(3)}, 9: "story"}
 
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path(P.TOKENIZER))
