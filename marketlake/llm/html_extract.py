@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .shared import grams, ship, written
 
-#: Words of the shortest run that counts as repeated, and the share of a block that covers it all.
-RUN, COVERED = 8, 0.8
+#: Words of the shortest run that counts as repeated.
+RUN = 8
 #: A run is boilerplate on more than this share of a host's different pages, and on so many at least: fewer cannot tell
 #: a template from a quotation.
 SHARE, LEAST = 0.5, 3
@@ -221,8 +221,8 @@ def frequent_runs(streams: list[str], share: float = SHARE) -> tuple[np.ndarray,
 def without_runs(found: list[tuple[str, str]], boilerplate: np.ndarray) -> str:
     """The text of blocks (text, role) of a page without the boilerplate.
 
-    Runs go over the borders of blocks, as menus are many short ones. A block of which they cover COVERED goes; of any
-    other only what a run inside it covers does, and its unique words stay. A block beside the text stays if it is long
+    Runs go over the borders of blocks, as menus are many short ones. A block that they cover goes; of any other
+    only what a run inside it covers does, and its unique words stay. A block beside the text stays if it is long
     enough to be known as unique.
     """
     words = [t.split(" ") for t, _ in found]
@@ -233,7 +233,7 @@ def without_runs(found: list[tuple[str, str]], boilerplate: np.ndarray) -> str:
     for (text, role), own in zip(found, words):
         end = at + len(own)
         n_covered = int(covered[at:end].sum())
-        if role == "beside" and (n_covered or len(own) < RUN) or role == "noise" or n_covered >= COVERED * len(own):
+        if role == "beside" and (n_covered or len(own) < RUN) or role == "noise" or n_covered == len(own):
             text = ""
         elif n_covered:
             inside = _covered(begins[at : max(at, end - RUN + 1)], len(own))
