@@ -23,6 +23,8 @@ RUN = 8
 SHARE, LEAST = 0.5, 3
 #: Characters of pages (on average) that one suffix array is made of; a larger host has several.
 PART_CHARS = 8_000_000
+#: Boilerplate runs, of 8 bytes each and their host, up to which they are sent to all tasks.
+BROADCAST_RUNS = 200_000
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HOST = re.compile(r"^\s*\w[\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
@@ -263,7 +265,8 @@ def boilerplate_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     sizes = found.groupBy("host").agg(F.count("*").alias("n_pages"), F.ceil(F.sum(F.length("stream").cast("long")) / PART_CHARS).alias("parts"))
     hosts = sizes.where(F.col("n_pages") >= LEAST).withColumn("parts", F.greatest(F.col("parts"), F.lit(1)).cast("int"))
-    dealt = found.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    # dealt by part explicitly: after a join by host Spark would leave a host's parts together
+    dealt = found.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).repartition("host", "part")
 
     def frequent(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         runs, pages = frequent_runs(pdf["stream"].tolist())
@@ -295,8 +298,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     they stand, unique runs are kept. A main element or article tells two things more: what repeats inside it is no
     sign of boilerplate, and blocks beside it are kept only where the host's pages show them to be unique.
 
-    A host with a third of all pages is dealt into parts of about PART_CHARS, for the suffix arrays and for the pages
-    that are cut; pages of hosts without boilerplate are never shuffled.
+    A host with a third of all pages is dealt into parts of about PART_CHARS. Pages are only shuffled for their suffix
+    arrays, one of each kind and what counts of it; runs come to the pages, up to BROADCAST_RUNS of them in all.
 
     Defined cases: null and empty html give an empty text; pages of a host with the same blocks are one page, so that
     copies do not make each other boilerplate; a null or broken url is a host of its own name ""; repeated rows are
@@ -328,18 +331,35 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     runs = written(runs, "boilerplate")
 
     marked = runs.select("host").distinct().withColumn("cut", F.lit(True))
-    dealt = found.join(hosts.join(marked, "host", "left"), "host", "left").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
-    whole = dealt.where(F.col("cut").isNull()).select("page_id", "url", _text(F.col("n_pages") >= LEAST).alias("text"))
+    all_pages = found.join(hosts.join(marked, "host", "left"), "host", "left")
+    whole = all_pages.where(F.col("cut").isNull()).select("page_id", "url", _text(F.col("n_pages") >= LEAST).alias("text"))
+    to_cut = all_pages.where("cut")
+    rest = _cut_here(to_cut, runs) if runs.count() <= BROADCAST_RUNS else _cut_by_part(to_cut, runs.join(hosts, "host"))
+    return whole.union(rest).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _cut_here(pages: DataFrame, runs: DataFrame) -> DataFrame:
+    """page_id, url and text without the runs, which are sent to all tasks; pages stay where they are."""
+    sent = pages.sparkSession.sparkContext.broadcast({r["host"]: np.sort(np.array(r["runs"], np.int64)) for r in runs.groupBy("host").agg(F.collect_list("run").alias("runs")).collect()})
+
+    @F.pandas_udf("string")
+    def cut(host: pd.Series, blocks: pd.Series) -> pd.Series:
+        return pd.Series([without_runs([(b["text"], b["role"]) for b in each], sent.value[h]) for h, each in zip(host, blocks)], dtype=object)
+
+    return pages.select("page_id", "url", cut("host", "blocks").alias("text"))
+
+
+def _cut_by_part(pages: DataFrame, runs: DataFrame) -> DataFrame:
+    """The same with pages dealt out by host and part, each part with its host's runs (host, run, parts)."""
 
     def cut(key: tuple, pdf: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         boilerplate = own["run"].to_numpy()
         text = [without_runs([(b["text"], b["role"]) for b in each], boilerplate) for each in pdf["blocks"]]
         return pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"].astype(object), "text": pd.Series(text, pdf.index, dtype=object)})
 
-    to_cut = dealt.where("cut").select("page_id", "url", "blocks", "host", "part")
-    asked = runs.join(hosts, "host").select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rest = to_cut.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(cut, "page_id bigint, url string, text string")
-    return whole.union(rest).withColumn("n_chars", F.length("text").cast("long"))
+    dealt = pages.select("page_id", "url", "blocks", "host", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part")).repartition("host", "part")
+    asked = runs.select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return dealt.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(cut, "page_id bigint, url string, text string")
 
 
 def _text(compared: Column) -> Column:

@@ -112,6 +112,7 @@ def test_boilerplate_of_hosts_against_brute_force(spark, monkeypatch, chars):
 def test_pages_whose_articles_are_not_marked(spark, monkeypatch, chars):
     """Without article tags the text is the same: what repeats on the host goes, the rest stays."""
     monkeypatch.setattr(H, "PART_CHARS", chars)
+    monkeypatch.setattr(H, "BROADCAST_RUNS", chars - 300)  # runs come to the pages, or pages to the runs
     menu = "".join(f"<div>menu {i}</div>" for i in range(9))
     foot = "<div>about this site and who it is that writes it</div>"
     mixed = "published by the staff of this site every day of the week"
