@@ -22,7 +22,7 @@ RUN = 8
 #: a template from a quotation.
 SHARE, LEAST = 0.5, 3
 #: Characters of pages (on average) that one suffix array is made of; a larger host has several.
-PART_CHARS = 8_000_000
+PART_CHARS = 1_000_000
 #: Boilerplate runs, of 8 bytes each and their host, up to which they are sent to all tasks.
 BROADCAST_RUNS = 200_000
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?][^>]*>""", re.S)
@@ -264,7 +264,7 @@ def boilerplate_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     then counted in every part, which makes the counts exact.
     """
     sizes = found.groupBy("host").agg(F.count("*").alias("n_pages"), F.ceil(F.sum(F.length("stream").cast("long")) / PART_CHARS).alias("parts"))
-    hosts = sizes.where(F.col("n_pages") >= LEAST).withColumn("parts", F.greatest(F.col("parts"), F.lit(1)).cast("int"))
+    hosts = written(sizes.where(F.col("n_pages") >= LEAST).withColumn("parts", F.greatest(F.col("parts"), F.lit(1)).cast("int")), "hosts")
     # dealt by part explicitly: after a join by host Spark would leave a host's parts together
     dealt = found.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).repartition("host", "part")
 
@@ -331,7 +331,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     runs = written(runs, "boilerplate")
 
     marked = runs.select("host").distinct().withColumn("cut", F.lit(True))
-    all_pages = found.join(hosts.join(marked, "host", "left"), "host", "left")
+    # written, so that its size is known before pages are joined: Spark broadcasts it up to its threshold
+    all_pages = found.join(written(hosts.join(marked, "host", "left"), "marked"), "host", "left")
     whole = all_pages.where(F.col("cut").isNull()).select("page_id", "url", _text(F.col("n_pages") >= LEAST).alias("text"))
     to_cut = all_pages.where("cut")
     rest = _cut_here(to_cut, runs) if runs.count() <= BROADCAST_RUNS else _cut_by_part(to_cut, runs.join(hosts, "host"))
