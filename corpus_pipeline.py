@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm.decontaminate import decontaminate
-from marketlake.llm.language_id import UNKNOWN, predicted, train_language_model
+from marketlake.llm.language_id import keep_known_languages
 from marketlake.llm.line_dedup import drop_boilerplate_lines
 from marketlake.llm.near_copies import drop_near_copies
 from marketlake.llm.packing import pack
@@ -16,9 +16,12 @@ from marketlake.llm.shared import shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that have a language: the model rejects (as `und`) null texts and those without letters."""
-    model = train_language_model(docs.select("doc_id", "text", "lang"))
-    return predicted(docs, model).where(F.col("__language.lang_pred") != UNKNOWN).drop("__language")
+    """Keeps documents in a language that the labelled ones teach, and fills a null lang in.
+
+    Null texts, texts without letters and texts that score under LEAST_SCORE go; if no document is labelled, all texts
+    with a letter stay. Repeated rows and all columns, of any names, stay; no rows give no rows.
+    """
+    return keep_known_languages(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands bring texts together, exact sets decide."""
+"""Near copies by the Jaccard similarity of word shingles: SimHash anchors bring texts together, exact sets decide."""
 
 from __future__ import annotations
 
@@ -7,54 +7,99 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import grams, ship, written
+from .shared import free_name, grams, mixed, ship, written
+from .simhash import BLOCKS, LENGTH, anchors
 
 #: Words of a shingle, and the share of their joint shingles that two near copies have in common.
 WORDS, SIMILARITY = 5, 0.8
-#: MinHash values in groups of ROWS: of pairs at SIMILARITY all bands miss (1 - 0.8 ** 4) ** 32, one in 20 million.
-BANDS, ROWS = 32, 4
-_SHINGLES = 1 << 12
-_RANDOM = np.random.default_rng(42)
-_MASKS = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)
-_FACTORS = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+#: Fingerprints of a text, and the differing bits at which two of them surely meet at an anchor.
+PRINTS, THRESHOLD = 16, 1
+#: Texts of SIMILARITY differ in 15 % of the bits of their shingles' fingerprints; a pair is not compared where more
+#: than these differ, of the first 64 and of all: four and five standard deviations above that.
+FIRST_BITS, ALL_BITS = 22, 215
+_SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(PRINTS)], dtype=np.uint64)
+_FEATURES = 1 << 14
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The distinct hashes (uint64, sorted) of all runs of words; a shorter text is one run. Words are what white space
-    parts, lower-cased in ASCII."""
+def _words(text: str | None) -> np.ndarray:
+    """Hashes of the words, which are what white space parts, lower-cased in ASCII."""
     found = (text or "").encode("utf-8", "replace").lower().split()
-    if not found:
-        return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
-    return np.unique(grams(hashes, min(words, len(found))))
+    return np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The distinct hashes (uint64, sorted) of all runs of words; a shorter text is one run."""
+    return _shingles(_words(text), words)
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A key (int64) for each band of a set of hashes; equal sets have equal keys."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for at in range(0, len(hashes), _SHINGLES):
-            np.minimum(least, ((hashes[at : at + _SHINGLES, None] ^ _MASKS) * _FACTORS).min(axis=0), out=least)
-    rows = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), b) for b, r in enumerate(rows)], dtype=np.uint64).view(np.int64)
+def _shingles(hashes: np.ndarray, words: int) -> np.ndarray:
+    return np.unique(grams(hashes, min(words, len(hashes)))) if len(hashes) else np.empty(0, dtype=np.uint64)
 
 
-def _sketched(docs: DataFrame, words: int) -> DataFrame:
-    """docs with __set, a struct of node (a hash of the set of shingles) and keys (its bands)."""
+def fingerprints(features: np.ndarray) -> np.ndarray:
+    """PRINTS independent SimHash fingerprints (uint64) of a set of hashes: a bit is set if over half of them have it."""
+    counts = np.zeros((PRINTS, 64), dtype=np.int64)
+    for at in range(0, len(features), _FEATURES):
+        with np.errstate(over="ignore"):
+            each = mixed(features[None, at : at + _FEATURES] ^ _SEEDS[:, None])
+        counts += np.unpackbits(each.view(np.uint8).reshape(PRINTS, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+    return np.packbits(counts * 2 > len(features), axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def _sketched(docs: DataFrame, words: int, to: str) -> DataFrame:
+    """docs with a struct column: node (a hash of the set of shingles), anchored (fingerprints of the set of words) and
+    compared (fingerprints of the set of shingles); texts without words have none."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("node bigint, keys array<bigint>")
+    @F.pandas_udf("node bigint, anchored array<bigint>, compared array<bigint>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in texts:
-            sets = [shingles(t if isinstance(t, str) else None, words) for t in series]
-            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"node": nodes, "keys": [bands(s) if len(s) else [] for s in sets]})
-
-    return docs.withColumn("__set", sketch("text"))
+            nodes, anchored, compared = [], [], []
+            for text in series:
+                hashes = _words(text if isinstance(text, str) else None)
+                own = _shingles(hashes, words)
+                nodes.append(xxhash.xxh64_intdigest(own.tobytes(), 42))
+                anchored.append(fingerprints(np.unique(hashes)).view(np.int64) if len(own) else [])
+                compared.append(fingerprints(own).view(np.int64) if len(own) else [])
+            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "anchored": anchored, "compared": compared})
+
+    return docs.withColumn(to, sketch("text"))
+
+
+def _dealt(nodes: DataFrame, home_only: bool) -> DataFrame:
+    """cell, root, node, f, home and n of nodes (node, root, anchored, compared): each fingerprint of the words at its
+    own anchor (home) and, unless home_only, at all others within covering radius plus THRESHOLD. f is the first
+    fingerprint of the shingles. Of nodes with one root, a cell gets from a batch the smallest (apart for home or not);
+    n is then 2, else 1."""
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 2048):
+                part = pdf.iloc[at : at + 2048]
+                prints = np.stack(part["anchored"].to_numpy()).astype(np.int64).view(np.uint64)
+                columns = {c: part[c].to_numpy(dtype=np.int64) for c in ("root", "node", "f")}
+                shared_root = part["root"].duplicated(keep=False).to_numpy()
+                for k in range(PRINTS):
+                    own, number, anchor = anchors(prints[:, k], 0 if home_only else THRESHOLD)
+                    out = pd.DataFrame({"cell": anchor | k << (LENGTH * BLOCKS), **{c: v[number] for c, v in columns.items()}, "home": anchor == own[number], "n": 1})
+                    yield out[~shared_root[number]]
+                    if shared_root.any():
+                        several = out[shared_root[number]].sort_values("node")
+                        several["n"] += several.duplicated(["cell", "root", "home"], keep=False)
+                        yield several.drop_duplicates(["cell", "root", "home"])
+
+    # each becomes some 150 rows, so few bytes are dealt out to as many tasks as a large shuffle would get
+    spread = nodes.select("node", "root", "anchored", F.get("compared", F.lit(0)).alias("f")).where(F.size("anchored") > 0)
+    spread = spread.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return spread.mapInPandas(deal, "cell bigint, root bigint, node bigint, f bigint, home boolean, n bigint")
+
+
+def _differ(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -72,45 +117,87 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return written(both.where(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v"), "similar")
 
 
-def groups(sets: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """node and root of each node that is linked to a smaller one, from sets (node, keys), one row a node.
+def _rooted(nodes: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """nodes with the root of their component, themselves if nothing links them."""
+    if linked is None:
+        return nodes.withColumn("root", F.col("node"))
+    roots = components(linked).select(F.col("node").alias("_n"), F.col("root").alias("_r"))
+    return nodes.drop("root").join(roots, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("_r", "node")).drop("_n", "_r")
 
-    Two nodes are linked if a band brings them together and their exact similarity is high enough. First every member
-    of a band is held against the smallest one, which joins a large group of near copies in as many pairs as it has
-    members; then only members of a band that are not yet in one component are held against each other.
+
+def _pair(u: Column, v: Column) -> list[Column]:
+    return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
+
+
+def groups(nodes: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """node and root of each node that is linked to a smaller one; nodes has node, anchored and compared, one row a node.
+
+    Two nodes are linked if one of them is at the home anchor of the other and their exact similarity is high enough.
+    Members of one component are never held against each other, so that a group of very many near copies costs little:
+    first each node is held against one other at its home anchors; then, of each component at an anchor, one member
+    against those of other components; and last all members where several meet other components.
     """
-    dealt = sets.select("node", F.explode("keys").alias("key"))
-    shared = written(dealt.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("key", "least"), "bands")
-    members = written(dealt.join(shared, "key"), "members")
-    first = written(members.where("node != least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
-    linked = _similar(first, texts, words, similarity)
-
-    roots = components(linked).select(F.col("node").alias("__n"), "root")
-    rooted = written(members.join(roots, F.col("node") == F.col("__n"), "left").select("key", "node", F.coalesce("root", "node").alias("root")), "rooted")
-    mixed = written(rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key", "a"), "mixed")
-    open_ = written(rooted.join(mixed, "key"), "open")
-    left = open_.where("root != a").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    right = open_.select("key", F.col("node").alias("y"), F.col("root").alias("ry"), "a")
-    met = left.join(right, "key").where((F.col("rx") != F.col("ry")) & ((F.col("ry") == F.col("a")) | (F.col("x") < F.col("y"))))
-    rest = met.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct().join(first, ["u", "v"], "left_anti")
+    nodes = _rooted(nodes, None)
+    homes = written(_dealt(nodes, home_only=True), "homes")
+    # a centre of its own for each cell, so that members of one group meet several
+    order = F.struct(F.xxhash64("cell", "node").alias("o"), "node", "f")
+    centres = homes.groupBy("cell").agg(F.min(order).alias("c"), F.max(order).alias("m")).where("c != m").select("cell", F.col("c.node").alias("centre"), F.col("c.f").alias("g"))
+    stars = homes.join(centres, "cell").where((F.col("node") != F.col("centre")) & (_differ(F.col("f"), F.col("g")) <= FIRST_BITS))
+    tested = written(stars.select(*_pair(F.col("node"), F.col("centre"))).distinct(), "pairs")
+    linked = _similar(_likely(tested, nodes), texts, words, similarity)
+
+    nodes = written(_rooted(nodes, linked), "rooted")
+    node = F.struct("node", "f")
+    # dealt by cell, which serves the groups and their join
+    reps = _dealt(nodes, home_only=False).repartition("cell").groupBy("cell", "root").agg(F.min(node).alias("any"), F.min(F.when(F.col("home"), node)).alias("own"), F.sum("n").alias("n"))
+    here = reps.where("own is not null").select("cell", F.col("root").alias("rx"), F.col("own.node").alias("x"), F.col("own.f").alias("fx"), F.col("n").alias("nx"))
+    there = reps.select("cell", F.col("root").alias("ry"), F.col("any.node").alias("y"), F.col("any.f").alias("fy"), F.col("n").alias("ny"))
+    met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & ((_differ(F.col("fx"), F.col("fy")) <= FIRST_BITS) | (F.col("nx") + F.col("ny") > 2)))
+    met = written(met.select("cell", *_pair(F.col("x"), F.col("y")), (F.col("nx") + F.col("ny") > 2).alias("more")), "met")
+    fresh = written(met.select("u", "v").distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+    linked = linked.union(_similar(_likely(fresh, nodes), texts, words, similarity))
+    crowded = written(met.where("more").select("cell").distinct(), "crowded")
+    if crowded.isEmpty():
+        return components(linked)
+
+    tested = tested.union(fresh)
+    nodes = written(_rooted(nodes, linked), "rooted")
+    members = written(_dealt(nodes.withColumn("root", F.col("node")), home_only=False).join(crowded, "cell").select("cell", "node", "home"), "members")
+    known = members.join(nodes.select("node", "root", "compared"), "node")
+    mixed_cells = known.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
+    open_ = written(known.join(mixed_cells, "cell").select("cell", "node", "root", "home", *[F.get("compared", F.lit(k)).alias(f"p{k}") for k in range(PRINTS)]), "open")
+    other = open_.select("cell", *[F.col(c).alias(f"{c}_") for c in open_.columns if c not in ("cell", "home")])
+    bits = sum((_differ(F.col(f"p{k}"), F.col(f"p{k}_")) for k in range(1, PRINTS)), _differ(F.col("p0"), F.col("p0_")))
+    rest = open_.where("home").join(other, "cell").where((F.col("root") != F.col("root_")) & (bits <= ALL_BITS))
+    rest = rest.select(*_pair(F.col("node"), F.col("node_"))).distinct().join(tested, ["u", "v"], "left_anti")
     return components(linked.union(_similar(written(rest, "pairs"), texts, words, similarity)))
 
 
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose fingerprints of the shingles do not rule out that they are similar."""
+    of = lambda name, to: nodes.select(F.col("node").alias(name), F.col("compared").alias(to))
+    both = pairs.join(of("u", "_cu"), "u").join(of("v", "_cv"), "v")
+    bits = sum((_differ(F.get("_cu", F.lit(k)), F.get("_cv", F.lit(k))) for k in range(1, PRINTS)), _differ(F.get("_cu", F.lit(0)), F.get("_cv", F.lit(0))))
+    return written(both.where(bits <= ALL_BITS).select("u", "v"), "likely")
+
+
 def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest doc_id (of rows that repeat this id, the
-    first written; null ids come last). All columns are kept.
+    first written; null ids come last). All columns are kept, whatever their names.
 
     Groups are connected components. Texts with the same set of shingles are one node, so copies cost nothing more; null
     texts and those without words are one such set. Texts are read again only for the pairs that are held against each
-    other.
+    other, and never shuffled whole: rows to drop are known by number. An empty table gives an empty one.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = written(_sketched(docs, words).withColumn("__row", F.monotonically_increasing_id()), "sketched")
-    k = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
-    nodes = written(whole.select(F.col("__set.node").alias("node"), k.alias("k")).groupBy("node").agg(F.min("k").alias("k")), "nodes")
-    one = nodes.select(F.col("k.row").alias("__row"))
-    sets = written(whole.select("__row", "__set").join(one, "__row", "left_semi").select("__set.node", "__set.keys"), "sets")
-    texts = whole.select("__row", F.col("text").alias("__text")).join(nodes.select(F.col("k.row").alias("__row"), "node"), "__row").select("node", F.col("__text").alias("text"))
-    roots = groups(sets, texts, words, similarity).select(F.col("node").alias("__n"), "root")
-    best = nodes.join(roots, F.col("node") == F.col("__n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
-    return whole.join(best.select(F.col("k.row").alias("__row")), "__row", "left_semi").select(*columns)
+    row, sketch = free_name(docs, "row"), free_name(docs, "sketch")
+    whole = written(_sketched(docs, words, sketch).withColumn(row, F.monotonically_increasing_id()), "sketched")
+    k = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    slim = whole.select(F.col(f"{sketch}.*"), k.alias("k"))
+    nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), F.first("anchored").alias("anchored"), F.first("compared").alias("compared")), "nodes")
+    texts = whole.select(F.col(row).alias("row"), F.col("text").alias("text")).join(nodes.select(F.col("k.row").alias("row"), "node"), "row").select("node", "text")
+    roots = written(groups(nodes.select("node", "anchored", "compared"), texts, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
+    best = nodes.join(roots, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
+    kept = best.select(F.col("k.row").alias(row))
+    drop = written(whole.select(row).join(kept, row, "left_anti"), "dropped")
+    return whole.join(drop, row, "left_anti").select(*columns)

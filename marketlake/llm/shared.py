@@ -160,3 +160,11 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
         for k in range(n):
             out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + count]
     return mixed(out)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have: name with underscores before it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -47,6 +47,82 @@ def test_counts_do_not_depend_on_slices(monkeypatch, size):
     assert (L.features(text) ** 2).sum() == pytest.approx(1, abs=1e-4) and not L.features("").any()
 
 
+@pytest.mark.parametrize(("text", "want"), [("½ ² ①② Ⅷ 12", False), ("№", False), ("_", False), ("\u0301", False), ("ª", True), ("語", True), ("1 é", True), ("", False), (None, False)])
+def test_letters(text, want):
+    assert L.has_letter(text) is want
+
+
+def some_rows(rng, n, shift):
+    rows = []
+    for _ in range(n):
+        idx = np.unique(rng.integers(shift, shift + 60, 20)).astype(np.int32)
+        rows.append((idx, rng.random(len(idx)).astype(np.float32)))
+    return rows
+
+
+def test_training_against_plain_pegasos():
+    rng = np.random.default_rng(3)
+    first, second = some_rows(rng, 7, 0), some_rows(rng, 12, 30)
+    w, ends, t = np.zeros((1 << L.BITS) + 1), [], 0
+    for y, idx, val in L._schedule(first, second, 4):
+        t += 1
+        x = np.zeros_like(w)
+        x[idx], x[-1] = val, L.BIAS
+        rate = 1 / (1e-4 * (t + L.START))
+        hit = y * (w @ x) < 1
+        w = (1 - rate * 1e-4) * w + (rate * y * x if hit else 0)
+        if t % 24 == 0:
+            ends.append(w)
+    want = np.mean(ends[2:], axis=0)
+    got = L.fit_separator(first, second, epochs=4)
+    assert np.allclose(got.weights, want[:-1], atol=1e-4) and got.bias == pytest.approx(want[-1] * L.BIAS, abs=1e-6)
+    assert all(got.weights[i] @ v + got.bias > 0 for i, v in first) and all(got.weights[i] @ v + got.bias < 0 for i, v in second)
+
+
+def test_many_rows_do_not_turn_the_weights():
+    first, second = [(np.array([1], np.int32), np.ones(1, np.float32))] * 15_000, [(np.array([2], np.int32), np.ones(1, np.float32))] * 15_000
+    s = L.fit_separator(first, second, epochs=2)
+    assert s.weights[1] > 0 > s.weights[2]
+
+
+def test_prediction_against_plain_duels():
+    rng = np.random.default_rng(5)
+    rows = []
+    for k, lang in enumerate(("de", "en", "nl", "fr", "es")):
+        rows += [(lang, (k * 40 + r[0]).astype(np.int32).tobytes(), r[1].tobytes()) for r in some_rows(rng, 9, 0)]
+    model = L.fit(rows)
+    of = {f: [x for x in ("de", "en", "nl", "fr", "es") if L.family_of(x) == f] for f in ("germanic", "romance")}
+    for text in ("alpha beta", "x", "Ünï cödé und mehr", "le la les une"):
+        x = L.features(text).astype(float)
+        p = lambda s: 1 / (1 + np.exp(-s.slope * (s.weights.astype(float) @ x + s.bias)))
+        share = {f: p(model.by_family[f]) for f in of}
+        family = max(share, key=share.get)
+        wins, mean = dict.fromkeys(of[family], 0), dict.fromkeys(of[family], 0.0)
+        for (a, b), s in model.pairs.items():
+            if a in wins:
+                wins[a if p(s) >= 0.5 else b] += 1
+                mean[a] += p(s) / (len(wins) - 1)
+                mean[b] += (1 - p(s)) / (len(wins) - 1)
+        best = max(wins, key=lambda k: (wins[k], mean[k]))
+        lang, score = model.predict(text)
+        assert lang == best and score == pytest.approx(share[family] / sum(share.values()) * mean[best], abs=1e-5)
+
+
+def test_kept_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 300").withColumns({"language": F.lit("mine"), "score": F.lit(1)})
+    de = docs.where("lang = 'de'").first().text
+    odd = [(9001, None), (9002, "12 ½"), (9003, "这是一个测试句子，没有空格。" * 5), (9004, de), (9004, de)]
+    odd = spark.createDataFrame([(i, t, None, "s", 1, "mine", 1) for i, t in odd], docs.schema)
+    out = L.keep_known_languages(docs.union(odd))
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()} | {9004} and len(rows) == docs.count() + 2
+    assert [r.lang for r in rows if r.doc_id == 9004] == ["de", "de"] and {r.language for r in rows} == {"mine"}
+    plain = docs.union(odd).withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in L.keep_known_languages(plain).collect()} == {r.doc_id for r in docs.collect()} | {9003, 9004}
+    assert L.keep_known_languages(docs.limit(0)).count() == 0
+
+
 def auc(y, s):
     order = np.argsort(s, kind="stable")
     ranks = np.empty(len(s))

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marketlake.llm import near_copies as C
+from marketlake.llm.shared import mixed
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -56,3 +59,35 @@ def test_repeated_and_null_ids(spark):
     rows = [(None, "a b c d e f g", None, None, 7)] * 3 + [(2, "k l m n o p", "en", "s", 1)] * 2
     assert sorted(str(r.doc_id) for r in C.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()) == ["2", "None"]
     assert C.drop_near_copies(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_fingerprints_against_brute_force():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 7, 100):
+        features = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        want = []
+        for seed in C._SEEDS:
+            each = mixed(features ^ seed).tolist()
+            want.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in each) > n))
+        assert C.fingerprints(features).tolist() == want
+    assert (C.fingerprints(np.empty(0, np.uint64)) == 0).all()
+
+
+@pytest.mark.parametrize("rate", [0.005, 0.02])
+def test_large_groups_of_near_copies(spark, rate):
+    """Edits of edits of one text: links between any two different sets count, however they are connected."""
+    rng = random.Random(7)
+    texts = [[f"w{rng.randrange(3000)}" for _ in range(150)]]
+    for i in range(400):
+        texts.append([f"e{i}x{k}" if rng.random() < rate else w for k, w in enumerate(rng.choice(texts))])
+    rows = [(i, " ".join(t), None, None, 0) for i, t in enumerate(texts)]
+    got = sorted(r.doc_id for r in C.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == brute_kept([r[:2] for r in rows])
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "one two three", "a", 5, "s"), (2, "one two three", "b", 6, "t"), (3, None, "c", 7, "u")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, row string, sketch int, node string").withColumns({"_row": F.lit("mine"), "k": F.lit(1), "u": F.lit(2)})
+    out = C.drop_near_copies(df)
+    assert out.columns == df.columns
+    assert sorted(tuple(r)[:6] for r in out.collect()) == [(1, "one two three", "a", 5, "s", "mine"), (3, None, "c", 7, "u", "mine")]
