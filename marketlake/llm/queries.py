@@ -146,15 +146,16 @@ ORACLE_SQL = {
     """,
     "op7_line_dedup": """
         WITH p AS (
-            SELECT DISTINCT source, text FROM documents WHERE source IS NOT NULL
+            SELECT row_number() OVER () AS page, source, text FROM documents WHERE source IS NOT NULL
         ), n AS (
             SELECT source, count(*) AS host_pages FROM p GROUP BY source
         ), l AS (
             SELECT source, line, count(*) AS pages
-            FROM (SELECT DISTINCT source, text, unnest(string_split(text, chr(10))) AS line FROM p)
+            FROM (SELECT DISTINCT page, source, unnest(string_split(text, chr(10))) AS line FROM p)
             WHERE trim(line, ' ') <> '' GROUP BY source, line
         ), b AS (
-            SELECT l.source, list(line) AS lines FROM l JOIN n USING (source) WHERE pages >= 3 AND pages > host_pages * 0.05 GROUP BY l.source
+            SELECT l.source, list(line) AS lines FROM l JOIN n USING (source)
+            WHERE pages >= 2 AND pages > host_pages * CAST(0.05 AS DOUBLE) GROUP BY l.source
         )
         SELECT doc_id, d.source, CASE WHEN text IS NULL OR lines IS NULL THEN text ELSE
             array_to_string(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') = '' OR NOT list_contains(lines, x)), chr(10)) END AS text

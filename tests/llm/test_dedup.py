@@ -123,13 +123,14 @@ def test_one_of_each_group_stays(spark):
     assert nulls.count() == 1
 
 
-def brute_lines(rows, ratio, least):
+def brute_lines(rows, ratio, least, copies):
     pages = {}
     for _, text, host in rows:
         if host is not None:
-            pages.setdefault(host, set()).add(text)
+            pages.setdefault(host, []).append(text)
     drop = {}
     for host, texts in pages.items():
+        texts = texts if copies else set(texts)
         count = {}
         for t in texts:
             for line in set((t or "").split("\n")) if t is not None else ():
@@ -138,15 +139,21 @@ def brute_lines(rows, ratio, least):
     return [(i, t if t is None else "\n".join(x for x in t.split("\n") if x not in drop.get(h, ())), h) for i, t, h in rows]
 
 
+@pytest.mark.parametrize("copies", [True, False])
 @pytest.mark.parametrize("limit", [10**6, 0])  # broadcast or shuffled
-def test_lines_against_brute_force(spark, monkeypatch, limit):
+def test_lines_against_brute_force(spark, monkeypatch, limit, copies):
     monkeypatch.setattr(N, "BROADCAST_LINES", limit)
     rng = random.Random(5)
     rows = [(i, "\n".join(rng.choice(["menu", "foot", "", " ", f"own {i}", "é|[x]"]) for _ in range(rng.randint(1, 6))), rng.choice(["a", "a", "b", "c", None])) for i in range(300)]
     rows += [(None, None, "a"), (5, "menu", None), (6, "", "a"), (7, "long " * 100_000 + "\nmenu", "b"), (8, "menu", "a"), (8, "menu", "a")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns({"__x": F.lit(1), "host": F.lit("h"), "keys": F.lit(2), "a": F.lit(3)})
-    out = N.drop_boilerplate_lines(df, ratio=0.3, min_pages=2)
+    rows += [(9, "a page that is\ncopied often", "d")] * 5 + [(10 + i, f"page {i}", "d") for i in range(3)]
+    names = ["__x", "host", "keys", "a", "site", "_site", "drop", "here", "__site", "__drop", "__here", "of", "ta"]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns({n: F.lit(n) for n in names})
+    out = N.drop_boilerplate_lines(df, ratio=0.3, min_pages=2, copies=copies)
     assert out.columns == df.columns
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2] or "")
-    assert sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=key) == sorted(brute_lines(rows, 0.3, 2), key=key)
+    found = out.collect()
+    assert sorted(((r.doc_id, r.text, r.source) for r in found), key=key) == sorted(brute_lines(rows, 0.3, 2, copies), key=key)
+    assert all(r[n] == n for r in found for n in names)
+    assert [r.text for r in found if r.doc_id == 9 and r.source == "d"] == ["" if copies else "a page that is\ncopied often"] * 5
     assert N.drop_boilerplate_lines(df.limit(0)).count() == 0

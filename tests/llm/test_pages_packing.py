@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import glob
 import random
 import zlib
 from html.parser import HTMLParser
@@ -15,8 +16,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from marketlake.llm import html_extract as H
 from marketlake.llm import packing as P
-from marketlake.llm.line_dedup import MIN_PAGES, RATIO
-from tests.llm.test_dedup import brute_components, brute_fingerprint, brute_lines
+from marketlake.llm.line_dedup import RATIO
+from tests.llm.test_dedup import brute_lines
 
 SF = "/root/testdata/sf0.001"
 ART = "<article><h1>Title &amp; more</h1><p>One  <b>two</b>\n&eacute;&#233;<br>x<p>Three</article>"
@@ -199,17 +200,22 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     import shutil
 
     from marketlake.llm import decontaminate as D
+    from marketlake.llm.language_id import LEAST_SCORE, predicted, train_language_model
+    from tests.llm.test_near_copies import brute_kept
     from tests.llm.test_search import brute_distance
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    odd = [(9001, None, "en", "src0", 0), (9002, "123 456", None, None, 7), (9003, docs.first().text, "en", "src1", 1), (None, "a line of its own\nand one more", "en", "src2", 30)]
+    odd = [(9001, None, "en", "src0", 0), (9002, "123 456", None, None, 7), (9003, docs.first().text, "en", "src1", 1), (9004, "a line of its own\nand one more", "en", "src2", 30), (9005, "\u4e2d\u6587" * 40, None, "src2", 80)]
     shutil.copy(f"{SF}/benchmark.parquet", tmp_path)
     docs.union(spark.createDataFrame(odd, docs.schema)).withColumn("sequence_id", F.lit("mine")).write.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect() if r.text and any(c.isalpha() for c in r.text)]
-    rows = brute_lines(rows, RATIO, MIN_PAGES)
-    roots = brute_components([r[0] for r in rows], [brute_fingerprint(r[1]) for r in rows])
-    rows = [r for r, c in zip(rows, roots) if r[0] == c]
+    all_docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    scores = {r.doc_id: r.p for r in predicted(all_docs, train_language_model(all_docs.select("doc_id", "text", "lang")), to="p").collect()}
+    rows = [(r.doc_id, r.text, r.source) for r in all_docs.collect() if r.text and any(c.isalpha() for c in r.text) and scores[r.doc_id].score >= LEAST_SCORE]
+    assert {r[0] for r in rows} - {9005} == {r.doc_id for r in docs.collect()} | {9003, 9004}
+    rows = brute_lines(rows, RATIO, 3, copies=False)
+    kept = set(brute_kept([r[:2] for r in rows]))
+    rows = [r for r in rows if r[0] in kept]
     items = [("".join(c if c.isalnum() else " " for c in r.text.lower())).split() for r in spark.read.parquet(f"{tmp_path}/benchmark.parquet").collect()]
 
     def clean(text):
@@ -218,20 +224,38 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         return all(len(held.intersection(i)) < 0.5 * len(set(i)) or brute_distance(i, words)[0] > int(len(i) * D.ERROR_RATE) for i in items)
 
     rows = [r for r in rows if clean(r[1])]
-    assert sorted({r.doc_id for r in got if r.doc_id is not None}) == sorted(r[0] for r in rows if r[0] is not None)
+    assert sorted({r.doc_id for r in got}) == sorted(r[0] for r in rows)
     check_packing(got, [r[1] for r in rows], P.SEQUENCE)
 
 
-def test_stage_columns(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+NAMES = ("site", "__site", "drop", "__drop", "here", "__here", "row", "__row", "sketch", "__fingerprint", "language", "__language", "node", "keys", "host", "cell", "root")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in NAMES})
+    docs = docs.union(docs.where("doc_id < 20")).union(docs.where("doc_id = 3").withColumns({c: F.lit(None).cast(t) for c, t in docs.dtypes}))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns, name
-        docs = spark.createDataFrame(out.limit(0).collect(), docs.schema) if name == "none" else docs
+        assert all(r[n] in (f"{n}{r.doc_id}", None) for r in out.collect() for n in NAMES), name
     empty = docs.limit(0)
     assert all(stage(spark, empty, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_unlabelled_corpus_stays(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, docs, SF).count() == docs.count()
+
+
+def test_stage_tables_are_deleted(spark, tmp_path):
+    from marketlake.llm.shared import shared_folder
+
+    before = set(glob.glob(f"{shared_folder(spark)}/marketlake/pipeline-*"))
+    corpus_pipeline.run(spark, SF).count()
+    left = set(glob.glob(f"{shared_folder(spark)}/marketlake/pipeline-*")) - before
+    assert [p.split("pipeline-")[1].split("-")[0] for p in left] == ["decontamination"]
+
+
 class Reader(HTMLParser):
     """The article of a page by Python's own parser; blocks end at h1 and p tags."""
 
