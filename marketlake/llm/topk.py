@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -17,12 +18,14 @@ from .shared import ship, written
 SHARD_ROWS, BLOCK_ROWS, LEAF, CHUNK = 8192, 32768, 64, 512
 SCALE = 256
 TOP = (1 << 63) - 1
+#: Scores that doubles can hold; as the least score to reach, a smaller number is as right.
+LARGE = 10**300
 
 
 class Tree:
     """A KD-tree: median splits along the widest side, with the tight bounding box of each node's vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         order = np.arange(len(ids))
         self.low, self.high, self.children, self.span = [], [], [], []
         todo = [(0, len(ids), -1, 0)]
@@ -43,15 +46,15 @@ class Tree:
                 order[a:b] = order[a:b][np.argpartition(own[:, axis], mid)]
                 todo += [(a, a + mid, here, 0), (a + mid, b, here, 1)]
         self.low, self.high = np.array(self.low), np.array(self.high)
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.rows, self.vectors = ids[order], rows[order], vectors[order]
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """For each query and node, the largest inner product that a vector in the node's box can have."""
         return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
 
-    def search(self, own_id: int, query: np.ndarray, bounds: np.ndarray, k: int, least: float) -> list[tuple[int, int]]:
+    def search(self, own_row: int, query: np.ndarray, bounds: np.ndarray, k: int, least: float) -> list[tuple[int, int]]:
         """Up to k (-score, id) of score `least` or more, best first, smaller ids first among equals; boxes are opened
-        best bound first, until the next one cannot reach the k-th score so far."""
+        best bound first, until the next one cannot reach the k-th score so far. The query's own row is left out."""
         best: list[tuple[int, int]] = []
         heap = [(-bounds[0], 0)]
         while heap:
@@ -66,7 +69,7 @@ class Tree:
             a, b = self.span[node]
             scores = self.vectors[a:b] @ query
             for i in np.flatnonzero(scores >= least):
-                if self.ids[a + i] != own_id:
+                if self.rows[a + i] != own_row:
                     best.append((-int(scores[i]), int(self.ids[a + i])))
             if len(best) >= k:
                 best = heapq.nsmallest(k, best)
@@ -74,37 +77,75 @@ class Tree:
         return sorted(best)[:k]
 
 
+def quantised(vectors: np.ndarray) -> np.ndarray:
+    """floor(256 x) of each component of finite doubles: as doubles while those are exact, else as Python's integers."""
+    if not vectors.size or np.abs(vectors).max() < 2.0**43:
+        return np.floor(vectors * SCALE)
+    whole = [[int(x) * SCALE if abs(x) >= 2.0**53 else math.floor(x * SCALE) for x in v] for v in vectors.tolist()]
+    return np.array(whole, dtype=object).reshape(vectors.shape)
+
+
 def exact(*arrays: np.ndarray) -> list[np.ndarray]:
-    """The integer arrays in a type whose products cannot overflow: doubles while those are exact, else Python's integers."""
+    """Arrays of whole numbers in a type whose products cannot overflow: doubles while those are exact, else Python's
+    integers."""
     top = max((int(np.abs(a).max()) for a in arrays if a.size), default=0)
     width = max((a.shape[1] for a in arrays if a.ndim == 2), default=1)
-    return [a.astype(np.float64) if top * top * max(1, width) < 1 << 52 else a.astype(object) for a in arrays]
-
-
-def quantised(embedding: Column) -> Column:
-    """floor(256 x) of each component x, as longs."""
-    return F.transform(embedding, lambda x: F.floor(x.cast("double") * F.lit(float(SCALE))))
+    if top * top * max(1, width) < 1 << 52:
+        return [a.astype(np.float64) for a in arrays]
+    return [np.array([int(x) for x in a.flat], dtype=object).reshape(a.shape) for a in arrays]
 
 
 def usable(embedding: Column) -> Column:
-    def finite(x: Column) -> Column:
-        d = x.cast("double")
-        return x.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(2.0**52))
+    return embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
 
-    return embedding.isNotNull() & F.forall(embedding, finite)
 
+def _stacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    pdf = pdf.sort_values(["vec_id", "row"])
+    vectors = np.stack(pdf["e"].to_numpy()).astype(np.float64) if len(pdf) else np.empty((0, 0))
+    return pdf["vec_id"].to_numpy(dtype=np.int64), pdf["row"].to_numpy(dtype=np.int64), quantised(vectors)
 
-def _stacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    pdf = pdf.sort_values("vec_id")
-    vectors = np.stack(pdf["q"].to_numpy()).astype(np.int64) if len(pdf) else np.empty((0, 0), dtype=np.int64)
-    return pdf["vec_id"].to_numpy(dtype=np.int64), vectors
 
+def _found(tree: Tree, rows: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """The number of each query with what search() finds in a tree; bounds are made for CHUNK queries at a time."""
+    tree.vectors, tree.low, tree.high, queries = exact(tree.vectors, tree.low, tree.high, queries)
+    for at in range(0, len(rows), CHUNK):
+        bounds = tree.bounds(queries[at : at + CHUNK])
+        for i, b in enumerate(bounds, at):
+            yield i, tree.search(int(rows[i]), queries[i], b, k, float(least[i]))
 
-Queries = dict[int, tuple[np.ndarray, np.ndarray, dict[int, int]]]  # by dimension: ids, vectors, scores to reach
 
+def _with_least(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
+    """asked with `least`: the k-th score of each query in the first shard, or less; NULL where that has fewer rows."""
+    first = {r["dim"]: bytes(r["tree"]) for r in trees.where("shard = 0").select("dim", "tree").collect()}  # one shard's vectors
+    sent = asked.sparkSession.sparkContext.broadcast(first)
 
-def _searched(trees: DataFrame, queries: Queries, k: int) -> DataFrame:
-    """query_id, vec_id and score of each query's best k in each tree. The block of queries is sent to the trees."""
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for dim, part in pdf.groupby("dim"):
+                least = np.full(len(part), np.nan)
+                part = part.sort_values(["vec_id", "row"])
+                if dim in sent.value:
+                    _, rows, queries = _stacked(part)
+                    for i, best in _found(pickle.loads(sent.value[dim]), rows, queries, np.full(len(part), -np.inf), k):
+                        if len(best) == k:
+                            kth = -best[-1][0]
+                            least[i] = -np.inf if kth < -LARGE else np.nextafter(float(min(kth, LARGE)), -np.inf)
+                yield part.assign(least=least)
+
+    return asked.mapInPandas(search, "vec_id bigint, row bigint, dim int, e array<double>, least double")
+
+
+def _halves(score: int) -> tuple[int, int]:
+    """A score as two longs that order as it does, up to 126 bits; beyond, those of the end of that range."""
+    score = min(max(score, -1 << 126), (1 << 126) - 1)
+    return score >> 63, score & TOP
+
+
+def _searched(trees: DataFrame, block: pd.DataFrame, k: int) -> DataFrame:
+    """query, query_id, vec_id and score (its high and low bits) of each query's best k in each tree. The block of
+    queries is sent to the trees."""
+    block = block.sort_values(["vec_id", "row"])
+    queries = {int(dim): (*_stacked(part), np.nan_to_num(part["least"].to_numpy(), nan=-np.inf)) for dim, part in block.groupby("dim")}
     sent = trees.sparkSession.sparkContext.broadcast(queries)  # BLOCK_ROWS vectors
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,62 +153,51 @@ def _searched(trees: DataFrame, queries: Queries, k: int) -> DataFrame:
             for dim, packed in zip(pdf["dim"], pdf["tree"]):
                 if dim not in sent.value:
                     continue
-                ids, all_q, least = sent.value[dim]
-                tree = pickle.loads(packed)
-                tree.vectors, tree.low, tree.high, all_q = exact(tree.vectors, tree.low, tree.high, all_q)
-                out = []
-                for at in range(0, len(ids), CHUNK):
-                    q = all_q[at : at + CHUNK]
-                    bounds = tree.bounds(q)
-                    for i, own in enumerate(ids[at : at + CHUNK].tolist()):
-                        out += [(own, v, min(max(-s, -TOP - 1), TOP)) for s, v in tree.search(own, q[i], bounds[i], k, least.get(own, -np.inf))]
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                ids, rows, all_q, least = sent.value[dim]
+                out = [(rows[i], ids[i], v, *_halves(-s)) for i, best in _found(pickle.loads(packed), rows, all_q, least, k) for s, v in best]
+                yield pd.DataFrame(out, columns=["query", "query_id", "vec_id", "high", "low"]).astype("int64")
 
-    return trees.select("dim", "tree").mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+    return trees.select("dim", "tree").mapInPandas(search, "query bigint, query_id bigint, vec_id bigint, high bigint, low bigint")
 
 
 def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """For each vector whose vec_id is divisible by `every` the k others with the largest integer inner product.
+    """For each row whose vec_id is divisible by `every` the k other rows with the largest integer inner product.
 
     vectors has vec_id and embedding; other columns are ignored. Returns query_id, rank (from 1), vec_id and score,
-    ties to the smaller vec_id. Vectors are dealt into shards, each made into a KD-tree once and written; they are
-    never shuffled again. Queries go to the trees in blocks of about block_rows, which bounds what is broadcast and
-    what the driver holds: ids, vectors and scores of one block. A block first searches one shard; the k-th scores
-    found there go with it to all others, where boxes that cannot reach them stay closed. A task holds one tree and
-    one block.
-
-    Defined cases: vectors that are null or have null or non-finite components (or one of 2^52 or more, beyond exact
-    integers) take no part, nor do those without vec_id; only vectors of the same length are compared; rows that
-    repeat a vec_id are candidates each, but a query never finds rows of its own id, and a repeated query is searched
-    once (the row with the smallest vector). Fewer rows than k give all there are. A score beyond 64 bits is shown as
-    the end of their range.
+    ties to the smaller vec_id. Rows are dealt into shards by number, so copies of a row are spread too; each shard is
+    made into a KD-tree once and written, and vectors are never shuffled again. All queries first search the first
+    shard; the k-th scores found there go with them to all trees, where boxes that cannot reach them stay closed.
+    Queries go to the trees in blocks of about block_rows, which bounds what is broadcast and what the driver holds. A
+    task holds one tree and one block.
+
+    Defined cases: vectors that are null or have null or non-finite components take no part, nor do those without
+    vec_id; any finite component does, with whole numbers of any size. Only vectors of the same length are compared.
+    Rows that repeat a vec_id are candidates each, also for each other, and queries each. Fewer rows than k give all
+    there are. A score beyond 64 bits is shown as the end of their range; ranks follow the true score up to 126 bits
+    and the vec_id beyond.
     """
     spark = vectors.sparkSession
     ship(spark)
-    slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("e")).where(F.col("vec_id").isNotNull() & usable(F.col("e")))
-    slim = slim.select("vec_id", quantised(F.col("e")).alias("q"), F.size("e").alias("dim"))
+    slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).where(F.col("vec_id").isNotNull() & usable(F.col("e")))
+    slim = written(slim.select("vec_id", "e", F.size("e").alias("dim"), F.monotonically_increasing_id().alias("row")), "vectors")
     n_shards = max(1, -(-slim.count() // shard_rows))
 
     def number(of: int, salt: str) -> Column:
-        return F.pmod(F.xxhash64("vec_id", "q", F.lit(salt)), F.lit(of)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(of)).cast("int")
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([(key[0], key[1], pickle.dumps(Tree(*_stacked(pdf))))], columns=["dim", "shard", "tree"])
 
     trees = written(slim.withColumn("shard", number(n_shards, "shard")).groupBy("dim", "shard").applyInPandas(grow, "dim int, shard int, tree binary"), "trees")
-    asked = slim.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "q")).alias("x")).select("vec_id", "x.dim", "x.q")
-    asked = written(asked, "queries")
+    asked = slim.where(F.col("vec_id") % every == 0).select("vec_id", "row", "dim", "e")
     n_blocks = max(1, -(-asked.count() // block_rows))
+    asked = written(_with_least(asked, trees, k).withColumn("block", number(n_blocks, "block")), "queries")
 
-    ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    best = lambda found: found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("high"), F.desc("low"), "vec_id"))
+    score = F.when(F.col("high") == 0, F.col("low")).when(F.col("high") == -1, F.col("low") + F.lit(-TOP - 1)).otherwise(F.when(F.col("high") > 0, F.lit(TOP)).otherwise(F.lit(-TOP - 1)))
     out = None
     for b in range(n_blocks):
-        block = asked.where(number(n_blocks, "block") == b).toPandas()
-        queries: Queries = {int(dim): (*_stacked(part), {}) for dim, part in block.groupby("dim")}
-        first = written(_searched(trees.where("shard = 0"), queries, k), "first")
-        kth = {r["query_id"]: r["least"] for r in first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k).collect()}
-        queries = {dim: (ids, q, {i: kth[i] for i in ids.tolist() if i in kth}) for dim, (ids, q, _) in queries.items()}
-        found = best(first.union(_searched(trees.where("shard <> 0"), queries, k)))
-        out = found if out is None else out.union(found)
+        found = _searched(trees, asked.where(F.col("block") == b).toPandas(), k)
+        best = found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
+        out = best if out is None else out.union(best)
     return out

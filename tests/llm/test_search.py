@@ -104,14 +104,14 @@ def test_planted_passages_are_found(spark):
 
 def brute_top(rows, k=5, every=50):
     ok = []
-    for i, e in rows:
+    for n, (i, e) in enumerate(rows):
         if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e):
-            ok.append((i, [math.floor(256 * x) for x in e]))
+            ok.append((n, i, [math.floor(256 * x) if abs(x) < 2**53 else 256 * int(x) for x in e]))
     out = []
-    for i, q in {i: q for i, q in sorted(ok, key=lambda r: r[1], reverse=True)}.items():
+    for n, i, q in ok:
         if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ok if j != i and len(v) == len(q))[:k]
-            out += [(i, n, j, -s) for n, (s, j) in enumerate(scores, 1)]
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, j, v in ok if m != n and len(v) == len(q))[:k]
+            out += [(i, rank, j, min(max(-s, -(2**63)), 2**63 - 1)) for rank, (s, j) in enumerate(scores, 1)]
     return sorted(out)
 
 
@@ -128,9 +128,22 @@ def test_top_k_against_brute_force(spark, sizes):
 
 
 def test_top_k_few_rows_and_large_values(spark):
-    df = spark.createDataFrame([(0, [2.0**40]), (7, [-(2.0**40)]), (8, [2.0**40])], "vec_id bigint, embedding array<double>")
-    out = [(r["rank"], r.vec_id) for r in K.exact_top_k(df.where("vec_id <> 8"), k=3).collect()]
-    assert out == [(1, 7)]
+    def check(rows, **kw):
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        assert sorted(tuple(r) for r in K.exact_top_k(df, **kw).collect()) == brute_top(rows, **kw)
+
+    check([(0, [2.0**40]), (7, [-(2.0**40)])], k=3)
+    check([(0, [1.0]), (1, [2.0**53]), (2, [3.0])])  # no finite component is too large
+    check([(0, [1.5, -1.0]), (50, [2.0**52 + 1, 2.0**52]), (1, [2.0**51, 2.0**51]), (2, [1e15, 1e15]), (3, [-1e15, 1.0]), (4, [0.1, 0.2])], k=2)
+    # beyond 64 bits the score is cut off but ranks are right
+    check([(0, [2.0**50]), (1, [2.0**50]), (2, [2.0**51]), (3, [-(2.0**51)]), (4, [1e300])], k=4)
+    check([(0, [1.0, 2.0])] * 300 + [(i, [float(i % 7), 1.0]) for i in range(1, 40)])
+
+
+def test_copies_are_dealt_to_all_shards(spark):
+    rows = spark.range(4000).selectExpr("CAST(1 AS BIGINT) AS row").withColumn("row", F.monotonically_increasing_id())
+    sizes = [r["count"] for r in rows.groupBy(F.pmod(F.xxhash64("row", F.lit("shard")), F.lit(40))).count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 200
 
 
 @settings(max_examples=20, deadline=None)
@@ -138,7 +151,7 @@ def test_top_k_few_rows_and_large_values(spark):
 def test_tree_prunes_nothing_that_counts(n, k, seed):
     rng = np.random.default_rng(seed)
     v, q = rng.integers(-5, 6, (n, 3)), rng.integers(-5, 6, (4, 3))
-    tree = K.Tree(np.arange(n), v, leaf=8)
+    tree = K.Tree(np.arange(n), np.arange(n), v, leaf=8)
     bounds = tree.bounds(q)
     for i in range(4):
         scores = v @ q[i]
