@@ -47,7 +47,7 @@ Query = frozenset[frozenset[str]] | None
 
 
 def trigram_query(pattern: str) -> Query:
-    """The trigrams that any match of the regex must hold, letters in lower case.
+    """The trigrams that any match of the regex must hold, letters in lower case; ASCII ones, as others are not indexed.
 
     Runs of the regex with few spellings are spelled out (alternatives, options, small classes); each run demands one
     of its spellings, each spelling all its trigrams; the run with the longest shortest spelling is taken. A regex
@@ -59,7 +59,9 @@ def trigram_query(pattern: str) -> Query:
     best = max(runs, key=lambda r: min(map(len, r)), default={""})
     if min(map(len, best)) < 3:
         return None
-    sets = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in best}
+    sets = {frozenset(g for i in range(len(s) - 2) if (g := s[i : i + 3]).isascii()) for s in best}
+    if frozenset() in sets:
+        return None
     return frozenset(s for s in sets if not any(o < s for o in sets))
 
 
@@ -98,20 +100,39 @@ def _spell(nodes, runs: list[set[str]]) -> set[str] | None:
     return None
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 class ShardIndex:
-    """The inverted index of one shard of texts: for each trigram that a rule asks for, a bitmap of the texts it is in."""
+    """The inverted index of one shard of texts: for each of the given trigrams the sorted numbers of the texts it is in.
+
+    It is made in one pass over the trigrams of all texts (of their bytes, ASCII letters in lower case); trigrams that
+    no rule asks for have no postings.
+    """
 
     def __init__(self, texts: list[str], trigrams: set[str]):
-        low = [t.lower() for t in texts]
-        self.size = len(low)
-        self.postings = {g: np.fromiter((g in t for t in low), dtype=bool, count=len(low)) for g in sorted(trigrams)}
+        self.size = len(texts)
+        wanted = {int.from_bytes(g.encode(), "big"): g for g in trigrams if g.isascii()}
+        data = [t.encode("utf-8", "replace") for t in texts]
+        ends = np.cumsum([len(d) + 1 for d in data]) if data else np.empty(0, dtype=np.int64)
+        low = _LOWER[np.frombuffer(b"\0".join(data), dtype=np.uint8)].astype(np.uint32)
+        codes = low[:-2] << 16 | low[1:-1] << 8 | low[2:] if len(low) > 2 else np.empty(0, dtype=np.uint32)
+        asked = np.zeros(1 << 24, dtype=bool)
+        asked[list(wanted)] = True
+        at = np.flatnonzero(asked[codes])
+        # of a trigram and a text one posting; a zero byte between texts is in no trigram of a rule
+        keys = np.unique(codes[at].astype(np.int64) << 32 | np.searchsorted(ends, at, side="right"))
+        found, begins = np.unique(keys >> 32, return_index=True)
+        lists = np.split(keys & 0xFFFFFFFF, begins[1:]) if len(found) else []
+        self.postings = dict.fromkeys(trigrams, np.empty(0, dtype=np.int64)) | {wanted[c]: p for c, p in zip(found.tolist(), lists)}
 
     def candidates(self, query: Query) -> np.ndarray:
         """Numbers of the texts that can match: postings are intersected in a set, the sets' results united."""
         if query is None:
             return np.arange(self.size)
-        hits = [reduce(np.logical_and, (self.postings[g] for g in sorted(s))) for s in query]
-        return np.flatnonzero(reduce(np.logical_or, hits))
+        both = lambda a, b: np.intersect1d(a, b, assume_unique=True)
+        return reduce(np.union1d, (reduce(both, (self.postings[g] for g in sorted(s))) for s in query))
 
 
 def spans_of(text: str, rule: Rule, regex: re.Pattern) -> list[tuple[int, int]]:

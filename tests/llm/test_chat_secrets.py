@@ -82,6 +82,14 @@ def test_index_finds_what_a_plain_scan_finds(texts):
     assert [[x[2] for x in sorted(f)] for f in found] == [brute(t) for t in texts]
 
 
+@given(st.lists(st.text(alphabet="abcABCé\u0130\n", max_size=30), max_size=8))
+def test_postings_against_plain_search(texts):
+    trigrams = {"abc", "bca", "aaa", "b\nc", "zzz"}
+    index = S.ShardIndex(texts, trigrams)
+    low = ["".join(c.lower() if c.isascii() else c for c in t) for t in texts]
+    assert {g: p.tolist() for g, p in index.postings.items()} == {g: [i for i, t in enumerate(low) if g in t] for g in trigrams}
+
+
 def test_scan(spark):
     long = "lorem " * 200_000 + "secret = 'abcdefghijkl'"
     pem = "-----BEGIN RSA PRIVATE KEY-----"
