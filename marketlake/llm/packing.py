@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,7 @@ from .shared import ship
 SEQUENCE = 4096
 TOKENIZER = "word_bpe_49k.json"
 END = 2
-#: Documents in a group, on average.
+#: Documents in a group, on average; with their pieces.
 GROUP_DOCS = 8192
 #: Words whose ids a Python worker remembers, and the longest of them.
 MEMORY_WORDS, MEMORY_LENGTH = 1_000_000, 48
@@ -30,6 +32,9 @@ _COMBINING = re.compile("[\u0130\u0300-\u036f\u0483-\u0489\u0591-\u0dff\u0e31-\u
 _MARKS = re.compile(r"(?:[^\w\s]|_){2}")
 _TAIL = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 _SPACE = re.compile(r"[^\S\x1c-\x1f]+")
+#: What the short cuts of Encoder rely on; a tokenizer with other settings encodes whole texts.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -38,7 +43,8 @@ class Encoder:
 
     The tokenizer's ids of a text are those of its stretches between white space, one after another: white space ends
     every word and is dropped. So a stretch is encoded once and remembered. Of letters with marks behind them, letters
-    and marks are words of their own; and ASCII capitals are lower-cased anyway.
+    and marks are words of their own; and ASCII capitals are lower-cased anyway. All this is so for a tokenizer of
+    _NORMALIZERS and _WORDS whose words end in "</w>"; any other encodes each text as it is.
     """
 
     def __init__(self, name: str):
@@ -50,6 +56,11 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # ids that end a word
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        settings = json.loads(self.tokenizer.to_str())
+        words = (settings["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        spread = [w for w in words[1:] if w.get("type") != "ByteLevel" or w.get("use_regex") or w.get("add_prefix_space")]
+        normal = (settings["normalizer"] or {}).get("normalizers")
+        self.by_words = normal == _NORMALIZERS and words[0] == _WORDS and not spread and settings["model"].get("end_of_word_suffix") == "</w>"
 
     def _encode(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word: those of letters only as one text, cut where words end, others one by one."""
@@ -80,6 +91,8 @@ class Encoder:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text of a batch; new words are learned first, and forgotten all at once when they are too many."""
+        if not self.by_words:
+            return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         each = [_stretches(t or "") for t in texts]
         known = self.known
         if len(known) > MEMORY_WORDS:
@@ -144,18 +157,23 @@ def first_fit_decreasing(lengths: list[int], space: int) -> list[int]:
 
 
 def pieces_of(docs: DataFrame, space: int, tokenizer: str) -> DataFrame:
-    """doc_id, start, length, ids_crc32 and doc_tokens of each piece: a document is cut behind every `space` ids."""
+    """doc_id, start, length, ids_crc32 and doc_tokens of each piece: a document is cut behind every `space` ids. The
+    salt tells documents apart, by their tokens and, of equal ones in a task, by number."""
     ship(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end = encoder(tokenizer), END.to_bytes(4, "little")
+        seen: Counter[tuple] = Counter()
         for pdf in batches:
             for at in range(0, len(pdf), BATCH):
                 part = pdf.iloc[at : at + BATCH]
                 rows = []
                 for doc, ids in zip(part["doc_id"], enc.ids([t if isinstance(t, str) else None for t in part["text"]])):
                     ids += end
-                    total, salt = len(ids) // 4, zlib.crc32(ids)
+                    total, crc = len(ids) // 4, zlib.crc32(ids)
+                    equal = hash((0 if pd.isna(doc) else int(doc), crc, total))
+                    salt = crc << 31 | seen[equal] % (1 << 31)  # equal rows have different ones, whichever comes first
+                    seen[equal] += 1
                     rows += [(doc, k, min(space, total - k), zlib.crc32(ids[4 * k : 4 * (k + space)]), total, salt) for k in range(0, total, space)]
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"]).astype({"doc_id": "Int64"})
 
@@ -168,7 +186,7 @@ def pack(docs: DataFrame, space: int = SEQUENCE, tokenizer: str = TOKENIZER, gro
 
     Returns per piece doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset; other columns are ignored.
     A document is its tokens and an end token. Documents over `space` tokens are cut into full pieces and a rest. A
-    hash of the document deals the pieces into groups of about group_docs documents; each group is packed by itself:
+    hash of the piece, which differs for equal rows too, deals pieces into groups of about group_docs; each group is packed by itself:
     longest piece first, each into the first sequence with room. Only lengths and checksums are shuffled, never ids or
     texts. sequence_id is the group times 2^32 plus the sequence's number in it.
 
@@ -177,7 +195,7 @@ def pack(docs: DataFrame, space: int = SEQUENCE, tokenizer: str = TOKENIZER, gro
     """
     groups = max(1, round(docs.count() / group_docs))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    dealt = pieces_of(docs, space, tokenizer).withColumn("group", F.pmod(F.xxhash64("doc_id", "salt", F.lit("packing")), F.lit(groups)))
+    dealt = pieces_of(docs, space, tokenizer).withColumn("group", F.pmod(F.xxhash64("doc_id", "salt", "start", F.lit("packing")), F.lit(groups)))
 
     def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "start", "ids_crc32"], ignore_index=True)

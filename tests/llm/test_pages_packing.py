@@ -196,6 +196,25 @@ def test_packing(spark):
     assert P.pack(docs.limit(0)).count() == 0
 
 
+def test_groups_of_repeated_rows_and_of_one_huge_document(spark):
+    rows = [(7, "the same row")] * 3000 + [(8, "word of many " * 100_000)] + [(i, f"own {i}") for i in range(100, 1100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2)
+    out = P.pack(df, space=64, group_docs=100).collect()
+    check_packing(out, [t for _, t in rows], 64)
+    size = {}
+    for r in out:
+        size[r.sequence_id >> 32] = size.get(r.sequence_id >> 32, 0) + 1
+    assert len(size) == 40 and max(size.values()) < 2 * len(out) / 40
+
+
+def test_other_tokenizers_encode_whole_texts():
+    enc = P.Encoder("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["Some TEXT, with  spaces\nand 'marks'.", "", None]
+    assert not enc.by_words and P.encoder(P.TOKENIZER).by_words
+    assert enc.ids(texts) == [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import shutil
 
