@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -16,13 +17,14 @@ from .simhash import BLOCKS, LENGTH, anchors
 
 #: Words of a shingle, and the share of their joint shingles that two near copies have in common.
 WORDS, SIMILARITY = 5, 0.8
-#: Fingerprints of a text, and the differing bits at which two of them surely meet at an anchor.
+#: Fingerprints of a text's words, and the differing bits at which two of them surely meet at an anchor.
 PRINTS, THRESHOLD = 16, 1
-#: Texts of SIMILARITY differ in 15 % of the bits of their shingles' fingerprints; a pair is not compared where more
-#: than these differ, of the first 64 and of all: four and five standard deviations above that.
-FIRST_BITS, ALL_BITS = 22, 215
+#: Fingerprints of its shingles. Texts of SIMILARITY differ in 15 % of their bits; a pair is not compared where more than
+#: these differ, of the first 64 and of all 256: over four standard deviations above that.
+COMPARED, FIRST_BITS, ALL_BITS = 4, 22, 63
 _SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(PRINTS)], dtype=np.uint64)
 _FEATURES = 1 << 14
+HOME, SEVERAL = 1, 2
 
 
 def _words(text: str | None) -> np.ndarray:
@@ -40,13 +42,13 @@ def _shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.unique(grams(hashes, min(words, len(hashes)))) if len(hashes) else np.empty(0, dtype=np.uint64)
 
 
-def fingerprints(features: np.ndarray) -> np.ndarray:
-    """PRINTS independent SimHash fingerprints (uint64) of a set of hashes: a bit is set if over half of them have it."""
-    counts = np.zeros((PRINTS, 64), dtype=np.int64)
+def fingerprints(features: np.ndarray, n: int = PRINTS) -> np.ndarray:
+    """n independent SimHash fingerprints (uint64) of a set of hashes: a bit is set if over half of them have it."""
+    counts = np.zeros((n, 64), dtype=np.int64)
     for at in range(0, len(features), _FEATURES):
         with np.errstate(over="ignore"):
-            each = mixed(features[None, at : at + _FEATURES] ^ _SEEDS[:, None])
-        counts += np.unpackbits(each.view(np.uint8).reshape(PRINTS, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+            each = mixed(features[None, at : at + _FEATURES] ^ _SEEDS[:n, None])
+        counts += np.unpackbits(each.view(np.uint8).reshape(n, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.uint16)
     return np.packbits(counts * 2 > len(features), axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
@@ -64,53 +66,54 @@ def _sketched(docs: DataFrame, words: int, to: str) -> DataFrame:
                 own = _shingles(hashes, words)
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes(), 42))
                 anchored.append(fingerprints(np.unique(hashes)).view(np.int64) if len(own) else [])
-                compared.append(fingerprints(own).view(np.int64) if len(own) else [])
+                compared.append(fingerprints(own, COMPARED).view(np.int64) if len(own) else [])
             yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "anchored": anchored, "compared": compared})
 
     return docs.withColumn(to, sketch("text"))
 
 
 def _dealt(nodes: DataFrame, home_only: bool) -> DataFrame:
-    """cell, root, node, f, home and n of nodes (node, root, anchored, compared): each fingerprint of the words at its
-    own anchor (home) and, unless home_only, at all others within covering radius plus THRESHOLD. f is the first
-    fingerprint of the shingles. Of nodes with one root, a cell gets from a batch the smallest (apart for home or not);
-    n is then 2, else 1."""
+    """cell, node and kind of nodes (node, root, anchored): each fingerprint of the words at its own anchor and, unless
+    home_only, at all others within covering radius plus THRESHOLD. Of nodes with one root, a cell gets from a batch the
+    smallest. kind has HOME if the anchor is the node's own, and SEVERAL if it stands for others too."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 2048):
                 part = pdf.iloc[at : at + 2048]
                 prints = np.stack(part["anchored"].to_numpy()).astype(np.int64).view(np.uint64)
-                columns = {c: part[c].to_numpy(dtype=np.int64) for c in ("root", "node", "f")}
+                node, root = part["node"].to_numpy(np.int64), part["root"].to_numpy(np.int64)
                 shared_root = part["root"].duplicated(keep=False).to_numpy()
                 for k in range(PRINTS):
                     own, number, anchor = anchors(prints[:, k], 0 if home_only else THRESHOLD)
-                    out = pd.DataFrame({"cell": anchor | k << (LENGTH * BLOCKS), **{c: v[number] for c, v in columns.items()}, "home": anchor == own[number], "n": 1})
+                    out = pd.DataFrame({"cell": anchor | k << (LENGTH * BLOCKS), "node": node[number], "kind": np.where(anchor == own[number], HOME, 0)})
                     yield out[~shared_root[number]]
                     if shared_root.any():
-                        several = out[shared_root[number]].sort_values("node")
-                        several["n"] += several.duplicated(["cell", "root", "home"], keep=False)
-                        yield several.drop_duplicates(["cell", "root", "home"])
+                        several = out[shared_root[number]].assign(root=root[number[shared_root[number]]]).sort_values("node")
+                        several["kind"] += SEVERAL * several.duplicated(["cell", "root", "kind"], keep=False)
+                        yield several.drop_duplicates(["cell", "root", "kind"])[["cell", "node", "kind"]]
 
     # each becomes some 150 rows, so few bytes are dealt out to as many tasks as a large shuffle would get
-    spread = nodes.select("node", "root", "anchored", F.get("compared", F.lit(0)).alias("f")).where(F.size("anchored") > 0)
+    spread = nodes.select("node", "root", "anchored").where(F.size("anchored") > 0)
     spread = spread.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return spread.mapInPandas(deal, "cell bigint, root bigint, node bigint, f bigint, home boolean, n bigint")
+    return spread.mapInPandas(deal, "cell bigint, node bigint, kind int")
 
 
 def _differ(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles, taken from texts (node, text), have at least this similarity."""
+def _similar(pairs: DataFrame, texts: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets of shingles have at least this similarity. texts has row and text, rows the row of
+    each node; texts are taken for the members of pairs only, and stay where they are while these are few."""
 
     @F.pandas_udf("array<bigint>")
     def sets(each: pd.Series) -> pd.Series:
         return pd.Series([shingles(t if isinstance(t, str) else None, words).view(np.int64) for t in each], dtype=object)
 
     members = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    known = written(texts.join(members, "node").select("node", sets("text").alias("s")), "shingles")
+    wanted = written(members.join(rows, "node"), "wanted")
+    known = written(texts.join(wanted, "row").select("node", sets("text").alias("s")), "shingles")
     of_v = pairs.join(known.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v")
     both = of_v.join(known.select(F.col("node").alias("u"), F.col("s").alias("su")), "u")
     shared = F.size(F.array_intersect("su", "sv"))
@@ -129,7 +132,7 @@ def _pair(u: Column, v: Column) -> list[Column]:
     return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
 
 
-def groups(nodes: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """node and root of each node that is linked to a smaller one; nodes has node, anchored and compared, one row a node.
 
     Two nodes are linked if one of them is at the home anchor of the other and their exact similarity is high enough.
@@ -138,46 +141,57 @@ def groups(nodes: DataFrame, texts: DataFrame, words: int = WORDS, similarity: f
     against those of other components; and last all members where several meet other components.
     """
     nodes = _rooted(nodes, None)
-    homes = written(_dealt(nodes, home_only=True), "homes")
+    prints = nodes.select("node", F.get("compared", F.lit(0)).alias("f"))
+    homes = written(_dealt(nodes, home_only=True).select("cell", "node"), "homes")
     # a centre of its own for each cell, so that members of one group meet several
-    order = F.struct(F.xxhash64("cell", "node").alias("o"), "node", "f")
-    centres = homes.groupBy("cell").agg(F.min(order).alias("c"), F.max(order).alias("m")).where("c != m").select("cell", F.col("c.node").alias("centre"), F.col("c.f").alias("g"))
-    stars = homes.join(centres, "cell").where((F.col("node") != F.col("centre")) & (_differ(F.col("f"), F.col("g")) <= FIRST_BITS))
+    order = F.struct(F.xxhash64("cell", "node").alias("o"), "node")
+    centres = homes.groupBy("cell").agg(F.min(order).alias("c"), F.max(order).alias("m")).where("c != m").select("cell", F.col("c.node").alias("centre"))
+    stars = homes.join(written(centres, "centres"), "cell").where(F.col("node") != F.col("centre"))
     tested = written(stars.select(*_pair(F.col("node"), F.col("centre"))).distinct(), "pairs")
-    linked = _similar(_likely(tested, nodes), texts, words, similarity)
+    linked = _similar(_likely(tested, nodes), texts, rows, words, similarity)
 
     nodes = written(_rooted(nodes, linked), "rooted")
-    node = F.struct("node", "f")
-    # dealt by cell, which serves the groups and their join
-    reps = _dealt(nodes, home_only=False).repartition("cell").groupBy("cell", "root").agg(F.min(node).alias("any"), F.min(F.when(F.col("home"), node)).alias("own"), F.sum("n").alias("n"))
+    cell = Window.partitionBy("cell")
+    dealt = _dealt(nodes, home_only=False)
+    shared = dealt.withColumns({"a": F.min("node").over(cell), "b": F.max("node").over(cell), "h": F.max(F.col("kind").bitwiseAND(HOME)).over(cell)})
+    shared = written(shared.where((F.col("a") != F.col("b")) & (F.col("h") == HOME)).select("cell", "node", "kind"), "shared")
+    known = shared.join(nodes.select("node", "root"), "node").join(prints, "node")
+    node, home = F.struct("node", "f"), F.col("kind").bitwiseAND(HOME) == HOME
+    reps = known.groupBy("cell", "root").agg(F.min(node).alias("any"), F.min(F.when(home, node)).alias("own"), (F.count_distinct("node") + F.max(F.col("kind").bitwiseAND(SEVERAL))).alias("n"))
+    reps = written(reps, "reps")
     here = reps.where("own is not null").select("cell", F.col("root").alias("rx"), F.col("own.node").alias("x"), F.col("own.f").alias("fx"), F.col("n").alias("nx"))
     there = reps.select("cell", F.col("root").alias("ry"), F.col("any.node").alias("y"), F.col("any.f").alias("fy"), F.col("n").alias("ny"))
-    met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & ((_differ(F.col("fx"), F.col("fy")) <= FIRST_BITS) | (F.col("nx") + F.col("ny") > 2)))
-    met = written(met.select("cell", *_pair(F.col("x"), F.col("y")), (F.col("nx") + F.col("ny") > 2).alias("more")), "met")
+    several = F.col("nx") + F.col("ny") > 2
+    met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & ((_differ(F.col("fx"), F.col("fy")) <= FIRST_BITS) | several))
+    met = written(met.select("cell", *_pair(F.col("x"), F.col("y")), several.alias("more")), "met")
     fresh = written(met.select("u", "v").distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
-    linked = linked.union(_similar(_likely(fresh, nodes), texts, words, similarity))
+    linked = linked.union(_similar(_likely(fresh, nodes), texts, rows, words, similarity))
     crowded = written(met.where("more").select("cell").distinct(), "crowded")
     if crowded.isEmpty():
         return components(linked)
 
     tested = tested.union(fresh)
     nodes = written(_rooted(nodes, linked), "rooted")
-    members = written(_dealt(nodes.withColumn("root", F.col("node")), home_only=False).join(crowded, "cell").select("cell", "node", "home"), "members")
+    members = written(_dealt(nodes.withColumn("root", F.col("node")), home_only=False).join(crowded, "cell"), "members")
     known = members.join(nodes.select("node", "root", "compared"), "node")
-    mixed_cells = known.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
-    open_ = written(known.join(mixed_cells, "cell").select("cell", "node", "root", "home", *[F.get("compared", F.lit(k)).alias(f"p{k}") for k in range(PRINTS)]), "open")
+    open_cells = members.join(nodes.select("node", "root"), "node").groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
+    open_ = written(known.join(written(open_cells, "cells"), "cell").select("cell", "node", "root", home.alias("home"), *[F.get("compared", F.lit(k)).alias(f"p{k}") for k in range(COMPARED)]), "open")
     other = open_.select("cell", *[F.col(c).alias(f"{c}_") for c in open_.columns if c not in ("cell", "home")])
-    bits = sum((_differ(F.col(f"p{k}"), F.col(f"p{k}_")) for k in range(1, PRINTS)), _differ(F.col("p0"), F.col("p0_")))
+    bits = _bits([_differ(F.col(f"p{k}"), F.col(f"p{k}_")) for k in range(COMPARED)])
     rest = open_.where("home").join(other, "cell").where((F.col("root") != F.col("root_")) & (bits <= ALL_BITS))
     rest = rest.select(*_pair(F.col("node"), F.col("node_"))).distinct().join(tested, ["u", "v"], "left_anti")
-    return components(linked.union(_similar(written(rest, "pairs"), texts, words, similarity)))
+    return components(linked.union(_similar(written(rest, "pairs"), texts, rows, words, similarity)))
+
+
+def _bits(parts: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts)
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose fingerprints of the shingles do not rule out that they are similar."""
     of = lambda name, to: nodes.select(F.col("node").alias(name), F.col("compared").alias(to))
     both = pairs.join(of("u", "_cu"), "u").join(of("v", "_cv"), "v")
-    bits = sum((_differ(F.get("_cu", F.lit(k)), F.get("_cv", F.lit(k))) for k in range(1, PRINTS)), _differ(F.get("_cu", F.lit(0)), F.get("_cv", F.lit(0))))
+    bits = _bits([_differ(F.get("_cu", F.lit(k)), F.get("_cv", F.lit(k))) for k in range(COMPARED)])
     return written(both.where(bits <= ALL_BITS).select("u", "v"), "likely")
 
 
@@ -195,8 +209,8 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SI
     k = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     slim = whole.select(F.col(f"{sketch}.*"), k.alias("k"))
     nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), F.first("anchored").alias("anchored"), F.first("compared").alias("compared")), "nodes")
-    texts = whole.select(F.col(row).alias("row"), F.col("text").alias("text")).join(nodes.select(F.col("k.row").alias("row"), "node"), "row").select("node", "text")
-    roots = written(groups(nodes.select("node", "anchored", "compared"), texts, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
+    texts, rows = whole.select(F.col(row).alias("row"), "text"), nodes.select("node", F.col("k.row").alias("row"))
+    roots = written(groups(nodes.select("node", "anchored", "compared"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
     best = nodes.join(roots, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     kept = best.select(F.col("k.row").alias(row))
     drop = written(whole.select(row).join(kept, row, "left_anti"), "dropped")
