@@ -39,6 +39,13 @@ def first_by(rows: DataFrame, key: str, *order: str) -> DataFrame:
     return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
 
 
+def last_by(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """key and columns of one row for each key: the last ingested (ingest_ts, if rows have it), of equals the largest."""
+    order = ["ingest_ts"] if "ingest_ts" in rows.columns else []
+    best = rows.groupBy(key).agg(F.max(F.struct(*order, *columns)).alias("_best"))
+    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in columns])
+
+
 def series_variants(series: DataFrame, column: str = "series") -> DataFrame:
     """One row per spelling of each series, with its place: listings are asked for both."""
     return series.select("*", F.posexplode(spellings(column)).alias("variant_pos", "variant"))
@@ -88,9 +95,10 @@ def market_of_event(events: DataFrame, *tiers: DataFrame, known_markets: DataFra
 
 def resolved_events(events: DataFrame, payloads: DataFrame, rest: DataFrame) -> DataFrame:
     """event_ticker, series and market tickers of each event: from its payload, else from the other source, else the
-    series by its name and no markets. payloads and rest have event_ticker, series_ticker and markets (array)."""
-    a = payloads.select(F.col("event_ticker").alias("_a"), F.struct("series_ticker", "markets").alias("a"))
-    b = rest.select(F.col("event_ticker").alias("_b"), F.struct("series_ticker", "markets").alias("b"))
+    series by its name and no markets. payloads and rest have event_ticker, series_ticker and markets (array); of
+    several rows of an event the last counts (last_by())."""
+    a = last_by(payloads, "event_ticker", "series_ticker", "markets").select(F.col("event_ticker").alias("_a"), F.struct("series_ticker", "markets").alias("a"))
+    b = last_by(rest, "event_ticker", "series_ticker", "markets").select(F.col("event_ticker").alias("_b"), F.struct("series_ticker", "markets").alias("b"))
     both = events.join(a, F.col("event_ticker") == F.col("_a"), "left").join(b, F.col("event_ticker") == F.col("_b"), "left")
     none = F.array().cast("array<string>")
     return both.withColumn("r", F.coalesce("a", "b")).select(
@@ -101,8 +109,10 @@ def resolved_events(events: DataFrame, payloads: DataFrame, rest: DataFrame) ->
 
 
 def metadata_columns(payload: DataFrame) -> DataFrame:
-    """market_ticker, open_ts_ms, open_time, expiration, status of market payloads; 'unknown' for what is missing."""
+    """market_ticker, open_ts_ms, expiration, status (and ingest_ts, if there) of market payloads; 'unknown' for what is
+    missing."""
     return payload.select(
+        *[c for c in ("ingest_ts",) if c in payload.columns],
         F.col("ticker").alias("market_ticker"),
         F.unix_millis(F.try_to_timestamp(F.col("open_time"))).alias("open_ts_ms"),
         F.coalesce(first_text("expiration_time", "latest_expiration_time"), F.lit("unknown")).alias("expiration"),
@@ -111,9 +121,11 @@ def metadata_columns(payload: DataFrame) -> DataFrame:
 
 
 def market_metadata(tickers: DataFrame, live: DataFrame, historical: DataFrame) -> DataFrame:
-    """Metadata of each ticker, whole rows by tier: live, else historical, else (NULL, unknown, unknown)."""
+    """Metadata of each ticker, whole rows by tier: live, else historical, else (NULL, unknown, unknown). Of several rows
+    of a ticker in a tier the last counts (last_by())."""
     def tier(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(F.col("market_ticker").alias(f"_{name}"), F.struct("open_ts_ms", "expiration", "status").alias(name))
+        one = last_by(rows, "market_ticker", "open_ts_ms", "expiration", "status")
+        return one.select(F.col("market_ticker").alias(f"_{name}"), F.struct("open_ts_ms", "expiration", "status").alias(name))
 
     unknown = F.struct(F.lit(None).cast("long").alias("open_ts_ms"), F.lit("unknown").alias("expiration"), F.lit("unknown").alias("status"))
     both = tickers.join(tier(live, "l"), F.col("market_ticker") == F.col("_l"), "left").join(tier(historical, "h"), F.col("market_ticker") == F.col("_h"), "left")
@@ -129,8 +141,9 @@ def ticker_meta(catalogs: DataFrame) -> DataFrame:
 
 def with_ticker_meta(facts: DataFrame, meta: DataFrame, known: Iterable[str] = SERIES) -> DataFrame:
     """facts with series_ticker and event_ticker by market_ticker; a ticker that meta lacks gets its series by name
-    and itself as event. Spark broadcasts meta while it is below its threshold."""
-    m = meta.select(F.col("market_ticker").alias("_t"), F.col("series_ticker").alias("_s"), F.col("event_ticker").alias("_e"))
+    and itself as event. Of several rows of a ticker the last counts (last_by()). Spark broadcasts meta while it is below
+    its threshold."""
+    m = last_by(meta, "market_ticker", "series_ticker", "event_ticker").select(F.col("market_ticker").alias("_t"), F.col("series_ticker").alias("_s"), F.col("event_ticker").alias("_e"))
     joined_ = facts.join(m, F.col("market_ticker") == F.col("_t"), "left")
     named = joined_.withColumns({"series_ticker": F.coalesce("_s", series_of_market("market_ticker", known)), "event_ticker": F.coalesce("_e", "market_ticker")})
     return named.drop("_t", "_s", "_e")
@@ -176,6 +189,17 @@ def build_catalog(events: DataFrame, markets: DataFrame) -> DataFrame:
     )
 
 
+def member_counts(events: DataFrame, markets: DataFrame) -> DataFrame:
+    """The same as catalog_counts() of build_catalog(), from flat rows: no series is ever one row."""
+    def counted(rows: DataFrame, *names: Column) -> DataFrame:
+        return rows.groupBy("series").agg(*names).unionByName(rows.agg(*names).withColumn("series", F.lit(None).cast("string")))
+
+    e = counted(events.select("series", "event_ticker", "title").distinct(), F.count("*").alias("n_events"))
+    m = counted(markets, F.count("*").alias("n_markets"), F.count_distinct("market_ticker").alias("n_tickers")).withColumnRenamed("series", "_s")
+    both = e.join(m, F.col("series").eqNullSafe(F.col("_s")), "left")
+    return both.select("series", "n_events", F.coalesce("n_markets", F.lit(0)).alias("n_markets"), F.coalesce("n_tickers", F.lit(0)).alias("n_tickers"))
+
+
 def catalog_counts(catalogs: DataFrame) -> DataFrame:
     """Events, markets and tickers of each series, and of all (series NULL). A ticker of two series counts once there."""
     sizes = catalogs.select("series", F.size("events").alias("e"), F.size("markets").alias("m"), F.explode_outer("tickers").alias("t"))

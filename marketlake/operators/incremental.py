@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.fixed import FULL_PAGE, WINDOW_DAYS
-from marketlake.functions.scalars import ms_to_seconds
+from marketlake.functions.scalars import ms_to_seconds, seconds_to_ms
 
 DAY = 86_400
 
@@ -30,11 +30,11 @@ def resume_points(tickers: DataFrame, stored: DataFrame, meta: DataFrame, as_of_
     """start_s for each ticker: `since`, else its last stored second (that candle may still change), else its opening.
 
     reason is NULL for tickers to process; others are current (start_s is not before as_of_s) or have neither rows nor
-    an opening time. meta has market_ticker and open_ts_ms.
+    an opening time. meta has market_ticker and open_ts_ms, of which the earliest counts; tickers that repeat are one.
     """
     last = last_timestamps(stored).withColumnRenamed("market_ticker", "_t")
-    opened = meta.select(F.col("market_ticker").alias("_m"), "open_ts_ms")
-    both = tickers.join(last, F.col("market_ticker") == F.col("_t"), "left").join(opened, F.col("market_ticker") == F.col("_m"), "left")
+    opened = meta.groupBy(F.col("market_ticker").alias("_m")).agg(F.min("open_ts_ms").alias("open_ts_ms"))
+    both = tickers.select("market_ticker").distinct().join(last, F.col("market_ticker") == F.col("_t"), "left").join(opened, F.col("market_ticker") == F.col("_m"), "left")
     start = F.coalesce(F.lit(since_s).cast("long"), ms_to_seconds(F.col("last_ts_ms")), ms_to_seconds(F.col("open_ts_ms")))
     reason = F.when(F.col("start_s").isNull(), F.lit("no stored rows and no open time")).when(F.col("start_s") >= as_of_s, F.lit("up to date"))
     return both.select("market_ticker", start.alias("start_s")).withColumn("reason", reason)
@@ -63,11 +63,12 @@ def missing_windows(work: DataFrame, landed: DataFrame) -> DataFrame:
 
 def in_range(rows: DataFrame, start_s: int | Column | None = None, end_s: int | Column | None = None) -> DataFrame:
     """Rows with start_s <= time < end_s, in seconds; literal bounds reach the scan."""
+    ms = lambda s: F.lit(s * 1000) if isinstance(s, int) else seconds_to_ms(s.cast("long"))
     out = rows
     if start_s is not None:
-        out = out.where(F.col("ts_ms") >= (F.lit(start_s) * 1000 if isinstance(start_s, int) else start_s * 1000))
+        out = out.where(F.col("ts_ms") >= ms(start_s))
     if end_s is not None:
-        out = out.where(F.col("ts_ms") < (F.lit(end_s) * 1000 if isinstance(end_s, int) else end_s * 1000))
+        out = out.where(F.col("ts_ms") < ms(end_s))
     return out
 
 

@@ -29,25 +29,42 @@ def live_candle(c: Column) -> list[Column]:
     return [seconds_to_ms(c["end_period_ts"]).alias("ts_ms"), *bars, number(c["volume_fp"]).alias("volume"), number(c["open_interest_fp"]).alias("open_interest")]
 
 
-def normalize_candles(candles: DataFrame) -> DataFrame:
+def unread(**given: Column) -> Column:
+    """Names and texts of values that were given but are no numbers. NaN is a number that says nothing."""
+    wrong = [F.when((F.trim(c) != "") & c.try_cast("double").isNull(), F.concat(F.lit(f"{name} "), c)) for name, c in given.items()]
+    return F.array_compact(F.array(*wrong))
+
+
+def _unread_candle(c: Column) -> Column:
+    old = {"volume": c["volume"], "open_interest": c["open_interest"], **{b: c["price"][b] for b in (*BARS, "mean")}, **{f"bid_{b}": c["yes_bid"][b] for b in BARS}}
+    new = {"volume": c["volume_fp"], "open_interest": c["open_interest_fp"], **{b: c["price"][f"{b}_dollars"] for b in (*BARS, "mean")}}
+    return F.when(F.col("tape") == "historical", unread(**old)).otherwise(unread(**new))
+
+
+def normalize_candles(candles: DataFrame, tell: bool = False) -> DataFrame:
     """Rows of sources.candle_pages() as candle columns, with market_ticker and _seq, the order in which later rows
-    replace earlier ones: ingestion, tape, start of the page, place in it."""
+    replace earlier ones: ingestion, tape, start of the page, place in it. With tell, _unparsed lists the values that
+    were given and became NULL."""
     seq = F.struct("ingest_ts", tape_rank("tape").alias("tape"), "start_ts", "pos")
     c = F.col("c")
     whole = F.when(F.col("tape") == "historical", F.struct(*historical_candle(c))).otherwise(F.struct(*live_candle(c)))
-    return candles.select(whole.alias("n"), "market_ticker", "period_minutes", seq.alias("_seq")).select("n.*", "market_ticker", "period_minutes", "_seq")
+    more = [_unread_candle(c).alias("_unparsed")] if tell else []
+    return candles.select(whole.alias("n"), "market_ticker", "period_minutes", seq.alias("_seq"), *more).select("n.*", "market_ticker", "period_minutes", "_seq", *["_unparsed" for _ in more])
 
 
 TRADE_NAMES = {"ticker": "market_ticker", "yes_price_dollars": "yes_price", "no_price_dollars": "no_price", "count_fp": "count"}
 TRADE_COLUMNS = ("trade_id", "market_ticker", "ts_ms", "yes_price", "no_price", "count", "taker_side")
 
 
-def normalize_trades(trades: DataFrame) -> DataFrame:
+def normalize_trades(trades: DataFrame, tell: bool = False) -> DataFrame:
     """Trades in wire columns as exactly the seven stored columns (and _seq, if there), numbers and times parsed;
-    what cannot be parsed becomes NULL for quality.bad_trades() to find."""
+    what cannot be parsed becomes NULL. With tell, _unparsed lists the numbers that were given and became NULL, for
+    quality.split_bad() to find."""
+    numbers = ("yes_price", "no_price", "count")
     named = trades.withColumnsRenamed(TRADE_NAMES).withColumn("ts_ms", iso_to_ms("created_time"))
-    named = named.withColumns({c: number(c) for c in ("yes_price", "no_price", "count")})
-    return named.select(*TRADE_COLUMNS, *[c for c in ("_seq",) if c in trades.columns])
+    named = named.withColumn("_unparsed", unread(**{c: F.col(c) for c in numbers})) if tell else named
+    named = named.withColumns({c: number(c) for c in numbers})
+    return named.select(*TRADE_COLUMNS, *[c for c in ("_seq",) if c in trades.columns], *(["_unparsed"] if tell else []))
 
 
 def unite_tapes(pages: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from marketlake import schemas
 from marketlake.functions.scalars import day_of, month_of, year_month, year_of
-from marketlake.sources.landing import stored
+from marketlake.sources.landing import exists, stored
 
 
 def keep_last(rows: DataFrame, key: Sequence[str], order: str = "_seq") -> DataFrame:
@@ -100,37 +100,37 @@ def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     return stored(spark, f"{root}/{table.name}", table.stored_schema)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _children(spark: SparkSession, path: str) -> list[str]:
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return []
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return [s.getPath().toString() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
 
 
 def _publish(spark: SparkSession, staged: str, root: str, table: Table) -> None:
-    """Staged partitions over those of the table. Running it twice gives the same."""
+    """Staged partitions over those of the table. Running it twice gives the same. Rows are dealt out by ranges of
+    partition, ticker and time, so a partition with very many rows is several tasks' work and files."""
     rows = spark.read.schema(table.stored_schema).parquet(staged)
-    laid = rows.repartition(*table.partition_names).sortWithinPartitions(*table.partition_names, *[c for c in table.order if c in rows.columns])
+    order = [*table.partition_names, *[c for c in table.order if c in rows.columns]]
+    laid = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     writer.partitionBy(*table.partition_names).parquet(f"{root}/{table.name}")
     _delete(spark, staged)
 
 
-def recover(spark: SparkSession, root: str, table: Table) -> int:
-    """Publishes what an upsert had staged completely before it broke off; throws away the rest."""
+def recover(spark: SparkSession, root: str, table: Table, writer: str | None = None) -> int:
+    """Publishes what an upsert had staged completely before it broke off; throws away the rest. With a writer, only
+    what this one had staged: another may still be at work."""
     done = 0
     for path in sorted(_children(spark, f"{root}/_staging/{table.name}")):
-        if _exists(spark, f"{path}/_SUCCESS"):
+        if writer is not None and not path.rpartition("/")[2].startswith(f"{writer}-"):
+            continue
+        if exists(spark, f"{path}/_SUCCESS"):
             _publish(spark, path, root, table)
             done += 1
         else:
@@ -138,23 +138,41 @@ def recover(spark: SparkSession, root: str, table: Table) -> int:
     return done
 
 
-def upsert(new: DataFrame, root: str, table: Table, order: str | None = None) -> int:
+def _in_their_series(rows: DataFrame, root: str, table: Table) -> DataFrame:
+    """rows with each ticker in the series under which it was first stored, so that a key stays in its partition when
+    the catalog learns or changes a ticker's series. New tickers are noted, beside the table, before they are stored."""
+    spark, folder = rows.sparkSession, f"{root}/_series/{table.name}"
+    noted = stored(spark, folder, StructType([StructField("market_ticker", StringType()), StructField("series_ticker", StringType())]))
+    known = noted.groupBy(F.col("market_ticker").alias("_t")).agg(F.min("series_ticker").alias("_known"))
+    own = rows.groupBy(F.col("market_ticker").alias("_t")).agg(F.min("series_ticker").alias("_own")).join(known, "_t", "left")
+    own = own.select("_t", F.coalesce("_known", "_own").alias("_s"), F.col("_known").isNull().alias("_new"))
+    fresh = own.where(F.col("_new") & F.col("_s").isNotNull()).select(F.col("_t").alias("market_ticker"), F.col("_s").alias("series_ticker"))
+    if not fresh.isEmpty():
+        fresh.write.mode("append").option("compression", "zstd").parquet(folder)
+    placed = rows.join(own.select("_t", "_s"), F.col("market_ticker").eqNullSafe(F.col("_t")), "left")
+    return placed.withColumn("series_ticker", F.coalesce("_s", "series_ticker")).select(*rows.columns)
+
+
+def upsert(new: DataFrame, root: str, table: Table, order: str | None = None, writer: str = "upsert") -> int:
     """Merges new into the table under root and returns how many keys it did not hold before.
 
     Only partitions that new touches are read and rewritten. They are staged first and then put in place by dynamic
-    partition overwrite, so a run that breaks off between can be finished by recover(). Empty input writes nothing.
-    A key must stay in its partition, as it does when the partition follows from the key or never changes.
+    partition overwrite, so a run that breaks off between is finished by the writer's next one, or by recover(). Empty
+    input writes nothing. A key stays in its partition: its series is that under which its ticker was first stored, and
+    its time does not change (a candle's is in its key, a trade has one).
     """
     spark = new.sparkSession
-    recover(spark, root, table)
+    recover(spark, root, table, writer)
     dated = new.withColumns({n: c.cast(k) for n, c, k in table.partitions if n not in new.columns or n in table.schema.names})
     dated = dated.select(*table.stored_schema.names, *([order] if order and order not in table.stored_schema.names else []))
+    if "series_ticker" in table.partition_names:
+        dated = _in_their_series(dated, root, table)
     touched = dated.select(*table.partition_names).distinct()
     if touched.isEmpty():
         return 0
     old = read_table(spark, root, table).join(F.broadcast(touched), table.partition_names, "left_semi")  # as many rows as partitions
     old = old.select(*table.stored_schema.names)
-    staged, counts = f"{root}/_staging/{table.name}/{uuid.uuid4().hex}", Observation()
+    staged, counts = f"{root}/_staging/{table.name}/{writer}-{uuid.uuid4().hex}", Observation()
     merged_counting(old, dated, table.key, order, counts).write.option("compression", "zstd").parquet(staged)
     _publish(spark, staged, root, table)
     return counts.get["net_new"]

@@ -6,15 +6,20 @@ brands for series. Counts and times that may be NULL are shown as -1 there, as n
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake import schemas
 from marketlake.functions import scalars as S
 from marketlake.operators import audit, catalog, incremental, normalize, quality, upsert
+from marketlake.sources import landing
+from marketlake.streaming import feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -40,6 +45,26 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumns({"ts_ms": F.unix_millis(F.col("ts").cast("timestamp")), "market_ticker": F.concat(F.lit("U"), F.col("user_id").cast("string"))})
 
 
+def median(rows: DataFrame, column: str) -> float:
+    """The exact median of whole numbers: counts in 1024 equal ranges, then in those of the range that holds it. The
+    driver sees 1024 counts at a time, and no task all values."""
+    low, high, n = rows.agg(F.min(column), F.max(column), F.count(column)).first()
+
+    def nth(k: int) -> int:
+        a, b, skip = low, high, k
+        while a < b:
+            width = -(-(b - a + 1) // 1024)
+            inside = rows.where(F.col(column).between(a, b)).groupBy(F.floor((F.col(column) - a) / width).alias("r")).count()
+            for r, count in sorted((r["r"], r["count"]) for r in inside.collect()):
+                if skip < count:
+                    a, b = a + r * width, min(b, a + (r + 1) * width - 1)
+                    break
+                skip -= count
+        return a
+
+    return (nth((n - 1) // 2) + nth(n // 2)) / 2
+
+
 MS = "(epoch_us(ts) // 1000)"
 TICKER = "'U' || user_id"
 DAY_MS = 86_400_000
@@ -125,8 +150,7 @@ def upsert_keep_last(spark, sf_dir):
 )
 def upsert_net_new(spark, sf_dir):
     rows = user_events(spark, sf_dir).select("user_id", "ts_ms", F.floor(F.col("ts_ms") / DAY_MS).alias("day"))
-    cut = rows.agg(F.percentile("ts_ms", F.lit(0.5)).alias("cut"))
-    cutoff = cut.first()["cut"]
+    cutoff = median(rows, "ts_ms")
     return upsert.net_new(rows.where(F.col("ts_ms") < cutoff), rows.where(F.col("ts_ms") >= cutoff), ["user_id", "day"])
 
 
@@ -252,10 +276,11 @@ def first_market(spark, sf_dir):
     """
 )
 def meta_tiers(spark, sf_dir):
+    """Each order is a payload of its customer's market, so most tickers have several: the last ingested counts."""
     def tier(status):
-        orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
-        payload = orders.select(
-            F.col("o_custkey").alias("ticker"), F.date_format(F.col("d").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("open_time"),
+        payload = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status).select(
+            F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("ingest_ts"),
+            F.col("o_custkey").alias("ticker"), F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("open_time"),
             F.lit("").alias("expiration_time"), F.lit(None).cast("string").alias("latest_expiration_time"), F.lit(status).alias("status"),
         )
         return catalog.metadata_columns(payload)
@@ -334,7 +359,7 @@ def catalog_counts(spark, sf_dir):
         F.col("c_mktsegment").alias("status"), F.lit("historical").alias("source"),
     )
     events = both.select(F.col("r_name").alias("series"), F.col("n_name").alias("event_ticker"), F.col("n_name").alias("title"))
-    counts = catalog.catalog_counts(catalog.build_catalog(events, markets))
+    counts = catalog.member_counts(events, markets)
     return counts.select("series", *[F.col(c).cast("long").alias(c) for c in ("n_events", "n_markets", "n_tickers")])
 
 
@@ -447,9 +472,11 @@ def dq_violations(spark, sf_dir):
     return quality.violations(rows, low=0.02, high=0.08).drop("price")
 
 
-@query("SELECT p_partkey, p_name AS title FROM part WHERE contains(p_name, 'above_below_between')")
+@query("SELECT p_partkey, p_brand || ' above_below_between ' || p_name AS title FROM part WHERE p_size % 3 = 0")
 def template_titles(spark, sf_dir):
-    return quality.template_titles(table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("title")))
+    """Titles of which a third still holds the template."""
+    middle = F.when(F.col("p_size") % 3 == 0, F.lit(" above_below_between ")).otherwise(F.lit(" above, below or between "))
+    return quality.template_titles(table(spark, sf_dir, "part").select("p_partkey", F.concat("p_brand", middle, "p_name").alias("title")))
 
 
 @query(
@@ -511,32 +538,347 @@ def table_upsert(spark, sf_dir):
     return upsert.read_table(spark, root, daily).select("market_ticker", "ts_ms", F.col("open_interest").cast("long").alias("last_event"), "volume")
 
 
-@query(_STORED_SQL)
+_SERIES_SQL = """
+    WITH l AS (
+        SELECT 'P' || l_suppkey AS market_ticker, epoch_us(l_shipdate::TIMESTAMP) // 1000 AS ts_ms, l_orderkey * 8 + l_linenumber AS seq, l_quantity AS volume
+        FROM lineitem
+    ), k AS (SELECT market_ticker, ts_ms, arg_max(volume, (seq % 16 >= 8, seq)) AS volume FROM l GROUP BY ALL)
+    SELECT market_ticker, ts_ms, volume, CASE WHEN bool_or(early) THEN 'OLD' ELSE 'NEW' END AS series_ticker, {more}
+    FROM k JOIN (SELECT market_ticker, bool_or(seq % 16 < 8) AS early FROM l GROUP BY 1) USING (market_ticker)
+    GROUP BY ALL
+"""
+
+
+def _two_upserts(spark, sf_dir, name: str) -> DataFrame:
+    """Two upserts of candles of many years; between them the catalog moves all tickers from series OLD to NEW, but what
+    is stored stays in its partition."""
+    target, root = upsert.tables()[name], scratch(spark, name)
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts_ms"), F.col("l_quantity").alias("volume"),
+        F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("market_ticker"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+    ).withColumn("event_ticker", F.col("market_ticker"))
+    none = {c: F.lit(None).cast("double") for c in (*normalize.BARS, "mean", "open_interest")}
+    for series, part in (("OLD", F.col("seq") % 16 < 8), ("NEW", F.col("seq") % 16 >= 8)):
+        rows = lines.where(part).withColumns(none | {"series_ticker": F.lit(series)})
+        upsert.upsert(rows.select(*target.schema.names, "seq"), root, target, "seq")
+    return upsert.read_table(spark, root, target).select("market_ticker", "ts_ms", "volume", "series_ticker", *[c for c in target.partition_names if c != "series_ticker"])
+
+
+@query(_SERIES_SQL.format(more="year(make_timestamp(ts_ms * 1000))::INT AS year"))
+def table_upsert_by_year(spark, sf_dir):
+    return _two_upserts(spark, sf_dir, "hourly")
+
+
+@query(_SERIES_SQL.format(more="year(make_timestamp(ts_ms * 1000))::INT AS year, month(make_timestamp(ts_ms * 1000))::INT AS month"))
+def table_upsert_by_month(spark, sf_dir):
+    return _two_upserts(spark, sf_dir, "minute")
+
+
+@query(
+    f"""
+    WITH e AS (SELECT *, {TICKER} AS market_ticker, {MS} // {DAY_MS} * {DAY_MS} AS ts_ms FROM events WHERE event_id % 10 <> 7)
+    SELECT market_ticker, ts_ms, arg_max(event_id, (event_id % 2, event_id)) AS last_event, arg_max(value, (event_id % 2, event_id)) AS volume FROM e GROUP BY ALL
+    """
+)
 def stream_upsert(spark, sf_dir):
-    """The same from files that land out of order, as a stream that ends when all are taken."""
-    daily = upsert.tables()["daily"]
+    """Raw pages land in two goes; the daily feed takes each until all is taken. What lands later replaces, and of
+    pages that land together the last ingested stays; a page with a volume that is no number is quarantined."""
     root = scratch(spark, "stream")
-    raw = _candle_rows(spark, sf_dir).select(*daily.schema.names, "event_id")
-    raw.repartition(4, F.col("event_id") % 7).write.parquet(f"{root}/landing")
-    pages = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+    for part in (0, 1):
+        _candle_pages(spark, sf_dir).where(F.col("ingest_ts") % 2 == part).write.mode("append").json(f"{root}/landing/candles")
+        feeds.start_feed(spark, "daily", f"{root}/landing", f"{root}/lake", once=True).awaitTermination()
+    stored = upsert.read_table(spark, f"{root}/lake", upsert.tables()["daily"])
+    return stored.select("market_ticker", "ts_ms", F.col("open_interest").cast("long").alias("last_event"), "volume")
 
-    def merge(batch: DataFrame, _: int) -> None:
-        old = upsert.read_table(batch.sparkSession, root, daily).select(*daily.schema.names).withColumn("event_id", F.col("open_interest").cast("long"))
-        upsert.upsert(old.join(batch.select(*upsert_keys).distinct(), upsert_keys, "left_semi").unionByName(batch), root, daily, "event_id")
 
-    upsert_keys = list(daily.key)
-    pages.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return upsert.read_table(spark, root, daily).select("market_ticker", "ts_ms", F.col("open_interest").cast("long").alias("last_event"), "volume")
+@query(
+    f"""
+    SELECT 'U' || user_id AS market_ticker, 'cannot parse volume n/a' AS reason, count(*) AS n FROM events WHERE event_id % 10 = 7 GROUP BY ALL
+    """
+)
+def quarantined_once(spark, sf_dir):
+    """The quarantine of a backfill that is run twice."""
+    root = scratch(spark, "quarantine")
+    _candle_pages(spark, sf_dir).write.json(f"{root}/landing/candles")
+    _trade_pages(spark, sf_dir).write.json(f"{root}/landing/trades")
+    for _ in range(2):
+        feeds.backfill(spark, f"{root}/landing", f"{root}/lake")
+    return spark.read.parquet(f"{root}/lake/quarantine").where("dataset = 'daily'").groupBy("market_ticker", "reason").agg(F.count("*").alias("n"))
+
+
+def _candle_pages(spark, sf_dir) -> DataFrame:
+    """Each event as a raw page of one daily candle; every tenth has a volume that is no number."""
+    events = user_events(spark, sf_dir)
+    volume = F.when(F.col("event_id") % 10 == 7, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    price = F.struct(*[F.lit("0.5").alias(b) for b in (*normalize.BARS, "mean")])
+    candle = F.struct((F.floor(F.col("ts_ms") / DAY_MS) * (DAY_MS // 1000)).alias("end_period_ts"), volume.alias("volume"), F.col("event_id").cast("string").alias("open_interest"), price.alias("price"))
+    return events.select(
+        "market_ticker", F.lit("historical").alias("tape"), F.lit(1440).alias("period_minutes"), F.lit(0).alias("start_ts"), F.col("event_id").alias("ingest_ts"), F.array(candle).alias("candlesticks")
+    )
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared folder (spark.checkpoint.dir), or a local one where that is unset."""
-    import atexit
-    import uuid
+def _trade_pages(spark, sf_dir) -> DataFrame:
+    """The events of a user and type as raw pages of trades, most of them on both tapes; counts differ by tape."""
+    events = user_events(spark, sf_dir)
+    tapes = F.when(F.col("event_id") % 5 == 0, F.array(F.lit("live"))).otherwise(F.array(F.lit("historical"), F.lit("live")))
+    each = events.withColumn("tape", F.explode(tapes))
+    count = F.col("event_id") + F.when(F.col("tape") == "live", 1_000_000).otherwise(0)
+    trade = F.struct(
+        F.col("event_id").cast("string").alias("trade_id"), F.col("market_ticker").alias("ticker"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_time"),
+        F.lit("0.25").alias("yes_price_dollars"), F.lit("0.75").alias("no_price_dollars"), count.cast("string").alias("count_fp"), F.lit("yes").alias("taker_side"),
+    )
+    pages = each.groupBy("tape", "user_id", F.floor(F.col("event_id") / 64).alias("page")).agg(F.collect_list(trade).alias("trades"))
+    return pages.select("tape", F.lit(1).alias("ingest_ts"), "page", "trades")
 
+
+@query(
+    """
+    SELECT 'O' || l_orderkey AS market_ticker, epoch_us(l_shipdate::TIMESTAMP) // 1000 AS ts_ms,
+        CASE WHEN l_orderkey % 2 = 0 THEN coalesce(nullif(l_discount, 0.05), l_tax) ELSE nullif(l_discount, 0.05) END AS open,
+        CASE WHEN l_orderkey % 2 = 0 THEN l_tax END AS close, l_quantity AS volume
+    FROM lineitem
+    """
+)
+def landed_candles(spark, sf_dir):
+    """Orders as landed candle pages, even ones of the historical and odd ones of the live shape, read and united."""
+    price, text = F.nullif(F.col("l_discount"), F.lit(0.05)), lambda c: c.cast("string")
+    live = F.col("l_orderkey") % 2 == 1
+    old = F.struct(F.when(~live, text(price)).alias("open"), F.when(live, text(price)).alias("open_dollars"))
+    candle = F.struct(
+        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("end_period_ts"), F.when(~live, text(F.col("l_quantity"))).alias("volume"),
+        F.when(live, text(F.col("l_quantity"))).alias("volume_fp"), old.alias("price"), F.struct(*[F.when(~live, text(F.col("l_tax"))).alias(b) for b in normalize.BARS]).alias("yes_bid"),
+    )
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(candle).alias("candlesticks"))
+    pages = lines.select(
+        F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("market_ticker"), F.when(live, "live").otherwise("historical").alias("tape"), F.lit(1440).alias("period_minutes"),
+        F.lit(0).alias("start_ts"), F.lit(1).alias("ingest_ts"), "candlesticks",
+    )
+    path = f"{scratch(spark, 'pages')}/candles"
+    pages.write.json(path)
+    rows = normalize.normalize_candles(landing.candle_pages(spark, path))
+    return rows.select("market_ticker", "ts_ms", "open", "close", "volume")
+
+
+@query(
+    """
+    SELECT 'O' || l_orderkey AS market_ticker, count(*)::INT AS n_candles, epoch_us(max(l_shipdate)::TIMESTAMP) // 1000000 AS adjusted_end_ts
+    FROM lineitem GROUP BY l_orderkey
+    """
+)
+def landed_page_sizes(spark, sf_dir):
+    seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
+    pages = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("market_ticker")).agg(
+        F.max(seconds).alias("adjustedEndTs"), F.collect_list(F.struct(seconds.alias("end_period_ts"))).alias("candlesticks")
+    )
+    path = f"{scratch(spark, 'pages')}/candles"
+    pages.write.json(path)
+    return landing.candle_page_sizes(spark, path).select("market_ticker", "n_candles", "adjusted_end_ts")
+
+
+@query(
+    f"""
+    SELECT CAST(event_id AS VARCHAR) AS trade_id, {TICKER} AS market_ticker, {MS} AS ts_ms, 0.25 AS yes_price, 0.75 AS no_price,
+        CAST(event_id + CASE WHEN event_id % 5 = 0 THEN 1000000 ELSE 0 END AS DOUBLE) AS count, 'yes' AS taker_side
+    FROM events
+    """
+)
+def landed_trades(spark, sf_dir):
+    """Landed trade pages of both tapes, each trade once: the historical tape wins."""
+    path = f"{scratch(spark, 'pages')}/trades"
+    _trade_pages(spark, sf_dir).write.json(path)
+    return upsert.keep_last(normalize.normalize_trades(normalize.unite_tapes(landing.trade_pages(spark, path))), ["trade_id"])
+
+
+@query(
+    """
+    SELECT CAST(0 AS BIGINT) AS ts_ms, CAST(user_id AS VARCHAR) AS market_ticker, CASE WHEN event_type = 'click' THEN 'YES' ELSE 'NO' END AS side,
+        value AS price, CAST(event_id AS DOUBLE) AS quantity,
+        sum(CAST(event_id AS DOUBLE)) OVER (w ROWS UNBOUNDED PRECEDING) AS cumulative_qty, row_number() OVER w - 1 AS distance_from_top
+    FROM events WINDOW w AS (PARTITION BY user_id, event_type = 'click' ORDER BY value DESC, event_id)
+    """
+)
+def landed_books(spark, sf_dir):
+    """A landed order book for each user: [price, quantity] texts of both sides."""
+    pair = F.array(F.col("value").cast("string"), F.col("event_id").cast("string"))
+    entry = F.struct("event_id", pair.alias("level"))
+    side = lambda yes: F.transform(F.array_sort(F.collect_list(F.when(yes, entry))), lambda x: x["level"])
+    click = F.col("event_type") == "click"
+    pages = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("market_ticker")).agg(side(click).alias("yes_dollars"), side(~click).alias("no_dollars"))
+    path = f"{scratch(spark, 'pages')}/orderbook"
+    pages.select("market_ticker", F.lit(0).alias("ts_ms"), F.struct("yes_dollars", "no_dollars").alias("orderbook_fp")).write.json(path)
+    return normalize.book_levels(landing.book_pages(spark, path))
+
+
+@query(
+    """
+    WITH o AS (SELECT o_custkey, o_orderstatus AS s, o_orderdate AS d, o_orderpriority AS p, o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P'),
+    l AS (SELECT o_custkey, max((d, p)) AS m FROM o WHERE s = 'O' GROUP BY 1), h AS (SELECT o_custkey, max((d, p)) AS m FROM o WHERE s = 'F' GROUP BY 1),
+    b AS (SELECT c_custkey, coalesce(l.m, h.m) AS m, l.m IS NOT NULL AS live FROM customer LEFT JOIN l ON c_custkey = l.o_custkey LEFT JOIN h ON c_custkey = h.o_custkey)
+    SELECT 'C' || c_custkey AS market_ticker, coalesce(epoch_us(m[1]::TIMESTAMP) // 1000, -1) AS open_ts_ms, coalesce(m[2], 'unknown') AS expiration,
+        CASE WHEN m IS NULL THEN 'unknown' WHEN live THEN 'open' ELSE 'closed' END AS status
+    FROM b
+    """
+)
+def landed_metadata(spark, sf_dir):
+    """Market payloads of both tapes that landed again and again; the last ingested counts."""
+    live = F.col("o_orderstatus") == "O"
+    market = F.struct(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"), F.when(live, "open").otherwise("closed").alias("status"),
+        F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("open_time"),
+        F.when(live, F.col("o_orderpriority")).otherwise("").alias("expiration_time"), F.col("o_orderpriority").alias("latest_expiration_time"),
+    )
+    payloads = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select(
+        F.when(live, "live").otherwise("historical").alias("tape"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("ingest_ts"), market.alias("market")
+    )
+    path = f"{scratch(spark, 'pages')}/markets"
+    payloads.write.json(path)
+    read = landing.market_payloads(spark, path)
+    tickers = table(spark, sf_dir, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("market_ticker"))
+    both = [catalog.metadata_columns(read.where(F.col("tape") == t)) for t in ("live", "historical")]
+    return catalog.market_metadata(tickers, *both).fillna(-1, ["open_ts_ms"])
+
+
+@query(
+    """
+    SELECT n_name AS event_ticker, CAST(c_custkey AS VARCHAR) AS market_ticker, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS title,
+        c_mktsegment AS status, 'live_event' AS source
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    """
+)
+def landed_markets(spark, sf_dir):
+    """Listed markets of each nation's event; missing titles are empty."""
+    customers = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    market = F.struct(
+        F.col("c_custkey").cast("string").alias("ticker"), F.col("n_name").alias("event_ticker"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("title"), F.col("c_mktsegment").alias("status")
+    )
+    pages = customers.groupBy("n_name", F.floor(F.col("c_custkey") / 100).alias("page")).agg(F.collect_list(market).alias("markets"))
+    path = f"{scratch(spark, 'pages')}/listings"
+    pages.select(F.lit("live").alias("listing"), "markets").write.json(path)
+    return catalog.market_rows(landing.market_listings(spark, path), "live_event")
+
+
+@query(
+    """
+    SELECT CASE WHEN r_regionkey % 2 = 0 THEN r_name ELSE 'KX' || r_name END AS series, n_name AS event_ticker, CASE WHEN n_nationkey % 2 = 0 THEN 'first' ELSE 'second' END || n_nationkey AS title
+    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 7 <> 3
+    """
+)
+def landed_events(spark, sf_dir):
+    """Events that two listings show under one spelling or the other; those without ticker are skipped."""
+    regions = table(spark, sf_dir, "region").withColumn("series", F.when(F.col("r_regionkey") % 2 == 0, F.col("r_name")).otherwise(F.concat(F.lit("KX"), "r_name")))
+    nations = table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    # the first title is of the newer spelling in the first listing, where even nations are; all are in the last
+    shown = F.array(F.struct(F.lit("events").alias("listing"), F.lit("first").alias("t"), F.lit(0).alias("rest")), F.struct(F.lit("live").alias("listing"), F.lit("second").alias("t"), F.lit(1).alias("rest")))
+    each = nations.withColumn("x", F.explode(shown)).where((F.col("x.rest") == 1) | (F.col("n_nationkey") % 2 == 0))
+    event = F.struct(F.when(F.col("n_nationkey") % 7 != 3, F.col("n_name")).alias("event_ticker"), F.concat(F.col("x.t"), F.col("n_nationkey").cast("string")).alias("title"))
+    variant = F.concat(F.when(F.col("x.rest") == 0, "KX").otherwise(""), "r_name")
+    pages = each.groupBy(F.col("x.listing").alias("listing"), variant.alias("variant")).agg(F.collect_list(event).alias("events"))
+    path = f"{scratch(spark, 'pages')}/events"
+    pages.write.json(path)
+    return catalog.discovered_events(landing.event_listings(spark, path), regions.select("series"))
+
+
+@query(
+    """
+    SELECT n_name AS ticker, n_name || '!' AS title, r_name AS category, 'monthly' AS frequency, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE n_name || ', ' || r_name END AS tags
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+    """
+)
+def landed_series(spark, sf_dir):
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    series = F.struct(
+        F.col("n_name").alias("ticker"), F.concat("n_name", F.lit("!")).alias("title"), F.col("r_name").alias("category"), F.lit("monthly").alias("frequency"),
+        F.when(F.col("n_nationkey") % 3 != 0, F.array("n_name", "r_name")).alias("tags"),
+    )
+    path = f"{scratch(spark, 'pages')}/series"
+    nations.groupBy("r_name").agg(F.collect_list(series).alias("series")).select("series").write.json(path)
+    return catalog.series_rows(landing.series_listing(spark, path))
+
+
+def _catalog(spark, sf_dir) -> DataFrame:
+    """The nations of a region as a series' events, their suppliers as markets."""
+    nations = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("r_regionkey") == F.col("n_regionkey"))
+    both = nations.join(table(spark, sf_dir, "supplier"), F.col("s_nationkey") == F.col("n_nationkey"))
+    markets = both.select(
+        F.col("r_name").alias("series"), F.col("n_name").alias("event_ticker"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("market_ticker"), F.col("s_name").alias("title"),
+        F.lit("open").alias("status"), F.lit("historical").alias("source"),
+    )
+    return catalog.build_catalog(nations.select(F.col("r_name").alias("series"), F.col("n_name").alias("event_ticker"), F.col("n_name").alias("title")), markets)
+
+
+_CATALOG_SQL = "SELECT {columns} FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+
+
+@query(_CATALOG_SQL.format(columns="r_name AS series, n_name AS event_ticker, 'S' || s_suppkey AS market_ticker, s_name AS title, 'open' AS status, 'historical' AS source"))
+def catalog_markets(spark, sf_dir):
+    """The markets of the catalog as it was written."""
+    folder = scratch(spark, "catalog")
+    catalog.write_catalog(_catalog(spark, sf_dir), folder)
+    return catalog.catalog(spark.read.schema(schemas.CATALOG).json(f"{folder}/json"), "markets")
+
+
+@query(_CATALOG_SQL.format(columns="DISTINCT 'S' || s_suppkey AS market_ticker"))
+def catalog_tickers(spark, sf_dir):
+    """The tickers of the combined catalog as it was written."""
+    folder = scratch(spark, "catalog")
+    catalog.write_combined(_catalog(spark, sf_dir), folder)
+    combined = landing.tickers_from_json(spark, f"{folder}/json")
+    return combined.join(landing.tickers_from_text(spark, f"{folder}/txt"), "market_ticker", "left_semi")
+
+
+@query("SELECT 'S' || s_suppkey AS market_ticker FROM supplier ORDER BY 1 LIMIT 7")
+def landed_tickers(spark, sf_dir):
+    """The first tickers, in code-point order, of a list with blank lines, spaces and repeats."""
+    name = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    lines = table(spark, sf_dir, "supplier").select(F.explode(F.array(F.concat(F.lit("  "), name, F.lit("\t")), F.lit(" "), name, F.lit(""))).alias("value"))
+    path = f"{scratch(spark, 'list')}/tickers.txt"
+    lines.write.text(path)
+    return landing.tickers(spark, path, limit=7)
+
+
+@query(
+    """
+    SELECT o_orderpriority || '-' || o_custkey AS event_ticker,
+        CASE WHEN o_custkey % 4 = 0 THEN max(o_orderstatus) WHEN o_custkey % 4 = 1 THEN 'rest' ELSE 'KX' || o_orderpriority END AS series_ticker,
+        CASE WHEN o_custkey % 4 < 2 THEN 1 ELSE 0 END AS n_markets
+    FROM orders GROUP BY o_orderpriority, o_custkey
+    """
+)
+def resolved_events(spark, sf_dir):
+    """Events from their payloads, which landed several times, else from the other source, else by name."""
+    orders = table(spark, sf_dir, "orders").withColumn("event_ticker", F.concat_ws("-", "o_orderpriority", F.col("o_custkey").cast("string")))
+    markets = F.array("o_clerk") if "o_clerk" in orders.columns else F.array(F.lit("m"))
+    payloads = orders.where("o_custkey % 4 = 0").select("event_ticker", F.col("o_orderstatus").alias("series_ticker"), markets.alias("markets"))
+    rest = orders.where("o_custkey % 4 < 2").select("event_ticker", F.lit("rest").alias("series_ticker"), markets.alias("markets"))
+    out = catalog.resolved_events(orders.select("event_ticker").distinct(), payloads, rest)
+    return out.select("event_ticker", "series_ticker", F.size("markets").alias("n_markets"))
+
+
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_totalprice = floor(o_totalprice) THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR) ELSE 'fraction' END AS shown
+    FROM orders WHERE o_orderdate >= DATE '1994-01-01' AND o_orderdate < DATE '1995-01-01'
+    """
+)
+def ranged_volumes(spark, sf_dir):
+    """A year's orders by bounds in seconds, with the volume as reports show it."""
+    rows = table(spark, sf_dir, "orders").withColumn("ts_ms", F.unix_millis(F.col("o_orderdate").cast("timestamp")))
+    year = incremental.in_range(rows, 757_382_400, S.ms_to_seconds(S.day_to_ms("1995-01-01")))
+    shown = F.when(F.col("o_totalprice") == F.floor("o_totalprice"), S.volume_text("o_totalprice")).otherwise("fraction")
+    return year.select("o_orderkey", shown.alias("shown"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared folder (spark.checkpoint.dir), which goes when the application ends; a
+    temporary one where that is unset and the master is local (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        return path.toString()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix=f"marketlake-{name}-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return local

@@ -24,7 +24,7 @@ _MARKET = "ticker:string,event_ticker:string,title:string,status:string,open_tim
 _DDL["MARKET_PAGE"] = f"listing string, cursor string, markets array<struct<{_MARKET}>>"
 _DDL["EVENT_PAGE"] = "listing string, variant string, cursor string, events array<struct<event_ticker:string,title:string,series_ticker:string>>"
 _DDL["EVENT_PAYLOAD"] = f"event struct<event_ticker:string,title:string,series_ticker:string>, markets array<struct<{_MARKET}>>"
-_DDL["MARKET_PAYLOAD"] = f"tape string, market struct<{_MARKET}>"
+_DDL["MARKET_PAYLOAD"] = f"tape string, ingest_ts bigint, market struct<{_MARKET}>"
 _DDL["SERIES_PAGE"] = "series array<struct<ticker:string,title:string,category:string,frequency:string,tags:array<string>>>"
 _DDL["CATALOG"] = (
     "series string, events array<struct<event_ticker:string,title:string>>, "

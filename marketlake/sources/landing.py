@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,8 +38,8 @@ def book_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def market_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """tape and the fields of one market per row."""
-    return _json(spark, path, schemas.MARKET_PAYLOAD).select("tape", "market.*")
+    """tape, ingest_ts and the fields of one market per row."""
+    return _json(spark, path, schemas.MARKET_PAYLOAD).select("tape", "ingest_ts", "market.*")
 
 
 def market_listings(spark: SparkSession, path: str) -> DataFrame:
@@ -94,13 +93,15 @@ def tickers(spark: SparkSession, source: str | list[str], catalog_folder: str |
     return ordered.limit(limit) if limit else ordered
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def stored(spark: SparkSession, path: str, schema: StructType, layout: str = "hive") -> DataFrame:
     """A stored table; an empty one of the same schema if there is none. layout "files" reads a tree of plain files,
     whose folders mean nothing."""
-    options = {"recursiveFileLookup": "true"} if layout == "files" else {}
-    try:
-        return spark.read.schema(schema).options(**options).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    options = {"recursiveFileLookup": "true"} if layout == "files" else {}
+    return spark.read.schema(schema).options(**options).parquet(path)

@@ -21,13 +21,13 @@ Batch = Callable[[DataFrame], DataFrame]
 def _candles(minutes: int) -> Batch:
     def of(pages: DataFrame) -> DataFrame:
         rows = pages.where(F.col("period_minutes") == minutes).select("*", F.posexplode("candlesticks").alias("pos", "c"))
-        return normalize.normalize_candles(rows).drop("period_minutes")
+        return normalize.normalize_candles(rows, tell=True).drop("period_minutes")
 
     return of
 
 
 def _trades(pages: DataFrame) -> DataFrame:
-    return normalize.normalize_trades(normalize.unite_tapes(pages.select("tape", "ingest_ts", "page", F.posexplode("trades").alias("pos", "t"))))
+    return normalize.normalize_trades(normalize.unite_tapes(pages.select("tape", "ingest_ts", "page", F.posexplode("trades").alias("pos", "t"))), tell=True)
 
 
 def _books(focus: Iterable[str]) -> Batch:
@@ -40,9 +40,10 @@ def _books(focus: Iterable[str]) -> Batch:
     return of
 
 
-def merge_batch(batch: DataFrame, feed: str, root: str, rows_of: Batch, meta: DataFrame | None = None) -> int:
-    """Raw pages of one micro-batch into the feed's table; rows without key or time go to the quarantine. Running a
-    batch twice changes nothing, so a restart may repeat its last one."""
+def merge_batch(batch: DataFrame, feed: str, root: str, rows_of: Batch, meta: DataFrame | None = None, batch_id: str = "batch", writer: str = "batch") -> int:
+    """Raw pages of one micro-batch into the feed's table; rows without key or time, and those with values that cannot
+    be parsed, go to the quarantine. Running a batch twice changes nothing, so a restart may repeat its last one: the
+    merge keeps the last row of a key, and the quarantine has a folder for each writer and batch_id."""
     table = tables()[feed]
     rows = rows_of(batch)
     if "series_ticker" in table.schema.names:
@@ -51,9 +52,9 @@ def merge_batch(batch: DataFrame, feed: str, root: str, rows_of: Batch, meta: Da
     required = tuple(dict.fromkeys((*table.key, "ts_ms", "market_ticker")))
     good, bad = split_bad(rows, feed, required)
     if not bad.isEmpty():
-        quarantine(bad, f"{root}/quarantine")
+        quarantine(bad, f"{root}/quarantine", feed, f"{writer}-{batch_id}")
     order = "_seq" if "_seq" in good.columns else None
-    return upsert(good.select(*table.schema.names, *([order] if order else [])), root, table, order)
+    return upsert(good.select(*table.schema.names, *([order] if order else [])), root, table, order, writer)
 
 
 def feeds(focus: Iterable[str] = FOCUS) -> dict[str, tuple[str, object, Batch]]:
@@ -74,8 +75,8 @@ def start_feed(spark: SparkSession, feed: str, landing: str, root: str, meta: Da
     folder, schema, rows_of = feeds(focus)[feed]
     pages = spark.readStream.schema(schema).json(f"{landing}/{folder}")
 
-    def each(batch: DataFrame, _: int) -> None:
-        merge_batch(batch, feed, root, rows_of, meta)
+    def each(batch: DataFrame, number: int) -> None:
+        merge_batch(batch, feed, root, rows_of, meta, str(number), "feed")
 
     writer = pages.writeStream.queryName(f"{feed} of {root}").foreachBatch(each).option("checkpointLocation", f"{root}/_checkpoints/{feed}")
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{every_s or CADENCE[feed]} seconds")).start()
@@ -87,9 +88,10 @@ def start_feeds(spark: SparkSession, landing: str, root: str, only: Iterable[str
 
 
 def backfill(spark: SparkSession, landing: str, root: str, meta: DataFrame | None = None) -> dict[str, int]:
-    """All that has landed into daily, hourly, minute and trades tables, in this order; new keys by table."""
+    """All that has landed into daily, hourly, minute and trades tables, in this order; new keys by table. Feeds of these
+    tables must not run meanwhile: a table has one writer at a time."""
     written = {}
     for feed in ("daily", "hourly", "minute", "trades"):
         folder, schema, rows_of = feeds()[feed]
-        written[feed] = merge_batch(spark.read.schema(schema).json(f"{landing}/{folder}"), feed, root, rows_of, meta)
+        written[feed] = merge_batch(spark.read.schema(schema).json(f"{landing}/{folder}"), feed, root, rows_of, meta, "all", "backfill")
     return written

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.functions import scalars as S
 from marketlake.operators import catalog as C
@@ -152,3 +153,23 @@ def test_scalars(spark):
         S.number("a"), S.number("b"), S.number_or_zero("c"), S.ms_to_seconds(S.F.col("ms")), S.volume_text("v"), S.volume_text("w"), S.day_of("ms"), S.year_month("ms"), S.day_to_ms("1970-01-02")
     )
     assert tuple(row.first()) == (0.69, None, 0.0, 1, "5", "2.5", "1970-01-01", "1970-01", 86_400_000)
+
+
+def test_lookups_take_the_last_row_of_a_key(spark):
+    tickers = spark.createDataFrame([("A",), ("B",)], "market_ticker string")
+    live = spark.createDataFrame([(2, "A", 20, "x", "new"), (1, "A", 30, "y", "old")], "ingest_ts bigint, market_ticker string, open_ts_ms bigint, expiration string, status string")
+    got = C.market_metadata(tickers, live, live.limit(0)).collect()
+    assert sorted((r.market_ticker, r.status) for r in got) == [("A", "new"), ("B", "unknown")]
+    facts = spark.createDataFrame([("A", 1), ("A", 2)], "market_ticker string, n int")
+    meta = spark.createDataFrame([("A", "S", "E"), ("A", "S", "F")], "market_ticker string, series_ticker string, event_ticker string")
+    assert sorted((r.n, r.event_ticker) for r in C.with_ticker_meta(facts, meta).collect()) == [(1, "F"), (2, "F")]
+    both = spark.createDataFrame([("X-1", "S", ["m"]), ("X-1", "S", ["n"])], "event_ticker string, series_ticker string, markets array<string>")
+    assert [r.markets for r in C.resolved_events(spark.createDataFrame([("X-1",)], "event_ticker string"), both, both).collect()] == [["n"]]
+
+
+def test_member_counts_equal_those_of_the_catalog(spark):
+    events = spark.createDataFrame([("S", "e1", "t"), ("S", "e1", "t"), ("S", "e2", "t"), ("T", "e3", None), ("U", "e4", "x")], "series string, event_ticker string, title string")
+    markets = spark.createDataFrame([("S", "e1", "m1"), ("S", "e1", "m1"), ("T", "e3", "m1")], "series string, event_ticker string, market_ticker string")
+    markets = markets.withColumns({c: F.lit("") for c in ("title", "status", "source")})
+    key = lambda df: sorted(((r.series or "", r.n_events, r.n_markets, r.n_tickers) for r in df.collect()))
+    assert key(C.member_counts(events, markets)) == key(C.catalog_counts(C.build_catalog(events, markets))) == [("", 4, 3, 1), ("S", 2, 2, 1), ("T", 1, 1, 1), ("U", 1, 0, 0)]

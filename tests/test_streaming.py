@@ -50,3 +50,17 @@ def test_trades_and_books(spark, tmp_path):
         q.awaitTermination()
     assert [(r.trade_id, r["count"], r.series_ticker) for r in read_table(spark, root, tables()["trades"]).collect()] == [("a", 2.0, "KXCPI")]
     assert [r.market_ticker for r in read_table(spark, root, tables()["orderbook"]).collect()] == ["IN"]
+
+
+def test_a_repeated_batch_changes_nothing_and_bad_values_are_quarantined(spark, tmp_path):
+    trade = {"trade_id": "a", "ticker": "KXCPI-1", "created_time": "2022-07-28T13:31:07.6Z", "yes_price_dollars": "0.9", "no_price_dollars": "0.1", "count_fp": "1", "taker_side": "yes"}
+    odd = [{**trade, "trade_id": "b", "yes_price_dollars": "n/a"}, {**trade, "trade_id": "c", "count_fp": "NaN"}, {**trade, "trade_id": "d", "no_price_dollars": None}, {**trade, "trade_id": None}]
+    put(tmp_path / "landing", "1.json", {"tape": "live", "ingest_ts": 9, "page": 0, "trades": [trade, *odd]})
+    _, schema, rows_of = feeds.feeds()["trades"]
+    root = str(tmp_path / "lake")
+    for _ in range(2):
+        feeds.merge_batch(spark.read.schema(schema).json(str(tmp_path / "landing")), "trades", root, rows_of, batch_id="5")
+    assert sorted((r.trade_id, r["count"]) for r in read_table(spark, root, tables()["trades"]).collect()) == [("a", 1.0), ("c", None), ("d", 1.0)]
+    bad = spark.read.parquet(f"{root}/quarantine").collect()
+    assert sorted((r.dataset, r.reason) for r in bad) == [("trades", "cannot parse yes_price n/a"), ("trades", "no trade_id")]
+    assert all("KXCPI-1" in r.payload for r in bad)

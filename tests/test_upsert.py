@@ -93,3 +93,32 @@ def test_trades_and_books(spark, tmp_path):
 def test_keep_last_ranked(spark):
     rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, o int, v string")
     assert {(r.k, r.v) for r in U.keep_last_ranked(rows, ["k"], F.desc("o")).collect()} == {(1, "b"), (2, "c")}
+
+
+def test_a_ticker_stays_in_the_series_it_was_first_stored_in(spark, tmp_path):
+    trades, root = U.tables()["trades"], str(tmp_path)
+    row = lambda trade, series, price=0.5: (trade, "CPIYOY-1", 0, price, 0.5, 1.0, "yes", series)
+    assert U.upsert(spark.createDataFrame([row("a", "CPIYOY")], trades.schema), root, trades) == 1
+    assert U.upsert(spark.createDataFrame([row("a", "KXCPIYOY", 0.7), row("b", "KXCPIYOY")], trades.schema), root, trades) == 1
+    assert sorted((r.trade_id, r.yes_price, r.series_ticker) for r in stored(spark, root, "trades").collect()) == [("a", 0.7, "CPIYOY"), ("b", 0.5, "CPIYOY")]
+
+
+def test_recovery_leaves_other_writers_alone(spark, tmp_path):
+    root, daily = str(tmp_path), U.tables()["daily"]
+    (tmp_path / "_staging" / daily.name / "backfill-1").mkdir(parents=True)
+    (tmp_path / "_staging" / daily.name / "feed-1").mkdir()
+    U.upsert(candles(spark, *ROWS), root, daily, writer="feed")
+    assert [p.name for p in (tmp_path / "_staging" / daily.name).iterdir()] == ["backfill-1"]
+
+
+def test_a_large_partition_is_several_files(spark, tmp_path):
+    root, daily = str(tmp_path), U.tables()["daily"]
+    rows = spark.range(4000).selectExpr("id * 1000 AS ts_ms", *[f"0.5D AS {c}" for c in ("open", "high", "low", "close", "mean", "volume", "open_interest")], "concat('T-', id % 7) AS market_ticker", "'e' AS event_ticker", "'T' AS series_ticker")
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert U.upsert(rows, root, daily) == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    sizes = [r["count"] for r in stored(spark, root).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 3000
