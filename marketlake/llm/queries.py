@@ -71,30 +71,31 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_chat_format": """
         WITH t AS (
-            SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS content
-            FROM conversations
+            SELECT DISTINCT conv_id, turn, role AS speaker, replace(coalesce(text, ''), '<|', '< |') AS content FROM conversations
+        ), c AS (
+            SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker NULLS FIRST, md5(content)) - 1) // 512 AS part FROM t
         ), s AS (
-            SELECT DISTINCT conv_id AS of, speaker AS perspective FROM t WHERE speaker <> 'system'
+            SELECT DISTINCT conv_id AS of, speaker AS perspective FROM t WHERE speaker IS DISTINCT FROM 'system'
         ), r AS (
-            SELECT conv_id, perspective, turn, speaker, content, floor(turn / 512.0) AS chunk,
-                '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
-                    ELSE 'user name=' || speaker END || chr(10) || content || '<|im_end|>' || chr(10) AS seg
-            FROM t JOIN s ON conv_id IS NOT DISTINCT FROM of
+            SELECT conv_id, perspective, turn, speaker, content, part,
+                '<|im_start|>' || CASE WHEN speaker IS NOT DISTINCT FROM perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+                    WHEN speaker IS NULL THEN 'user' ELSE 'user name=' || replace(replace(replace(speaker, '<|', '< |'), chr(13), ' '), chr(10), ' ') END
+                    || chr(10) || content || '<|im_end|>' || chr(10) AS seg
+            FROM c JOIN s ON conv_id IS NOT DISTINCT FROM of
         ), o AS (
-            SELECT *, sum(length(seg)) OVER (PARTITION BY conv_id, perspective, chunk ORDER BY turn NULLS FIRST, speaker, content) AS upto
+            SELECT *, sum(length(seg)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, speaker NULLS FIRST, md5(content)) AS upto
             FROM r
         ), p AS (
-            SELECT conv_id, perspective, chunk, count(*) AS n_turns, sum(length(seg)) AS size,
-                string_agg(seg, '' ORDER BY turn NULLS FIRST, speaker, content) AS text,
-                coalesce(string_agg((upto - 11 - length(content)) || ':' || (upto - 1), ',' ORDER BY turn NULLS FIRST, speaker, content)
-                    FILTER (WHERE speaker = perspective), '') AS loss_spans
+            SELECT conv_id, perspective, part, count(*) AS n_turns, sum(length(seg)) AS size,
+                string_agg(seg, '' ORDER BY turn NULLS FIRST, speaker NULLS FIRST, md5(content)) AS text,
+                coalesce(string_agg((upto - 11 - length(content)) || ':' || (upto - 1), ',' ORDER BY turn NULLS FIRST, speaker NULLS FIRST, md5(content))
+                    FILTER (WHERE speaker IS NOT DISTINCT FROM perspective), '') AS loss_spans
             FROM o GROUP BY ALL
         )
-        SELECT conv_id, perspective,
-            CAST(row_number() OVER w - 1 AS BIGINT) AS part,
-            CAST(coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS part_start,
+        SELECT conv_id, perspective, CAST(part AS BIGINT) AS part,
+            CAST(coalesce(sum(size) OVER (PARTITION BY conv_id, perspective ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS part_start,
             n_turns, text, loss_spans
-        FROM p WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY chunk NULLS FIRST)
+        FROM p
     """,
     "op2_secret_scan": """
         WITH rules(k, kind, pattern, least, base) AS (VALUES
