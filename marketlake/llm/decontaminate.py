@@ -68,34 +68,54 @@ def distance_in(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 class Pieces:
     """A block of benchmark items, each split into one piece more than the words that may differ: a stretch of text
-    within that distance holds at least one piece unchanged."""
-
-    def __init__(self, items: list[tuple[int, str]], rate: float, min_words: int):
-        self.items: list[tuple[int, np.ndarray, int]] = []
-        self.at: dict[int, list[tuple[int, int]]] = {}
-        self.lengths: set[int] = set()
-        texts = [t for _, t in items]
-        for begin, each in _words(texts):
+    within that distance holds at least one piece unchanged. It is made once and sent to tasks as arrays: the hashes of
+    all pieces in order, with the item and the place in it of each."""
+
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, min_words: int):
+        self.ids: list[int | None] = []
+        self.budgets: list[int] = []
+        words_of, keys, at = [], [], []
+        for begin, each in _words([t for _, t in items]):
             for i, words in enumerate(each):
                 if not len(words):
                     continue
                 budget = int(len(words) * rate) if len(words) >= min_words else 0
                 cuts = [len(words) * k // (budget + 1) for k in range(budget + 2)]
                 for a, b in zip(cuts, cuts[1:]):
-                    self.lengths.add(b - a)
-                    self.at.setdefault(int(grams(words[a:b], b - a)[0]), []).append((len(self.items), a))
-                self.items.append((items[begin + i][0], words, budget))
+                    keys.append(grams(words[a:b], b - a)[0])
+                    at.append((len(words_of), a, b - a))
+                self.ids.append(items[begin + i][0])
+                self.budgets.append(budget)
+                words_of.append(words)
+        order = np.argsort(np.array(keys, dtype=np.uint64), kind="stable")
+        self.keys = np.array(keys, dtype=np.uint64)[order]
+        self.item, self.offset, length = np.array(at, dtype=np.int32).reshape(-1, 3)[order].T.copy()
+        self.lengths = np.unique(length).tolist()
+        self.words = np.concatenate(words_of) if words_of else np.empty(0, dtype=np.uint64)
+        self.ends = np.cumsum([len(w) for w in words_of], dtype=np.int64)
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
-        self.table[np.fromiter(self.at, np.uint64, len(self.at)) >> np.uint64(64 - _TABLE_BITS)] = True
+        self.table[self.keys >> np.uint64(64 - _TABLE_BITS)] = True
+
+    def item_words(self, item: int) -> np.ndarray:
+        return self.words[self.ends[item - 1] if item else 0 : self.ends[item]]
+
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of hashes those that are some piece's: their numbers, and where such pieces begin in keys."""
+        at = np.flatnonzero(self.table[hashes >> np.uint64(64 - _TABLE_BITS)])
+        first = np.searchsorted(self.keys, hashes[at])
+        there = self.keys[np.minimum(first, len(self.keys) - 1)] == hashes[at] if len(self.keys) else np.zeros(0, dtype=bool)
+        return at[there], first[there]
 
     def places(self, words: np.ndarray) -> dict[int, set[int]]:
         """For each item of which a run of words holds a piece: where the item would begin."""
         found: dict[int, set[int]] = {}
-        for n in sorted(self.lengths):
+        for n in self.lengths:
             g = grams(words, n)
-            for p in np.flatnonzero(self.table[g >> np.uint64(64 - _TABLE_BITS)]):
-                for item, a in self.at.get(int(g[p]), ()):
-                    found.setdefault(item, set()).add(int(p) - a)
+            at, first = self.hits(g)
+            last = np.searchsorted(self.keys, g[at], side="right")
+            for p, i, j in zip(at.tolist(), first.tolist(), last.tolist()):
+                for item, a in zip(self.item[i:j].tolist(), self.offset[i:j].tolist()):
+                    found.setdefault(item, set()).add(p - a)
         return found
 
     def matches(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -106,7 +126,7 @@ class Pieces:
         """
         found: dict[int, tuple[int, int, int]] = {}
         for item, begins in self.places(words).items():
-            _, pattern, budget = self.items[item]
+            pattern, budget = self.item_words(item), self.budgets[item]
             for low, high in joined_windows(begins, budget, len(pattern) + budget, len(words)):
                 distance, end = distance_in(pattern, words[low:high])
                 if distance <= budget:
@@ -140,9 +160,8 @@ def matched(texts: list[str | None], pieces: Pieces) -> list[list[tuple[int, int
         ends = np.cumsum([len(words) + longest for words in each])
         hit: set[int] = set()
         for n in pieces.lengths:
-            g = grams(joined, n)
-            at = np.flatnonzero(pieces.table[g >> np.uint64(64 - _TABLE_BITS)])
-            hit.update(np.searchsorted(ends, [p for p in at if int(g[p]) in pieces.at], side="right").tolist())
+            at, _ = pieces.hits(grams(joined, n))
+            hit.update(np.searchsorted(ends, at, side="right").tolist())
         for i in hit:
             out[begin + i] = pieces.matches(each[i])
     return out
@@ -176,14 +195,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = ERRO
     names = ["doc_id", "item_id", "item_words", "distance", "start_word", "end_word"]
     out = None
     for items in blocks_of(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        sent = docs.sparkSession.sparkContext.broadcast(Pieces(items, rate, min_words))
 
         def match(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            pieces = Pieces(sent.value, rate, min_words)
+            pieces = sent.value
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 rows = [
-                    (ids[i], pieces.items[k][0], len(pieces.items[k][1]), distance, start, end)
+                    (ids[i], pieces.ids[k], len(pieces.item_words(k)), distance, start, end)
                     for i, found in enumerate(matched(batch.column(1).to_pylist(), pieces))
                     for k, distance, start, end in found
                 ]
@@ -199,17 +218,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
     ship(docs.sparkSession)
     flag: Column | None = None
     for items in blocks_of(benchmark):
-        here = _holder(docs.sparkSession.sparkContext.broadcast(items), rate, min_words)(F.col(text))
+        here = _holder(docs.sparkSession.sparkContext.broadcast(Pieces(items, rate, min_words)))(F.col(text))
         flag = here if flag is None else flag | here
     return flag
 
 
-def _holder(sent, rate: float, min_words: int):
+def _holder(sent):
     @F.pandas_udf("boolean")
     def holds(each: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = Pieces(sent.value, rate, min_words)
         for texts in each:
-            yield pd.Series([bool(m) for m in matched([t if isinstance(t, str) else None for t in texts], pieces)], dtype=bool)
+            yield pd.Series([bool(m) for m in matched([t if isinstance(t, str) else None for t in texts], sent.value)], dtype=bool)
 
     return holds
 
