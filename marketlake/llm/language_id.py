@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import free_name, ship
+from .shared import free_name, largest, ship
 
 #: Families of languages by their code; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -27,6 +27,8 @@ BITS = 15
 SLICE = 1 << 20
 #: Rows that training takes at most, in equal shares from the languages.
 MAX_TRAIN_ROWS = 3200
+#: Features of such a row, the largest: what the driver gathers is at most 8 bytes of these for each row.
+MAX_FEATURES = 4096
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _GRAM = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 UNKNOWN = "und"
@@ -176,7 +178,7 @@ def fit(rows: list[tuple[str, bytes, bytes]]) -> LanguageModel:
 def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> LanguageModel:
     """Learns from docs (doc_id, text, lang), a bounded sample of max_rows: equal shares for all languages, the rows
     with the smallest hash of their id. Executors turn the sampled texts into sparse vectors, so what the driver
-    gathers is bounded by max_rows, however long the texts are. Rows without language or letters teach nothing."""
+    gathers is bounded by max_rows and MAX_FEATURES, however long the texts are. Rows without language or letters teach nothing."""
     ship(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull())
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -194,7 +196,8 @@ def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Lan
                 if isinstance(text, str) and has_letter(text):
                     x = features(text)
                     idx = np.flatnonzero(x).astype(np.int32)
-                    rows.append((lang, rank, idx.tobytes(), x[idx].tobytes()))
+                    idx, val = largest(idx, x[idx], MAX_FEATURES)
+                    rows.append((lang, rank, idx.tobytes(), val.tobytes()))
             yield pd.DataFrame(rows, columns=["lang", "rank", "idx", "val"])
 
     sparse = drawn.mapInPandas(vectors, "lang string, rank bigint, idx binary, val binary")

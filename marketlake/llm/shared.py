@@ -13,7 +13,7 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bytes of text that are hashed in one go; a longer text is hashed in slices of this size.
+#: Bytes of text that are hashed in one go; a longer text is hashed in slices of this size, but no word is cut.
 BLOCK_BYTES = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _POSITIONS = 1024
@@ -43,9 +43,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local master (tests) gets
+    a temporary one; on a cluster it would be another folder on each machine, so that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="marketlake-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -76,13 +79,16 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def _slices(data: bytes) -> Iterator[bytes]:
-    """data in slices of at most BLOCK_BYTES, cut behind white space where there is any."""
+    """data in slices of about BLOCK_BYTES, cut behind white space: a longer word makes a longer slice."""
     at = 0
     while len(data) - at > BLOCK_BYTES:
         end = at + BLOCK_BYTES
-        cut = max(data.rfind(b" ", at + BLOCK_BYTES // 2, end), data.rfind(b"\n", at + BLOCK_BYTES // 2, end)) + 1 or end
-        yield data[at:cut]
-        at = cut
+        cut = max(data.rfind(b" ", at, end), data.rfind(b"\n", at, end))
+        if cut < 0:
+            ahead = [p for p in (data.find(b" ", end), data.find(b"\n", end)) if p >= 0]
+            cut = min(ahead, default=len(data) - 1)
+        yield data[at : cut + 1]
+        at = cut + 1
     yield data[at:]
 
 
@@ -168,3 +174,11 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def largest(idx: np.ndarray, val: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n features with the largest values (ties: the first), in their order."""
+    if len(idx) <= n:
+        return idx, val
+    keep = np.sort(np.argsort(-val, kind="stable")[:n])
+    return idx[keep], val[keep]

@@ -148,6 +148,68 @@ def test_quality_edge_cases(spark):
     assert Q.classify_quality(docs.limit(0), labels).count() == 0
 
 
+def test_quality_held_out_by_words_alone(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = Q.classify_quality(docs, labels, repeats=False).toPandas()
+    told = out[out.held_out].merge(labels.toPandas(), on="doc_id")
+    assert auc(told.quality.to_numpy(), told.score.to_numpy()) > 0.9
+
+
+def test_ftrl_against_a_plain_version():
+    """One coordinate at a time, in dictionaries, by the published update."""
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(2)), np.unique(rng.integers(0, 40, 8)).astype(np.int32), None) for _ in range(60)]
+    rows = [(y, i, rng.random(len(i)).astype(np.float32)) for y, i, _ in rows]
+    alpha, beta, l1, l2, z, n = 0.15, 1.0, 0.02, 0.5, {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - np.sign(zi) * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    order = np.random.default_rng(11)
+    for _ in range(3):
+        for j in order.permutation(len(rows)):
+            y, idx, val = rows[j]
+            x = dict(zip([*idx.tolist(), "bias"], [*val.tolist(), 1.0]))
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g, before = (p - y) * v, n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - before**0.5) / alpha * w[i]
+    model = Q.fit_ftrl(rows)
+    want = np.zeros(1 << Q.BITS)
+    for i in z:
+        if i != "bias":
+            want[i] = weight(i)
+    assert np.allclose(model.weights, want, atol=1e-6) and model.bias == pytest.approx(weight("bias"), abs=1e-9) and np.count_nonzero(want) > 10
+
+
+def test_scores_against_plain_products():
+    rng = np.random.default_rng(6)
+    model = Q.QualityModel(rng.normal(size=1 << Q.BITS).astype(np.float32), 0.3)
+    texts = ["one two one two three", "a", "", None, "x y z " * 500]
+    for text, score in zip(texts, model.scores(texts)):
+        ((_, (tokens,)),) = token_hashes([text], False)
+        dot = 0.0
+        if len(tokens):
+            counts = {}
+            for b in Q.buckets(tokens).tolist():
+                counts[b] = counts.get(b, 0) + 1
+            dot = sum(float(model.weights[b]) * c * Q.SCALE / sum(counts.values()) for b, c in counts.items())
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(dot + 0.3, -30, 30))), abs=1e-6)
+
+
+def test_many_rows_of_one_labelled_document(spark):
+    rows = [(1, f"good words {i}") for i in range(500)] + [(2, "bad bad ### bad"), (3, "good words again"), (5, "w " * 1_000_000 + "x y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (5, 0)], "doc_id bigint, quality int")
+    assert Q.classify_quality(docs, labels).count() == len(rows)
+    tokens = np.arange(50_000, dtype=np.uint64)
+    idx, val = Q.sparse(tokens)
+    assert len(idx) == len(val) == Q.MAX_FEATURES and (np.diff(idx) > 0).all()
+
+
 def test_ftrl_separates_and_is_sparse():
     rng = np.random.default_rng(0)
     rows = [(int(i % 2), np.array([i % 2, 2 + int(rng.integers(50))], np.int32), np.ones(2, np.float32)) for i in range(400)]
@@ -161,4 +223,5 @@ def test_scores_do_not_depend_on_neighbours():
     alone = [next(iter(token_hashes([t], False)))[1][0] for t in texts]
     together = [h for _, each in token_hashes(texts, False) for h in each]
     assert len(together) == len(texts) and all((a == b).all() for a, b in zip(alone, together))
+    assert len(alone[4]) == 1  # no word is cut
     assert len(alone[0]) == 3 and len(alone[3]) == 4 and len(alone[2]) == 0 and len(alone[5]) == 900_000
