@@ -20,10 +20,11 @@ WORDS, SIMILARITY = 5, 0.8
 #: Fingerprints of a text's words, and the differing bits at which two of them surely meet at an anchor.
 PRINTS, THRESHOLD = 16, 1
 #: Fingerprints of its shingles. Texts of SIMILARITY differ in 15 % of their bits; a pair is not compared where more than
-#: these differ, of the first 64 and of all 256: over four standard deviations above that.
-COMPARED, FIRST_BITS, ALL_BITS = 4, 22, 63
-_SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(PRINTS)], dtype=np.uint64)
-_FEATURES = 1 << 14
+#: these differ, of the first 64, of all 256, and of the 2048 that are made for members of pairs: three to five standard
+#: deviations above that. Sets of fewer than LARGE shingles have more even votes and are judged by the first 64 only.
+COMPARED, FIRST_BITS, ALL_BITS = 8, 22, 114
+FINE, FINE_BITS, LARGE = 32, 391, 64
+_SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(FINE)], dtype=np.uint64)
 HOME, SEVERAL = 1, 2
 
 
@@ -44,30 +45,31 @@ def _shingles(hashes: np.ndarray, words: int) -> np.ndarray:
 
 def fingerprints(features: np.ndarray, n: int = PRINTS) -> np.ndarray:
     """n independent SimHash fingerprints (uint64) of a set of hashes: a bit is set if over half of them have it."""
-    counts = np.zeros((n, 64), dtype=np.int64)
-    for at in range(0, len(features), _FEATURES):
+    counts = np.zeros(64 * n, dtype=np.int64)
+    for at in range(0, len(features), 255):  # so many votes fit a byte
         with np.errstate(over="ignore"):
-            each = mixed(features[None, at : at + _FEATURES] ^ _SEEDS[:n, None])
-        counts += np.unpackbits(each.view(np.uint8).reshape(n, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.uint16)
-    return np.packbits(counts * 2 > len(features), axis=1, bitorder="little").view(np.uint64)[:, 0]
+            each = mixed(features[at : at + 255, None] ^ _SEEDS[:n])
+        counts += np.add.reduce(np.unpackbits(each.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(features), bitorder="little").view(np.uint64)
 
 
 def _sketched(docs: DataFrame, words: int, to: str) -> DataFrame:
-    """docs with a struct column: node (a hash of the set of shingles), anchored (fingerprints of the set of words) and
-    compared (fingerprints of the set of shingles); texts without words have none."""
+    """docs with a struct column: node (a hash of the set of shingles), n (its size), anchored (fingerprints of the set
+    of words) and compared (fingerprints of the set of shingles); texts without words have none."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("node bigint, anchored array<bigint>, compared array<bigint>")
+    @F.pandas_udf("node bigint, n int, anchored array<bigint>, compared array<bigint>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in texts:
-            nodes, anchored, compared = [], [], []
+            nodes, sizes, anchored, compared = [], [], [], []
             for text in series:
                 hashes = _words(text if isinstance(text, str) else None)
                 own = _shingles(hashes, words)
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes(), 42))
+                sizes.append(len(own))
                 anchored.append(fingerprints(np.unique(hashes)).view(np.int64) if len(own) else [])
                 compared.append(fingerprints(own, COMPARED).view(np.int64) if len(own) else [])
-            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "anchored": anchored, "compared": compared})
+            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "n": sizes, "anchored": anchored, "compared": compared})
 
     return docs.withColumn(to, sketch("text"))
 
@@ -103,23 +105,41 @@ def _differ(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles have at least this similarity. texts has row and text, rows the row of
-    each node; texts are taken for the members of pairs only, and stay where they are while these are few."""
+def _sets(members: DataFrame, texts: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """node, s (the set of shingles), n (its size) and p (FINE fingerprints of it) of the members (node). texts has row
+    and text, rows the row of each node; texts stay where they are while members are few."""
 
-    @F.pandas_udf("array<bigint>")
-    def sets(each: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t if isinstance(t, str) else None, words).view(np.int64) for t in each], dtype=object)
+    @F.pandas_udf("s array<bigint>, p array<bigint>")
+    def sets(each: pd.Series) -> pd.DataFrame:
+        found = [shingles(t if isinstance(t, str) else None, words) for t in each]
+        return pd.DataFrame({"s": [s.view(np.int64) for s in found], "p": [fingerprints(s, FINE).view(np.int64) for s in found]})
 
-    members = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = written(members.join(rows, "node"), "wanted")
-    known = written(texts.join(wanted, "row").select("node", sets("text").alias("s")), "shingles")
-    of_v = pairs.join(known.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v")
-    both = of_v.join(known.select(F.col("node").alias("u"), F.col("s").alias("su")), "u")
+    known = texts.join(wanted, "row").select("node", sets("text").alias("x"))
+    return written(known.select("node", "x.s", F.size("x.s").alias("n"), "x.p"), "shingles")
+
+
+def _similar(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets of shingles, in known, have at least this similarity. Fingerprints go with all pairs,
+    sets with those that are likely."""
+    of = lambda name, *columns: known.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}{name}") for c in columns])
+    both = pairs.join(of("u", "n", "p"), "u").join(of("v", "n", "p"), "v")
+    near = written(both.where(_may_be(F.col("nu"), F.col("nv"), F.col("pu"), F.col("pv"), FINE, FINE_BITS, similarity)).select("u", "v"), "near")
+    both = near.join(of("u", "s"), "u").join(of("v", "s"), "v")
     shared = F.size(F.array_intersect("su", "sv"))
     return written(both.where(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v"), "similar")
 
 
+def _may_be(n: Column, m: Column, p: Column, q: Column, prints: int, most: int, similarity: float) -> Column:
+    """Whether sets of these sizes and fingerprints may be similar."""
+    bits = reduce(lambda a, b: a + b, (_differ(F.get(p, F.lit(k)), F.get(q, F.lit(k))) for k in range(prints)))
+    return (F.least(n, m) >= F.greatest(n, m) * similarity) & ((F.least(n, m) < LARGE) | (bits <= most))
+
+
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+
+
 def _rooted(nodes: DataFrame, linked: DataFrame | None) -> DataFrame:
     """nodes with the root of their component, themselves if nothing links them."""
     if linked is None:
@@ -133,7 +153,7 @@ def _pair(u: Column, v: Column) -> list[Column]:
 
 
 def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """node and root of each node that is linked to a smaller one; nodes has node, anchored and compared, one row a node.
+    """node and root of each node that is linked to a smaller one; nodes has node, n, anchored and compared, one row a node.
 
     Two nodes are linked if one of them is at the home anchor of the other and their exact similarity is high enough.
     Members of one component are never held against each other, so that a group of very many near copies costs little:
@@ -141,58 +161,58 @@ def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WOR
     against those of other components; and last all members where several meet other components.
     """
     nodes = _rooted(nodes, None)
-    prints = nodes.select("node", F.get("compared", F.lit(0)).alias("f"))
     homes = written(_dealt(nodes, home_only=True).select("cell", "node"), "homes")
     # a centre of its own for each cell, so that members of one group meet several
     order = F.struct(F.xxhash64("cell", "node").alias("o"), "node")
     centres = homes.groupBy("cell").agg(F.min(order).alias("c"), F.max(order).alias("m")).where("c != m").select("cell", F.col("c.node").alias("centre"))
     stars = homes.join(written(centres, "centres"), "cell").where(F.col("node") != F.col("centre"))
     tested = written(stars.select(*_pair(F.col("node"), F.col("centre"))).distinct(), "pairs")
-    linked = _similar(_likely(tested, nodes), texts, rows, words, similarity)
+    likely = _likely(tested, nodes, similarity)
+    linked = _similar(likely, _sets(_members(likely), texts, rows, words), similarity)
 
     nodes = written(_rooted(nodes, linked), "rooted")
     cell = Window.partitionBy("cell")
     dealt = _dealt(nodes, home_only=False)
     shared = dealt.withColumns({"a": F.min("node").over(cell), "b": F.max("node").over(cell), "h": F.max(F.col("kind").bitwiseAND(HOME)).over(cell)})
     shared = written(shared.where((F.col("a") != F.col("b")) & (F.col("h") == HOME)).select("cell", "node", "kind"), "shared")
-    known = shared.join(nodes.select("node", "root"), "node").join(prints, "node")
-    node, home = F.struct("node", "f"), F.col("kind").bitwiseAND(HOME) == HOME
+    node, home = F.struct("node", "size", "compared"), F.col("kind").bitwiseAND(HOME) == HOME
+    known = shared.join(nodes.select("node", "root", F.col("n").alias("size"), "compared"), "node")
     reps = known.groupBy("cell", "root").agg(F.min(node).alias("any"), F.min(F.when(home, node)).alias("own"), (F.count_distinct("node") + F.max(F.col("kind").bitwiseAND(SEVERAL))).alias("n"))
     reps = written(reps, "reps")
-    here = reps.where("own is not null").select("cell", F.col("root").alias("rx"), F.col("own.node").alias("x"), F.col("own.f").alias("fx"), F.col("n").alias("nx"))
-    there = reps.select("cell", F.col("root").alias("ry"), F.col("any.node").alias("y"), F.col("any.f").alias("fy"), F.col("n").alias("ny"))
-    several = F.col("nx") + F.col("ny") > 2
-    met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & ((_differ(F.col("fx"), F.col("fy")) <= FIRST_BITS) | several))
-    met = written(met.select("cell", *_pair(F.col("x"), F.col("y")), several.alias("more")), "met")
-    fresh = written(met.select("u", "v").distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
-    linked = linked.union(_similar(_likely(fresh, nodes), texts, rows, words, similarity))
-    crowded = written(met.where("more").select("cell").distinct(), "crowded")
+    crowded = written(reps.groupBy("cell").agg(F.count("*").alias("roots"), F.max("n").alias("most")).where("roots > 1 AND most > 1").select("cell"), "crowded")
+    here = reps.where("own is not null").select("cell", F.col("root").alias("rx"), F.col("own").alias("x"))
+    there = reps.select("cell", F.col("root").alias("ry"), F.col("any").alias("y"))
+    met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
+    met = met.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
+    fresh = written(met.join(tested, ["u", "v"], "left_anti"), "pairs")
+    linked = linked.union(_similar(fresh, _sets(_members(fresh), texts, rows, words), similarity))
     if crowded.isEmpty():
         return components(linked)
 
     tested = tested.union(fresh)
     nodes = written(_rooted(nodes, linked), "rooted")
-    members = written(_dealt(nodes.withColumn("root", F.col("node")), home_only=False).join(crowded, "cell"), "members")
-    known = members.join(nodes.select("node", "root", "compared"), "node")
-    open_cells = members.join(nodes.select("node", "root"), "node").groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
-    open_ = written(known.join(written(open_cells, "cells"), "cell").select("cell", "node", "root", home.alias("home"), *[F.get("compared", F.lit(k)).alias(f"p{k}") for k in range(COMPARED)]), "open")
-    other = open_.select("cell", *[F.col(c).alias(f"{c}_") for c in open_.columns if c not in ("cell", "home")])
-    bits = _bits([_differ(F.col(f"p{k}"), F.col(f"p{k}_")) for k in range(COMPARED)])
-    rest = open_.where("home").join(other, "cell").where((F.col("root") != F.col("root_")) & (bits <= ALL_BITS))
-    rest = rest.select(*_pair(F.col("node"), F.col("node_"))).distinct().join(tested, ["u", "v"], "left_anti")
-    return components(linked.union(_similar(written(rest, "pairs"), texts, rows, words, similarity)))
+    members = _dealt(nodes.withColumn("root", F.col("node")), home_only=False).join(crowded, "cell")
+    members = written(members.join(nodes.select("node", "root"), "node"), "members")
+    cells = members.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
+    x = members.join(written(cells, "cells"), "cell").join(nodes.select("node", F.col("n").alias("size"), "compared"), "node").select("cell", "root", node.alias("x"), home.alias("home"))
+    x = written(x, "open")
+    y = x.select("cell", F.col("root").alias("ry"), F.col("x").alias("y"))
+    rest = x.where("home").join(y, "cell").where((F.col("root") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
+    rest = written(rest.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+    return components(linked.union(_similar(rest, _sets(_members(rest), texts, rows, words), similarity)))
 
 
-def _bits(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, parts)
+def _near(x: Column, y: Column, similarity: float) -> Column:
+    """Whether nodes (node, size, compared) may be similar."""
+    first = _differ(F.get(x["compared"], F.lit(0)), F.get(y["compared"], F.lit(0))) <= FIRST_BITS
+    return first & _may_be(x["size"], y["size"], x["compared"], y["compared"], COMPARED, ALL_BITS, similarity)
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose fingerprints of the shingles do not rule out that they are similar."""
-    of = lambda name, to: nodes.select(F.col("node").alias(name), F.col("compared").alias(to))
-    both = pairs.join(of("u", "_cu"), "u").join(of("v", "_cv"), "v")
-    bits = _bits([_differ(F.get("_cu", F.lit(k)), F.get("_cv", F.lit(k))) for k in range(COMPARED)])
-    return written(both.where(bits <= ALL_BITS).select("u", "v"), "likely")
+def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sizes and fingerprints do not rule out that they are similar."""
+    of = lambda name: nodes.select(F.col("node").alias(name), F.struct("node", F.col("n").alias("size"), "compared").alias(f"of_{name}"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v")
+    return written(both.where(_near(F.col("of_u"), F.col("of_v"), similarity)).select("u", "v"), "likely")
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -208,9 +228,9 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SI
     whole = written(_sketched(docs, words, sketch).withColumn(row, F.monotonically_increasing_id()), "sketched")
     k = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     slim = whole.select(F.col(f"{sketch}.*"), k.alias("k"))
-    nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), F.first("anchored").alias("anchored"), F.first("compared").alias("compared")), "nodes")
+    nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("anchored").alias("anchored"), F.first("compared").alias("compared")), "nodes")
     texts, rows = whole.select(F.col(row).alias("row"), "text"), nodes.select("node", F.col("k.row").alias("row"))
-    roots = written(groups(nodes.select("node", "anchored", "compared"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
+    roots = written(groups(nodes.select("node", "n", "anchored", "compared"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
     best = nodes.join(roots, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     kept = best.select(F.col("k.row").alias(row))
     drop = written(whole.select(row).join(kept, row, "left_anti"), "dropped")
