@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import ship, written
+from .shared import free_name, ship, written
 
 WORDS = 3
 SEED = 42
@@ -165,13 +165,15 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """docs with one row of each component of near_duplicates(): that of the smallest doc_id (of rows that repeat this
-    id, that of the smallest fingerprint, then the first written). All columns are kept.
+    id, that of the smallest fingerprint, then the first written). All columns are kept, whatever their names.
 
-    Rows are numbered as they are written with their fingerprints; the numbers to keep are joined back, so texts are
-    shuffled once.
+    Rows are numbered as they are written with their fingerprints; those to drop are known by number, and texts stay
+    where they are while these are few.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = written(fingerprinted(docs).withColumn("__row", F.monotonically_increasing_id()), "fingerprinted")
-    slim = whole.select(F.col("__fingerprint").alias("f"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__fingerprint").alias("f"), F.col("__row").alias("row")).alias("k"))
+    to, row = free_name(docs, "fingerprint"), free_name(docs, "row")
+    whole = written(fingerprinted(docs, to=to).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
+    slim = whole.select(F.col(to).alias("f"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(to).alias("f"), F.col(row).alias("row")).alias("k"))
     best = _with_root(slim.groupBy("f").agg(F.min("k").alias("k")), threshold).groupBy("root").agg(F.min("k").alias("k"))
-    return whole.join(best.select(F.col("k.row").alias("__row")), "__row", "left_semi").select(*columns)
+    dropped = written(whole.select(row).join(best.select(F.col("k.row").alias(row)), row, "left_anti"), "dropped")
+    return whole.join(dropped, row, "left_anti").select(*columns)

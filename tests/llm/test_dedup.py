@@ -117,7 +117,9 @@ def test_components_of_paths_and_stars(spark):
 def test_one_of_each_group_stays(spark):
     base = " ".join(f"w{i}" for i in range(60))
     rows = [(3, base, "en", "s", 1), (1, base, "en", "s", 1), (1, base, "en", "s", 1), (7, "quite another text that stands alone", "en", "s", 2), (None, None, None, None, None), (None, "", None, None, None), (9, None, "en", "s", 0)]
-    out = S.drop_near_duplicates(spark.createDataFrame(rows, DOCS).withColumn("root", F.lit("mine")))
+    names = ["root", "row", "fingerprint", "__row", "__fingerprint"]
+    out = S.drop_near_duplicates(spark.createDataFrame(rows, DOCS).withColumns({n: F.lit("mine") for n in names}))
+    assert all(r[n] == "mine" for r in out.collect() for n in names)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.root) for r in out.collect()) == [(False, 1, "mine"), (False, 7, "mine"), (False, 9, "mine")]
     nulls = S.drop_near_duplicates(spark.createDataFrame([(None, "a b c d", None, None, None)] * 3, DOCS))
     assert nulls.count() == 1
