@@ -586,7 +586,7 @@ def stream_upsert(spark, sf_dir):
     root = scratch(spark, "stream")
     for part in (0, 1):
         _candle_pages(spark, sf_dir).where(F.col("ingest_ts") % 2 == part).write.mode("append").json(f"{root}/landing/candles")
-        feeds.start_feed(spark, "daily", f"{root}/landing", f"{root}/lake", once=True).awaitTermination()
+        feeds.start_feed(spark, "daily", f"{root}/landing", f"{root}/lake", meta=_one_series(spark, sf_dir), once=True).awaitTermination()
     stored = upsert.read_table(spark, f"{root}/lake", upsert.tables()["daily"])
     return stored.select("market_ticker", "ts_ms", F.col("open_interest").cast("long").alias("last_event"), "volume")
 
@@ -602,10 +602,16 @@ def quarantined_once(spark, sf_dir):
     _candle_pages(spark, sf_dir).write.json(f"{root}/landing/candles")
     _trade_pages(spark, sf_dir).write.json(f"{root}/landing/trades")
     for _ in range(2):
-        feeds.backfill(spark, f"{root}/landing", f"{root}/lake")
+        feeds.backfill(spark, f"{root}/landing", f"{root}/lake", _one_series(spark, sf_dir))
     return spark.read.parquet(f"{root}/lake/quarantine").where("dataset = 'daily'").groupBy("market_ticker", "reason").agg(F.count("*").alias("n"))
 
 
+def _one_series(spark, sf_dir) -> DataFrame:
+    """A catalog in which all users are tickers of one series; by name each would be a series, and a partition, of its own."""
+    tickers = user_events(spark, sf_dir).select("market_ticker").distinct()
+    return tickers.withColumns({"series_ticker": F.lit("ALL"), "event_ticker": F.col("market_ticker")})
+
+
 def _candle_pages(spark, sf_dir) -> DataFrame:
     """Each event as a raw page of one daily candle; every tenth has a volume that is no number."""
     events = user_events(spark, sf_dir)
