@@ -11,10 +11,14 @@ from .html_extract import extract_pages
 from .language_id import identify_languages
 from .line_dedup import drop_boilerplate_lines
 from .packing import pack
+from .prefix_trie import prefix_trie
 from .quality import classify_quality
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
+from .sql import CODES_SQL, REPEATS_SQL, TRIE_SQL
+from .suffix_dedup import drop_repeats
 from .topk import exact_top_k
+from .vector_codes import compress
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,12 +67,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(_table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(_table(spark, sf_dir, "documents")).drop("kept", "spans")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_chat_format, op2_secret_scan, op3_language_id, op4_quality, op5_decontaminate, op6_exact_topk, op7_line_dedup, op8_simhash, op9_html_extract, op10_packing)
-}
+    for f in (
+        op1_chat_format, op2_secret_scan, op3_language_id, op4_quality, op5_decontaminate, op6_exact_topk, op7_line_dedup, op8_simhash, op9_html_extract, op10_packing,
+        op11_prefix_trie, op12_vector_codes, op13_suffix_dedup,
+    )
+}
 
 ORACLE_SQL = {
+    "op11_prefix_trie": TRIE_SQL,
+    "op12_vector_codes": CODES_SQL,
+    "op13_suffix_dedup": REPEATS_SQL,
     "op1_chat_format": """
         WITH t AS (
             SELECT DISTINCT conv_id, turn, role AS speaker, replace(coalesce(text, ''), '<|', '< |') AS content FROM conversations
