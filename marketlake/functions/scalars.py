@@ -16,6 +16,11 @@ def number(c: Column | str) -> Column:
     return F.when(~F.isnan(d), d)
 
 
+def whole(c: Column | str) -> Column:
+    """A text as bigint; NULL for what is no whole number."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("bigint")
+
+
 def number_or_zero(c: Column | str) -> Column:
     return F.coalesce(number(c), F.lit(0.0))
 

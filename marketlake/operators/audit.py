@@ -36,6 +36,21 @@ def audit_tickers(daily: DataFrame, as_of_ms: int) -> DataFrame:
     return counted.withColumns(density(F.col("total_volume"), F.col("recent_volume_30d")))
 
 
+def audit_summary(summary: DataFrame, as_of_ms: int) -> DataFrame:
+    """audit_tickers() from what is stored beside the daily table (upsert.read_summary()), so that an audit reads a row for
+    each ticker and month. Only of the months in which the last 30 days begin are single days read."""
+    cutoff = as_of_ms - RECENT_MS
+    names = ("market_ticker", "series_ticker", "n_rows", "first_ts_ms", "last_ts_ms", "volume")
+    months = summary.select(*names, F.when(F.col("first_ts_ms") >= cutoff, F.col("volume")).otherwise(0.0).alias("recent"))
+    begun = summary.where((F.col("first_ts_ms") < cutoff) & (F.col("last_ts_ms") >= cutoff))
+    days = F.aggregate(F.filter("days", lambda d: d["ts_ms"] >= cutoff), F.lit(0.0), lambda a, d: a + d["volume"])
+    parts = begun.select("market_ticker", "series_ticker", *[F.lit(None).cast(t).alias(c) for c, t in zip(names[2:], ("long", "long", "long", "double"))], days.alias("recent"))
+    counted = months.union(parts).groupBy(F.col("market_ticker").alias("ticker"), F.col("series_ticker").alias("series")).agg(
+        F.sum("n_rows").alias("daily_rows"), F.min("first_ts_ms").alias("first_ts_ms"), F.max("last_ts_ms").alias("last_ts_ms"), F.sum("volume").alias("total_volume"), F.sum("recent").alias("recent_volume_30d")
+    )
+    return counted.withColumns(density(F.col("total_volume"), F.col("recent_volume_30d")))
+
+
 def audit_series(tickers: DataFrame) -> DataFrame:
     """Rows of audit_tickers() by series, and a last one over all (series NULL), which has no counts of dense ones."""
     dense = lambda c: F.when(F.grouping("series") == 0, F.count_if(F.col(c) == "dense"))

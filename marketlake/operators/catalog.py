@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.fixed import SERIES
 from marketlake.functions.scalars import first_text, joined, series_of_event, series_of_market, spellings
+from marketlake.sources.landing import file_system, move
 
 #: Listings of events and markets in the order in which they are asked.
 EVENT_LISTINGS = ("events", "historical", "live")
@@ -93,6 +95,15 @@ def market_of_event(events: DataFrame, *tiers: DataFrame, known_markets: DataFra
     return events.select("event_ticker").distinct().join(best, "event_ticker", "left").select("event_ticker", F.col("m.market_ticker").alias("market_ticker"))
 
 
+def event_columns(payloads: DataFrame) -> DataFrame:
+    """event_ticker, series_ticker and markets (tickers in their order) of event payloads as they land, for
+    resolved_events(); payloads without event ticker are skipped, a missing list of markets is an empty one."""
+    tickers = F.filter(F.transform("markets", lambda m: m["ticker"]), lambda t: t.isNotNull())
+    named = payloads.where(F.coalesce("event.event_ticker", F.lit("")) != "")
+    own = [c for c in ("ingest_ts",) if c in payloads.columns]
+    return named.select(*own, "event.event_ticker", F.col("event.series_ticker").alias("series_ticker"), F.coalesce(tickers, F.array().cast("array<string>")).alias("markets"))
+
+
 def resolved_events(events: DataFrame, payloads: DataFrame, rest: DataFrame) -> DataFrame:
     """event_ticker, series and market tickers of each event: from its payload, else from the other source, else the
     series by its name and no markets. payloads and rest have event_ticker, series_ticker and markets (array); of
@@ -232,3 +243,34 @@ def write_combined(catalogs: DataFrame, folder: str) -> None:
     )
     combined.coalesce(1).write.mode("overwrite").json(f"{folder}/json")
     catalog(catalogs, "tickers").select(F.col("market_ticker").alias("value")).coalesce(1).sortWithinPartitions("value").write.mode("overwrite").text(f"{folder}/txt")
+
+
+def _named(spark: SparkSession, made: str, folder: str, kind: str, name: Callable[[str], str]) -> None:
+    """Puts the one file of each of Spark's folders of=<series> in place as a file of its own."""
+    fs, top = file_system(spark, made)
+    for part in fs.listStatus(top):
+        of = part.getPath().getName()
+        if of.startswith("of="):
+            series = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(of[3:])
+            (file,) = [f.getPath().toString() for f in fs.listStatus(part.getPath()) if f.getPath().getName().startswith("part-")]
+            move(spark, file, f"{folder}/{name(series)}.{kind}")
+    fs.delete(top, True)
+
+
+def write_files(catalogs: DataFrame, folder: str) -> None:
+    """The catalog as files that sources read back by name: <series>_tickers.json and .txt for each series (without
+    tickers no .txt), and all_tickers.json and .txt of all together. A file is replaced as a whole."""
+    spark, made = catalogs.sparkSession, f"{folder}/_parts-{uuid.uuid4().hex}"
+    each = catalogs.withColumn("of", F.col("series"))
+    each.select("of", "series", "events", "markets", "tickers").repartition("of").write.partitionBy("of").json(f"{made}/json")
+    lines = each.select("of", F.explode("tickers").alias("value")).repartition("of").sortWithinPartitions("of", "value")
+    lines.write.partitionBy("of").text(f"{made}/txt")
+    write_combined(catalogs, f"{made}/all")
+    for kind in ("json", "txt"):
+        _named(spark, f"{made}/{kind}", folder, kind, lambda series: f"{series}_tickers")
+        fs, top = file_system(spark, f"{made}/all/{kind}")
+        for f in fs.listStatus(top):
+            if f.getPath().getName().startswith("part-"):
+                move(spark, f.getPath().toString(), f"{folder}/all_tickers.{kind}")
+    fs, top = file_system(spark, made)
+    fs.delete(top, True)

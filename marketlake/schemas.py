@@ -12,20 +12,24 @@ _NEW = "open_dollars:string,high_dollars:string,low_dollars:string,close_dollars
 
 _DDL: dict[str, str] = {}
 
-#: One candle page; holds both wire shapes, whose fields do not collide. Dataset and ticker come with the page.
+#: Text of a page that cannot be read as its schema says; Spark's name for it.
+BROKEN = "_corrupt_record"
+
+#: One candle page; holds both wire shapes, whose fields do not collide. Dataset and ticker come with the page. Numbers of
+#: pages and candles are read as texts, so that a wrong one is seen and not NULL.
 _DDL["CANDLE_PAGE"] = (
-    "market_ticker string, tape string, period_minutes int, start_ts bigint, ingest_ts bigint, adjustedEndTs bigint, candlesticks array<struct<"
-    f"end_period_ts:bigint,volume:string,open_interest:string,volume_fp:string,open_interest_fp:string,price:struct<{_OLD},mean:string,{_NEW}>,yes_bid:struct<{_OLD}>>>"
+    "market_ticker string, tape string, period_minutes string, start_ts string, ingest_ts string, adjustedEndTs string, candlesticks array<struct<"
+    f"end_period_ts:string,volume:string,open_interest:string,volume_fp:string,open_interest_fp:string,price:struct<{_OLD},mean:string,{_NEW}>,yes_bid:struct<{_OLD}>>>, {BROKEN} string"
 )
 _TRADE = "trade_id:string,ticker:string,created_time:string,yes_price_dollars:string,no_price_dollars:string,count_fp:string,taker_side:string,is_block_trade:boolean"
-_DDL["TRADE_PAGE"] = f"tape string, ingest_ts bigint, page bigint, cursor string, trades array<struct<{_TRADE}>>"
-_DDL["BOOK_PAGE"] = "market_ticker string, ts_ms bigint, orderbook_fp struct<yes_dollars:array<array<string>>,no_dollars:array<array<string>>>"
+_DDL["TRADE_PAGE"] = f"tape string, ingest_ts string, page string, cursor string, trades array<struct<{_TRADE}>>, {BROKEN} string"
+_DDL["BOOK_PAGE"] = f"market_ticker string, ts_ms string, ingest_ts string, page string, orderbook_fp struct<yes_dollars:array<array<string>>,no_dollars:array<array<string>>>, {BROKEN} string"
 _MARKET = "ticker:string,event_ticker:string,title:string,status:string,open_time:string,expiration_time:string,latest_expiration_time:string"
-_DDL["MARKET_PAGE"] = f"listing string, cursor string, markets array<struct<{_MARKET}>>"
-_DDL["EVENT_PAGE"] = "listing string, variant string, cursor string, events array<struct<event_ticker:string,title:string,series_ticker:string>>"
-_DDL["EVENT_PAYLOAD"] = f"event struct<event_ticker:string,title:string,series_ticker:string>, markets array<struct<{_MARKET}>>"
-_DDL["MARKET_PAYLOAD"] = f"tape string, ingest_ts bigint, market struct<{_MARKET}>"
-_DDL["SERIES_PAGE"] = "series array<struct<ticker:string,title:string,category:string,frequency:string,tags:array<string>>>"
+_DDL["MARKET_PAGE"] = f"listing string, cursor string, markets array<struct<{_MARKET}>>, {BROKEN} string"
+_DDL["EVENT_PAGE"] = f"listing string, variant string, cursor string, events array<struct<event_ticker:string,title:string,series_ticker:string>>, {BROKEN} string"
+_DDL["EVENT_PAYLOAD"] = f"event struct<event_ticker:string,title:string,series_ticker:string>, markets array<struct<{_MARKET}>>, {BROKEN} string"
+_DDL["MARKET_PAYLOAD"] = f"tape string, ingest_ts bigint, market struct<{_MARKET}>, {BROKEN} string"
+_DDL["SERIES_PAGE"] = f"series array<struct<ticker:string,title:string,category:string,frequency:string,tags:array<string>>>, {BROKEN} string"
 _DDL["CATALOG"] = (
     "series string, events array<struct<event_ticker:string,title:string>>, "
     "markets array<struct<event_ticker:string,market_ticker:string,title:string,status:string,source:string>>, tickers array<string>"
@@ -39,6 +43,10 @@ _DDL["CANDLES"] = (
 _DDL["TRADES"] = "trade_id string, market_ticker string, ts_ms bigint, yes_price double, no_price double, count double, taker_side string"
 _DDL["ORDERBOOK"] = "ts_ms bigint, market_ticker string, side string, price double, quantity double, cumulative_qty double, distance_from_top bigint"
 _DDL["QUARANTINE"] = "dataset string, market_ticker string, reason string, payload string"
+#: Stored beside each table, for each partition, ticker and month of it.
+_DDL["SUMMARY"] = (
+    "market_ticker string, at_month string, n_rows bigint, first_ts_ms bigint, last_ts_ms bigint, volume double, last_trade_id string, days array<struct<ts_ms:bigint,volume:double>>"
+)
 
 #: Keys under which the last row wins.
 CANDLE_KEY = ("ts_ms", "market_ticker")

@@ -2,39 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marketlake import schemas
-from marketlake.fixed import SERIES
-from marketlake.functions.scalars import stripped
+from marketlake.fixed import SERIES, WINDOW_DAYS
+from marketlake.functions.scalars import stripped, whole
 
 
 def _json(spark: SparkSession, path: str, schema: StructType, whole: bool = False, **options: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", whole).options(**options).json(path)
 
 
+def faults(*checks: Column, numbers: Iterable[str] = ()) -> Column:
+    """Why a page cannot be taken, NULL if it can: its text is no such page, one of the checks says so, or one of the
+    numbers in its head is none."""
+    broken = F.when(F.col(schemas.BROKEN).isNotNull(), F.lit("broken page"))
+    wrong = [F.when(F.col(n).isNotNull() & whole(n).isNull(), F.concat(F.lit(f"cannot parse {n} "), F.col(n))) for n in numbers]
+    return F.coalesce(broken, *checks, *wrong)
+
+
+def whole_pages(pages: DataFrame, *checks: Column, numbers: Iterable[str]) -> DataFrame:
+    """pages with these numbers of their heads as bigint, and _fault."""
+    seen = pages.withColumn("_fault", faults(*checks, numbers=numbers))
+    return seen.withColumns({n: whole(n) for n in numbers})
+
+
+def checked_candle_pages(pages: DataFrame) -> DataFrame:
+    """Raw candle pages with numbers and _fault: also a period that is none of a candle table."""
+    period = F.when(F.col("period_minutes").isNull(), F.lit("no period_minutes")).when(~F.coalesce(whole("period_minutes").isin(*WINDOW_DAYS), F.lit(False)), F.concat(F.lit("no such period "), F.col("period_minutes")))
+    return whole_pages(pages, period, numbers=("period_minutes", "start_ts", "ingest_ts", "adjustedEndTs"))
+
+
+def checked_trade_pages(pages: DataFrame) -> DataFrame:
+    return whole_pages(pages, numbers=("ingest_ts", "page"))
+
+
+def checked_book_pages(pages: DataFrame) -> DataFrame:
+    """Raw book pages with numbers and _fault. A snapshot is whole or it is not taken: depth that leaves a level out is
+    wrong, so one price or quantity that cannot be read makes the page faulty."""
+    levels = F.concat(*[F.coalesce(F.col(f"orderbook_fp.{side}_dollars"), F.array().cast("array<array<string>>")) for side in ("yes", "no")])
+    bad = lambda at, name: F.filter(F.transform(levels, lambda v: F.when(F.get(v, F.lit(at)).try_cast("double").isNull(), F.concat(F.lit(f"cannot parse {name} "), F.coalesce(F.get(v, F.lit(at)), F.lit("null"))))), lambda x: x.isNotNull())
+    head = F.when(F.col("market_ticker").isNull(), F.lit("no market_ticker")).when(F.col("ts_ms").isNull(), F.lit("no ts_ms"))
+    return whole_pages(pages, head, F.get(bad(0, "price"), F.lit(0)), F.get(bad(1, "quantity"), F.lit(0)), numbers=("ts_ms", "ingest_ts", "page"))
+
+
+def _good(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col("_fault").isNull()).drop("_fault")
+
+
 def candle_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per candle of landed pages of both tapes: page columns, pos and c (the candle)."""
-    pages = _json(spark, path, schemas.CANDLE_PAGE)
+    """One row per candle of landed pages of both tapes: page columns, pos and c (the candle). Pages that cannot be taken
+    are left out here; feeds send them to the quarantine."""
+    pages = _good(checked_candle_pages(_json(spark, path, schemas.CANDLE_PAGE)))
     return pages.select("market_ticker", "tape", "period_minutes", "start_ts", "ingest_ts", F.posexplode("candlesticks").alias("pos", "c"))
 
 
 def candle_page_sizes(spark: SparkSession, path: str) -> DataFrame:
     """One row per page, without its candles: how many there are and where the exchange ended it."""
     pages = _json(spark, path, schemas.CANDLE_PAGE)
-    return pages.select("market_ticker", "period_minutes", "start_ts", F.col("adjustedEndTs").alias("adjusted_end_ts"), F.size("candlesticks").alias("n_candles"))
+    return pages.select(
+        "market_ticker", whole("period_minutes").cast("int").alias("period_minutes"), whole("start_ts").alias("start_ts"), whole("adjustedEndTs").alias("adjusted_end_ts"), F.size("candlesticks").alias("n_candles")
+    )
 
 
 def trade_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per trade: tape, ingest_ts, page, pos and t (the trade)."""
-    pages = _json(spark, path, schemas.TRADE_PAGE)
+    pages = _good(checked_trade_pages(_json(spark, path, schemas.TRADE_PAGE)))
     return pages.select("tape", "ingest_ts", "page", F.posexplode("trades").alias("pos", "t"))
 
 
 def book_pages(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, schemas.BOOK_PAGE)
+    return _good(checked_book_pages(_json(spark, path, schemas.BOOK_PAGE)))
 
 
 def market_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -93,9 +135,31 @@ def tickers(spark: SparkSession, source: str | list[str], catalog_folder: str |
     return ordered.limit(limit) if limit else ordered
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Hadoop's objects."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a file or folder in place of another. Nothing happens if it has been moved already."""
+    fs, a = file_system(spark, source)
+    if fs.exists(a):
+        b = spark._jvm.org.apache.hadoop.fs.Path(target)
+        fs.delete(b, True)
+        fs.mkdirs(b.getParent())
+        if not fs.rename(a, b):
+            raise OSError(f"cannot move {source} to {target}")
 
 
 def stored(spark: SparkSession, path: str, schema: StructType, layout: str = "hive") -> DataFrame:
