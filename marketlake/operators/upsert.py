@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from marketlake import schemas
 from marketlake.functions.scalars import day_of, month_of, year_month, year_of
-from marketlake.sources.landing import delete, exists, file_system, move, stored
+from marketlake.sources.landing import delete, exists, file_system, move, partition_folder, read_text, stored, write_text
 
 
 def keep_last(rows: DataFrame, key: Sequence[str], order: str = "_seq") -> DataFrame:
@@ -127,12 +128,6 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in fs.listStatus(p)]
 
 
-def _folder(spark: SparkSession, names: Sequence[str], values: Sequence[object]) -> str:
-    """A partition's folder below its table, as Spark names it."""
-    of = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    return "/".join(of(n, None if v is None else str(v)) for n, v in zip(names, values, strict=True))
-
-
 def _partitions(spark: SparkSession, root: str, table: Table, folders: Iterable[str]) -> DataFrame:
     """The stored rows of some partitions. Only their folders are listed and read, however many the table has."""
     top = f"{root}/{table.name}"
@@ -148,8 +143,8 @@ def _publish(spark: SparkSession, run: str, root: str, table: Table) -> None:
     if not exists(spark, f"{run}/touched"):
         _publish_rows(spark, run, root, table)
         return
-    for line in spark.read.text(f"{run}/touched").collect():  # as many as partitions
-        kept, folder = line[0][0] == "+", line[0][1:]
+    for line in read_text(spark, f"{run}/touched").splitlines():  # as many as partitions
+        kept, folder = line[0] == "+", line[1:]
         for part, top in (("data", f"{root}/{table.name}"), ("summary", f"{root}/_summary/{table.name}")):
             if kept:
                 move(spark, f"{run}/{part}/{folder}", f"{top}/{folder}")
@@ -169,11 +164,18 @@ def _publish_rows(spark: SparkSession, staged: str, root: str, table: Table) ->
     delete(spark, staged)
 
 
-def _laid_out(rows: DataFrame, table: Table) -> DataFrame:
+def _tasks(spark: SparkSession, folders: int) -> list[int]:
+    """How many tasks write so many folders: as Spark likes while they are few; else a number of its own, as Spark would
+    make one task of many small folders."""
+    return [min(folders, int(spark.conf.get("spark.sql.shuffle.partitions")))] if folders > 8 else []
+
+
+def _laid_out(rows: DataFrame, table: Table, folders: int = 1) -> DataFrame:
     """rows dealt out by ranges of partition, ticker and time, so a partition with very many rows is several tasks' work
     and files."""
     order = [*table.partition_names, *[c for c in table.order if c in rows.columns]]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    tasks = [int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) for _ in _tasks(rows.sparkSession, folders)]
+    return rows.repartitionByRange(*tasks, *order).sortWithinPartitions(*order)
 
 
 def recover(spark: SparkSession, root: str, table: Table, writer: str | None = None) -> int:
@@ -260,14 +262,9 @@ def summarise(spark: SparkSession, root: str, table: Table) -> None:
     move(spark, made, f"{root}/_summary/{table.name}")
 
 
-def _write_summary(rows: DataFrame, table: Table, path: str) -> None:
+def _write_summary(rows: DataFrame, table: Table, path: str, folders: int = 1) -> None:
     names = table.partition_names
-    summarised(rows, table).repartition(*names).sortWithinPartitions(*names, "market_ticker").write.option("compression", "zstd").partitionBy(*names).parquet(path)
-
-
-def _mark(spark: SparkSession, path: str) -> None:
-    fs, p = file_system(spark, path)
-    fs.create(p).close()
+    summarised(rows, table).repartition(*_tasks(rows.sparkSession, folders), *names).sortWithinPartitions(*names, "market_ticker").write.option("compression", "zstd").partitionBy(*names).parquet(path)
 
 
 def _forget(spark: SparkSession, run: str) -> None:
@@ -307,7 +304,7 @@ def upsert(new: DataFrame, root: str, table: Table, order: str | None = None, wr
     if table.moves:
         known = _places(dated, root, table)
         touched = touched.union(known.select(*[f"at_{n}" for n in names])).distinct()
-    folders = sorted(_folder(spark, names, r) for r in touched.collect())  # as many as partitions
+    folders = sorted(partition_folder(spark, names, r) for r in touched.collect())  # as many as partitions
     if not folders:
         _forget(spark, run)
         return 0
@@ -320,13 +317,14 @@ def upsert(new: DataFrame, root: str, table: Table, order: str | None = None, wr
         best = best.join(replaced, list(table.unit), "left").where((F.col("_best._merge.side") == 1) | F.col("_replaced").isNull())
     rows = best.select("_first", *[F.col(c) if c in table.key else F.col(f"_best.{c}").alias(c) for c in table.stored_schema.names])
     counts = Observation()  # above the shuffle, whose sample would be counted too
-    laid = _laid_out(rows, table).observe(counts, F.count_if(F.col("_first") == 1).alias("net_new")).drop("_first")
+    laid = _laid_out(rows, table, len(folders)).observe(counts, F.count_if(F.col("_first") == 1).alias("net_new")).drop("_first")
     laid.write.option("compression", "zstd").partitionBy(*names).parquet(f"{run}/data")
-    _write_summary(spark.read.schema(table.stored_schema).parquet(f"{run}/data"), table, f"{run}/summary")
+    _write_summary(spark.read.schema(table.stored_schema).parquet(f"{run}/data"), table, f"{run}/summary", len(folders))
     if table.moves:
         _moved(dated, known, table, order).write.option("compression", "zstd").partitionBy("bucket").parquet(f"{run}/places")
-    lines = [(f"{'+' if exists(spark, f'{run}/data/{f}') else '-'}{f}",) for f in folders]
-    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{run}/touched")
-    _mark(spark, f"{run}/_SUCCESS")
+    files = spark.read.schema(table.stored_schema).parquet(f"{run}/data").inputFiles()
+    made = {unquote(f).rpartition("/")[0].rpartition("/data/")[2] for f in files}
+    write_text(spark, f"{run}/touched", "".join(f"{'+' if f in made else '-'}{f}\n" for f in folders))
+    write_text(spark, f"{run}/_SUCCESS", "")
     _publish(spark, run, root, table)
     return counts.get["net_new"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,12 +136,41 @@ def tickers(spark: SparkSession, source: str | list[str], catalog_folder: str |
     return ordered.limit(limit) if limit else ordered
 
 
+@lru_cache(maxsize=4)
+def _classes(jvm):
+    """Hadoop's path and Spark's names of partitions: looking a class up takes longer than using it."""
+    return jvm.org.apache.hadoop.fs.Path, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+
 def file_system(spark: SparkSession, path: str):
     """The file system of a path, and the path, as Hadoop's objects."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p = _classes(spark._jvm)[0](path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def partition_folder(spark: SparkSession, names: Sequence[str], values: Sequence[object]) -> str:
+    """A partition's folder below its table, as Spark names it."""
+    of = _classes(spark._jvm)[1].getPartitionPathString
+    return "/".join(of(n, None if v is None else str(v)) for n, v in zip(names, values, strict=True))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, as a whole."""
+    fs, p = file_system(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.exists(p)
@@ -155,7 +185,7 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     """Puts a file or folder in place of another. Nothing happens if it has been moved already."""
     fs, a = file_system(spark, source)
     if fs.exists(a):
-        b = spark._jvm.org.apache.hadoop.fs.Path(target)
+        b = _classes(spark._jvm)[0](target)
         fs.delete(b, True)
         fs.mkdirs(b.getParent())
         if not fs.rename(a, b):
