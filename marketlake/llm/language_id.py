@@ -27,6 +27,8 @@ BITS = 15
 SLICE = 1 << 20
 #: Rows that training takes at most, in equal shares from the languages.
 MAX_TRAIN_ROWS = 3200
+#: Languages that are told apart, the most frequent ones: `lang` may hold noise, and each pair in a family is a model.
+MAX_LANGUAGES = 64
 #: Features of such a row, the largest: what the driver gathers is at most 8 bytes of these for each row.
 MAX_FEATURES = 4096
 _ASCII_LETTER = re.compile("[A-Za-z]")
@@ -175,19 +177,20 @@ def fit(rows: list[tuple[str, bytes, bytes]]) -> LanguageModel:
     return model
 
 
-def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> LanguageModel:
-    """Learns from docs (doc_id, text, lang), a bounded sample of max_rows: equal shares for all languages, the rows
-    with the smallest hash of their id. Executors turn the sampled texts into sparse vectors, so what the driver
-    gathers is bounded by max_rows and MAX_FEATURES, however long the texts are. Rows without language or letters teach nothing."""
+def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+    """Learns from docs (doc_id, text, lang), a bounded sample of max_rows: equal shares for the max_languages most frequent
+    languages, of each the different texts with the smallest hash. A text that many rows repeat, under one id or several,
+    is one example. Executors turn the sampled texts into sparse vectors, so what the driver gathers is bounded by
+    max_rows and MAX_FEATURES, however long the texts are. Rows without language or letters teach nothing."""
     ship(docs.sparkSession)
-    known = docs.where(F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("rank", F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 40)))
+    each = known.select("lang", "rank").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in each.orderBy(F.desc("n"), "lang").limit(max(1, min(max_languages, max_rows))).collect()}
     if not sizes:
         return LanguageModel()
-    share = max(1, max_rows // len(sizes))
-    rank = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 40))
+    share = max_rows // len(sizes)
     limit = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(1 << 40, int((1 << 40) * (1.3 * share + 40) / n)))])
-    drawn = known.where(rank < limit[F.col("lang")]).select("lang", "text", rank.alias("rank"))
+    drawn = known.where(F.col("rank") < limit[F.col("lang")]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -201,7 +204,7 @@ def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Lan
             yield pd.DataFrame(rows, columns=["lang", "rank", "idx", "val"])
 
     sparse = drawn.mapInPandas(vectors, "lang string, rank bigint, idx binary, val binary")
-    first = Window.partitionBy("lang").orderBy("rank", "idx", "val")  # over the drawn rows only
+    first = Window.partitionBy("lang").orderBy("rank", "idx", "val")  # over the drawn texts only, some max_rows
     kept = sparse.withColumn("n", F.row_number().over(first)).where(F.col("n") <= share)
     return fit([(r["lang"], bytes(r["idx"]), bytes(r["val"])) for r in kept.select("lang", "idx", "val").collect()])
 
@@ -247,7 +250,7 @@ def identify_languages(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataF
     """doc_id, held_out, lang_pred and score of every row of docs (doc_id, text, lang); other columns are ignored.
 
     A quarter of the documents, those whose crc32(doc_id) mod 4 is 2, is held out of training. Repeated rows are
-    each predicted. A null doc_id is not held out.
+    each predicted. A null doc_id is not held out. Texts are read whole, however long, a slice at a time.
     """
     slim = docs.select("doc_id", "text", "lang")
     model = train_language_model(slim.where(~held_out(2, 4)), max_rows)

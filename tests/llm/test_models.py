@@ -225,3 +225,18 @@ def test_scores_do_not_depend_on_neighbours():
     assert len(together) == len(texts) and all((a == b).all() for a, b in zip(alone, together))
     assert len(alone[4]) == 1  # no word is cut
     assert len(alone[0]) == 3 and len(alone[3]) == 4 and len(alone[2]) == 0 and len(alone[5]) == 900_000
+
+
+def test_a_text_that_many_rows_repeat_is_one_example(spark, monkeypatch):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    (one,) = base.where("lang = 'de'").orderBy("doc_id").limit(1).collect()
+    copies = spark.range(4000).selectExpr("CAST(7 AS BIGINT) AS doc_id").withColumns({"text": F.lit(one.text), "lang": F.lit("de")})
+    drawn = []
+    monkeypatch.setattr(L, "fit", lambda rows: drawn.extend(rows) or L.LanguageModel())
+    L.train_language_model(base.union(copies), max_rows=80)
+    german = [(idx, val) for lang, idx, val in drawn if lang == "de"]
+    assert len(german) > 10 and len(german) == len(set(german))
+    drawn.clear()
+    noise = spark.range(50).selectExpr("id AS doc_id", "'some words' AS text", "concat('n', id) AS lang")
+    L.train_language_model(base.union(noise), max_rows=40, max_languages=3)
+    assert len({lang for lang, _, _ in drawn}) == 3 and len(drawn) <= 40
