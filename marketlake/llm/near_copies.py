@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import free_name, grams, mixed, ship, written
+from .shared import drop_written, free_name, grams, mixed, ship, written
 from .simhash import BLOCKS, LENGTH, anchors
 
 #: Words of a shingle, and the share of their joint shingles that two near copies have in common.
@@ -116,18 +116,28 @@ def _sets(members: DataFrame, texts: DataFrame, rows: DataFrame, words: int) ->
 
     wanted = written(members.join(rows, "node"), "wanted")
     known = texts.join(wanted, "row").select("node", sets("text").alias("x"))
-    return written(known.select("node", "x.s", F.size("x.s").alias("n"), "x.p"), "shingles")
+    out = written(known.select("node", "x.s", F.size("x.s").alias("n"), "x.p"), "shingles")
+    drop_written(wanted)
+    return out
 
 
 def _similar(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v) whose sets of shingles, in known, have at least this similarity. Fingerprints go with all pairs,
-    sets with those that are likely."""
+    sets with those that are likely. The table of sets, known, goes."""
     of = lambda name, *columns: known.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}{name}") for c in columns])
     both = pairs.join(of("u", "n", "p"), "u").join(of("v", "n", "p"), "v")
     near = written(both.where(_may_be(F.col("nu"), F.col("nv"), F.col("pu"), F.col("pv"), FINE, FINE_BITS, similarity)).select("u", "v"), "near")
     both = near.join(of("u", "s"), "u").join(of("v", "s"), "v")
     shared = F.size(F.array_intersect("su", "sv"))
-    return written(both.where(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v"), "similar")
+    out = written(both.where(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v"), "similar")
+    _drop(near, known)
+    return out
+
+
+def _drop(*tables: DataFrame) -> None:
+    """Deletes tables that nothing reads any more, so that no step's tables stay on disk beside the next one's."""
+    for t in tables:
+        drop_written(t)
 
 
 def _may_be(n: Column, m: Column, p: Column, q: Column, prints: int, most: int, similarity: float) -> Column:
@@ -165,10 +175,13 @@ def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WOR
     # a centre of its own for each cell, so that members of one group meet several
     order = F.struct(F.xxhash64("cell", "node").alias("o"), "node")
     centres = homes.groupBy("cell").agg(F.min(order).alias("c"), F.max(order).alias("m")).where("c != m").select("cell", F.col("c.node").alias("centre"))
-    stars = homes.join(written(centres, "centres"), "cell").where(F.col("node") != F.col("centre"))
+    centres = written(centres, "centres")
+    stars = homes.join(centres, "cell").where(F.col("node") != F.col("centre"))
     tested = written(stars.select(*_pair(F.col("node"), F.col("centre"))).distinct(), "pairs")
+    _drop(homes, centres)
     likely = _likely(tested, nodes, similarity)
     linked = _similar(likely, _sets(_members(likely), texts, rows, words), similarity)
+    _drop(likely)
 
     nodes = written(_rooted(nodes, linked), "rooted")
     cell = Window.partitionBy("cell")
@@ -179,12 +192,14 @@ def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WOR
     known = shared.join(nodes.select("node", "root", F.col("n").alias("size"), "compared"), "node")
     reps = known.groupBy("cell", "root").agg(F.min(node).alias("any"), F.min(F.when(home, node)).alias("own"), (F.count_distinct("node") + F.max(F.col("kind").bitwiseAND(SEVERAL))).alias("n"))
     reps = written(reps, "reps")
+    _drop(shared)
     crowded = written(reps.groupBy("cell").agg(F.count("*").alias("roots"), F.max("n").alias("most")).where("roots > 1 AND most > 1").select("cell"), "crowded")
     here = reps.where("own is not null").select("cell", F.col("root").alias("rx"), F.col("own").alias("x"))
     there = reps.select("cell", F.col("root").alias("ry"), F.col("any").alias("y"))
     met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
     met = met.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
     fresh = written(met.join(tested, ["u", "v"], "left_anti"), "pairs")
+    _drop(reps)
     linked = linked.union(_similar(fresh, _sets(_members(fresh), texts, rows, words), similarity))
     if crowded.isEmpty():
         return components(linked)
@@ -196,9 +211,11 @@ def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WOR
     cells = members.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
     x = members.join(written(cells, "cells"), "cell").join(nodes.select("node", F.col("n").alias("size"), "compared"), "node").select("cell", "root", node.alias("x"), home.alias("home"))
     x = written(x, "open")
+    _drop(members)
     y = x.select("cell", F.col("root").alias("ry"), F.col("x").alias("y"))
     rest = x.where("home").join(y, "cell").where((F.col("root") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
     rest = written(rest.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+    _drop(x, tested)
     return components(linked.union(_similar(rest, _sets(_members(rest), texts, rows, words), similarity)))
 
 
@@ -234,4 +251,5 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SI
     best = nodes.join(roots, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     kept = best.select(F.col("k.row").alias(row))
     drop = written(whole.select(row).join(kept, row, "left_anti"), "dropped")
+    _drop(nodes, roots)
     return whole.join(drop, row, "left_anti").select(*columns)
