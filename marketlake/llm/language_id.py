@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import free_name, largest, ship
+from .shared import free_name, largest, ship, small_batches
 
 #: Families of languages by their code; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -183,6 +183,7 @@ def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_la
     is one example. Executors turn the sampled texts into sparse vectors, so what the driver gathers is bounded by
     max_rows and MAX_FEATURES, however long the texts are. Rows without language or letters teach nothing."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("rank", F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 40)))
     each = known.select("lang", "rank").distinct().groupBy("lang").agg(F.count("*").alias("n"))
     sizes = {r["lang"]: r["n"] for r in each.orderBy(F.desc("n"), "lang").limit(max(1, min(max_languages, max_rows))).collect()}
@@ -190,7 +191,7 @@ def train_language_model(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_la
         return LanguageModel()
     share = max_rows // len(sizes)
     limit = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(1 << 40, int((1 << 40) * (1.3 * share + 40) / n)))])
-    drawn = known.where(F.col("rank") < limit[F.col("lang")]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    drawn = known.where(F.col("rank") < limit[F.col("lang")]).dropDuplicates(["lang", "rank"]).select("lang", "rank", "text")
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -215,6 +216,7 @@ def predicted(docs: DataFrame, model: LanguageModel, text: str = "text", to: str
     A null text, and one without letters, is `und` with score 0; so is every text if nothing was learned.
     """
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two weight vectors of 128 KB per pair of languages
 
     @F.pandas_udf("lang_pred string, score double, has_letter boolean")
@@ -228,7 +230,8 @@ def predicted(docs: DataFrame, model: LanguageModel, text: str = "text", to: str
 
 def keep_known_languages(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """docs (doc_id, text, lang and others, of any names) without null texts, texts without letters and texts that fit
-    no learned language: those that the model scores under least_score. A null lang becomes the predicted one.
+    no learned language: those that the model scores under least_score, unless their lang says that it is a learned one (a
+    text of a few words tells the model little). A null lang becomes the predicted one.
 
     If no row has a language, nothing can be learned, and every text with a letter stays. Repeated rows stay; an empty
     table gives an empty one.
@@ -238,7 +241,8 @@ def keep_known_languages(docs: DataFrame, least_score: float = LEAST_SCORE) -> D
     out = predicted(docs, model, to=to)
     if not model.languages:
         return out.where(F.col(f"{to}.has_letter")).drop(to)
-    known = out.where((F.col(f"{to}.lang_pred") != UNKNOWN) & (F.col(f"{to}.score") >= least_score))
+    fits = (F.col(f"{to}.score") >= least_score) | F.coalesce(F.col("lang").isin(model.languages), F.lit(False))
+    known = out.where((F.col(f"{to}.lang_pred") != UNKNOWN) & fits)
     return known.withColumn("lang", F.coalesce("lang", F.col(f"{to}.lang_pred"))).drop(to)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import drop_written, free_name, grams, mixed, ship, written
+from .shared import drop_written, free_name, grams, mixed, ship, small_batches, written
 from .simhash import BLOCKS, LENGTH, anchors
 
 #: Words of a shingle, and the share of their joint shingles that two near copies have in common.
@@ -57,6 +57,7 @@ def _sketched(docs: DataFrame, words: int, to: str) -> DataFrame:
     """docs with a struct column: node (a hash of the set of shingles), n (its size), anchored (fingerprints of the set
     of words) and compared (fingerprints of the set of shingles); texts without words have none."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("node bigint, n int, anchored array<bigint>, compared array<bigint>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

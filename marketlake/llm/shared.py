@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are hashed in one go; a longer text is hashed in slices of this size, but no word is cut.
 BLOCK_BYTES = 1 << 20
+#: Rows of a batch of texts.
+BATCH_ROWS = 1024
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _POSITIONS = 1024
 with np.errstate(over="ignore"):
@@ -42,6 +45,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python tasks get texts in batches of BATCH_ROWS rows at most: batches are sized by rows, and Spark's own
+    number of rows is many MB of texts in the executor and in its Python workers, twice."""
+    if int(spark.conf.get(_ARROW_ROWS)) > BATCH_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local master (tests) gets
     a temporary one; on a cluster it would be another folder on each machine, so that is an error."""
