@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -18,14 +19,13 @@ from .simhash import BLOCKS, LENGTH, anchors
 #: Words of a shingle, and the share of their joint shingles that two near copies have in common.
 WORDS, SIMILARITY = 5, 0.8
 #: Fingerprints of a text's words, and the differing bits at which two of them surely meet at an anchor.
-PRINTS, THRESHOLD = 16, 1
-#: Fingerprints of its shingles. Texts of SIMILARITY differ in 15 % of their bits; a pair is not compared where more than
-#: these differ, of the first 64, of all 256, and of the 2048 that are made for members of pairs: three to five standard
-#: deviations above that. Sets of fewer than LARGE shingles have more even votes and are judged by the first 64 only.
-COMPARED, FIRST_BITS, ALL_BITS = 8, 22, 114
-FINE, FINE_BITS, LARGE = 32, 391, 64
-_SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(FINE)], dtype=np.uint64)
-HOME, SEVERAL = 1, 2
+PRINTS, THRESHOLD = 8, 1
+#: Longs of the parities of a set of shingles: a bit for each of 512 classes of hashes, set if the class has an odd number.
+PARITIES = 8
+#: One of so many shingles is looked at beyond those that must hold a shared one; so many more of them must be shared.
+MORE = 20
+_SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(PRINTS)], dtype=np.uint64)
+_SLACK = 1e-6  # of products of a size and a similarity, so that rounding never excludes a pair
 
 
 def _words(text: str | None) -> np.ndarray:
@@ -53,32 +53,66 @@ def fingerprints(features: np.ndarray, n: int = PRINTS) -> np.ndarray:
     return np.packbits(counts * 2 > len(features), bitorder="little").view(np.uint64)
 
 
-def _sketched(docs: DataFrame, words: int, to: str) -> DataFrame:
+def parities(features: np.ndarray) -> np.ndarray:
+    """PARITIES longs (uint64) of a set of hashes. Those of two sets differ in no more bits than the sets in elements."""
+    odd = np.bincount((features & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def needed(n: int, similarity: float = SIMILARITY) -> int:
+    """How many of its n shingles a set has in common with any similar one, at least."""
+    return ceil(n * similarity - _SLACK)
+
+
+def _needed(n: Column, similarity: float) -> Column:
+    return F.ceil(n * similarity - _SLACK)
+
+
+def _sketched(docs: DataFrame, words: int, similarity: float, to: str) -> DataFrame:
     """docs with a struct column: node (a hash of the set of shingles), n (its size), anchored (fingerprints of the set
-    of words) and compared (fingerprints of the set of shingles); texts without words have none."""
+    of words), compared (parities of the set of shingles) and first (its smallest shingles: as many as may be missing in
+    a similar set, one, and 1 in MORE); texts without words have none."""
     ship(docs.sparkSession)
     small_batches(docs.sparkSession)
 
-    @F.pandas_udf("node bigint, n int, anchored array<bigint>, compared array<bigint>")
+    @F.pandas_udf("node bigint, n int, anchored array<bigint>, compared array<bigint>, first array<bigint>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in texts:
-            nodes, sizes, anchored, compared = [], [], [], []
+            nodes, sizes, anchored, compared, first = [], [], [], [], []
             for text in series:
                 hashes = _words(text if isinstance(text, str) else None)
                 own = _shingles(hashes, words)
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes(), 42))
                 sizes.append(len(own))
                 anchored.append(fingerprints(np.unique(hashes)).view(np.int64) if len(own) else [])
-                compared.append(fingerprints(own, COMPARED).view(np.int64) if len(own) else [])
-            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "n": sizes, "anchored": anchored, "compared": compared})
+                compared.append(parities(own).view(np.int64))
+                first.append(own[: len(own) - needed(len(own), similarity) + 1 + len(own) // MORE].view(np.int64))
+            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "n": sizes, "anchored": anchored, "compared": compared, "first": first})
 
     return docs.withColumn(to, sketch("text"))
 
 
+def _in_play(nodes: DataFrame, similarity: float) -> DataFrame:
+    """node, n, anchored and compared of the nodes that may have a similar one; all others surely have none.
+
+    Let two similar sets of n and m shingles have c in common, so c >= needed(n), needed(m). The k smallest of these are
+    among the n - c + k smallest of the one and the m - c + k smallest of the other. With k = 1 + min(n, m) // MORE they
+    are in `first` of both, and k >= 1 + needed(n) // MORE. So a node that shares fewer of `first` is out. Shared
+    shingles are counted before nodes are joined to them; a shingle of very many nodes is split by Spark (AQE skew join).
+    """
+    each = nodes.select("node", F.explode("first").alias("s"))
+    shared = written(each.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s"), "common")
+    hits = each.join(shared, "s", "left_semi").groupBy("node").agg(F.count("*").alias("hits"))
+    found = nodes.join(hits, "node").where(F.col("hits") >= 1 + F.floor(_needed(F.col("n"), similarity) / MORE))
+    out = written(found.select("node", "n", "anchored", "compared"), "play")
+    _drop(shared)
+    return out
+
+
 def _dealt(nodes: DataFrame, home_only: bool) -> DataFrame:
-    """cell, node and kind of nodes (node, root, anchored): each fingerprint of the words at its own anchor and, unless
-    home_only, at all others within covering radius plus THRESHOLD. Of nodes with one root, a cell gets from a batch the
-    smallest. kind has HOME if the anchor is the node's own, and SEVERAL if it stands for others too."""
+    """cell, node, root and home of nodes (node, root, anchored): each fingerprint of the words at its own anchor (home)
+    and, unless home_only, at all others within covering radius plus THRESHOLD. Of nodes with one root, a cell gets from
+    a batch one at home and one that is not."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -86,53 +120,37 @@ def _dealt(nodes: DataFrame, home_only: bool) -> DataFrame:
                 part = pdf.iloc[at : at + 2048]
                 prints = np.stack(part["anchored"].to_numpy()).astype(np.int64).view(np.uint64)
                 node, root = part["node"].to_numpy(np.int64), part["root"].to_numpy(np.int64)
-                shared_root = part["root"].duplicated(keep=False).to_numpy()
                 for k in range(PRINTS):
                     own, number, anchor = anchors(prints[:, k], 0 if home_only else THRESHOLD)
-                    out = pd.DataFrame({"cell": anchor | k << (LENGTH * BLOCKS), "node": node[number], "kind": np.where(anchor == own[number], HOME, 0)})
-                    yield out[~shared_root[number]]
-                    if shared_root.any():
-                        several = out[shared_root[number]].assign(root=root[number[shared_root[number]]]).sort_values("node")
-                        several["kind"] += SEVERAL * several.duplicated(["cell", "root", "kind"], keep=False)
-                        yield several.drop_duplicates(["cell", "root", "kind"])[["cell", "node", "kind"]]
-
-    # each becomes some 150 rows, so few bytes are dealt out to as many tasks as a large shuffle would get
+                    out = pd.DataFrame({"cell": anchor | k << (LENGTH * BLOCKS), "node": node[number], "root": root[number], "home": anchor == own[number]})
+                    yield out if home_only else out.drop_duplicates(["cell", "root", "home"])
+
+    # each becomes some 80 rows, so few bytes are dealt out to as many tasks as a large shuffle would get
     spread = nodes.select("node", "root", "anchored").where(F.size("anchored") > 0)
     spread = spread.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return spread.mapInPandas(deal, "cell bigint, node bigint, kind int")
-
-
-def _differ(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+    return spread.mapInPandas(deal, "cell bigint, node bigint, root bigint, home boolean")
 
 
 def _sets(members: DataFrame, texts: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """node, s (the set of shingles), n (its size) and p (FINE fingerprints of it) of the members (node). texts has row
-    and text, rows the row of each node; texts stay where they are while members are few."""
+    """node and s (the set of shingles) of the members (node). texts has row and text, rows the row of each node; texts
+    stay where they are while members are few."""
 
-    @F.pandas_udf("s array<bigint>, p array<bigint>")
-    def sets(each: pd.Series) -> pd.DataFrame:
-        found = [shingles(t if isinstance(t, str) else None, words) for t in each]
-        return pd.DataFrame({"s": [s.view(np.int64) for s in found], "p": [fingerprints(s, FINE).view(np.int64) for s in found]})
+    @F.pandas_udf("array<bigint>")
+    def sets(each: pd.Series) -> pd.Series:
+        return pd.Series([shingles(t if isinstance(t, str) else None, words).view(np.int64) for t in each])
 
     wanted = written(members.join(rows, "node"), "wanted")
-    known = texts.join(wanted, "row").select("node", sets("text").alias("x"))
-    out = written(known.select("node", "x.s", F.size("x.s").alias("n"), "x.p"), "shingles")
+    out = written(texts.join(wanted, "row").select("node", sets("text").alias("s")), "shingles")
     drop_written(wanted)
     return out
 
 
 def _similar(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles, in known, have at least this similarity. Fingerprints go with all pairs,
-    sets with those that are likely. The table of sets, known, goes."""
-    of = lambda name, *columns: known.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}{name}") for c in columns])
-    both = pairs.join(of("u", "n", "p"), "u").join(of("v", "n", "p"), "v")
-    near = written(both.where(_may_be(F.col("nu"), F.col("nv"), F.col("pu"), F.col("pv"), FINE, FINE_BITS, similarity)).select("u", "v"), "near")
-    both = near.join(of("u", "s"), "u").join(of("v", "s"), "v")
+    """The pairs (u, v) whose sets of shingles, in known, have at least this similarity."""
+    of = lambda name: known.select(F.col("node").alias(name), F.col("s").alias(f"s{name}"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v")
     shared = F.size(F.array_intersect("su", "sv"))
-    out = written(both.where(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v"), "similar")
-    _drop(near, known)
-    return out
+    return written(both.where(shared / (F.size("su") + F.size("sv") - shared) >= similarity).select("u", "v"), "similar")
 
 
 def _drop(*tables: DataFrame) -> None:
@@ -141,22 +159,17 @@ def _drop(*tables: DataFrame) -> None:
         drop_written(t)
 
 
-def _may_be(n: Column, m: Column, p: Column, q: Column, prints: int, most: int, similarity: float) -> Column:
-    """Whether sets of these sizes and fingerprints may be similar."""
-    bits = reduce(lambda a, b: a + b, (_differ(F.get(p, F.lit(k)), F.get(q, F.lit(k))) for k in range(prints)))
-    return (F.least(n, m) >= F.greatest(n, m) * similarity) & ((F.least(n, m) < LARGE) | (bits <= most))
-
-
-def _members(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def _near(x: Column, y: Column, similarity: float) -> Column:
+    """Whether the sets of nodes (node, n, compared) may be similar: nothing that is gets lost, as similar sets differ in
+    (1 - similarity) / (1 + similarity) of the sum of their sizes at most, and in no fewer elements than parities."""
+    bits = reduce(lambda a, b: a + b, (F.bit_count(F.get(x["compared"], F.lit(k)).bitwiseXOR(F.get(y["compared"], F.lit(k)))) for k in range(PARITIES)))
+    n, m = x["n"], y["n"]
+    return (F.least(n, m) >= F.greatest(n, m) * similarity - _SLACK) & (bits <= (n + m) * ((1 - similarity) / (1 + similarity)) + _SLACK)
 
 
-def _rooted(nodes: DataFrame, linked: DataFrame | None) -> DataFrame:
+def _rooted(nodes: DataFrame, linked: DataFrame) -> DataFrame:
     """nodes with the root of their component, themselves if nothing links them."""
-    if linked is None:
-        return nodes.withColumn("root", F.col("node"))
-    roots = components(linked).select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-    return nodes.drop("root").join(roots, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("_r", "node")).drop("_n", "_r")
+    return nodes.join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _pair(u: Column, v: Column) -> list[Column]:
@@ -164,71 +177,89 @@ def _pair(u: Column, v: Column) -> list[Column]:
 
 
 def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """node and root of each node that is linked to a smaller one; nodes has node, n, anchored and compared, one row a node.
+    """node and root of each node that is linked to a smaller one; nodes has node, n, anchored, compared and first, one
+    row a node. All links between similar nodes of different components are found.
 
-    Two nodes are linked if one of them is at the home anchor of the other and their exact similarity is high enough.
-    Members of one component are never held against each other, so that a group of very many near copies costs little:
-    first each node is held against one other at its home anchors; then, of each component at an anchor, one member
-    against those of other components; and last all members where several meet other components.
+    Only nodes that may have a similar one take part. Those that meet at anchors are linked first: each node is held
+    against one other at its home anchors; then, of each component at an anchor, one member at home against one of every
+    other. What fingerprints do not bring together (much added text) is found from the rarest shingles. Members of one
+    component are not held against each other again, so a group of very many near copies costs little.
     """
-    nodes = _rooted(nodes, None)
-    homes = written(_dealt(nodes, home_only=True).select("cell", "node"), "homes")
+    nodes = _in_play(nodes, similarity)
+    known = _sets(nodes.select("node"), texts, rows, words)
+    tested = _home_pairs(nodes)
+    likely = _likely(tested, nodes, similarity)
+    linked = _similar(likely, known, similarity)
+    _drop(likely)
+
+    rooted = written(_rooted(nodes, linked), "rooted")
+    met = _anchor_pairs(rooted, similarity)
+    fresh = written(met.join(tested, ["u", "v"], "left_anti"), "pairs")
+    linked = linked.union(_similar(fresh, known, similarity))
+    _drop(rooted, met)
+
+    rooted = written(_rooted(nodes, linked), "rooted")
+    met = _rare_pairs(rooted, known, similarity)
+    rest = written(met.join(tested.union(fresh), ["u", "v"], "left_anti"), "pairs")
+    linked = linked.union(_similar(rest, known, similarity))
+    _drop(rooted, met, tested, fresh, rest, known, nodes)
+    return components(linked)
+
+
+def _home_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each node and a centre of each of its home anchors."""
+    homes = written(_dealt(nodes.withColumn("root", F.col("node")), home_only=True).select("cell", "node"), "homes")
     # a centre of its own for each cell, so that members of one group meet several
     order = F.struct(F.xxhash64("cell", "node").alias("o"), "node")
     centres = homes.groupBy("cell").agg(F.min(order).alias("c"), F.max(order).alias("m")).where("c != m").select("cell", F.col("c.node").alias("centre"))
-    centres = written(centres, "centres")
     stars = homes.join(centres, "cell").where(F.col("node") != F.col("centre"))
-    tested = written(stars.select(*_pair(F.col("node"), F.col("centre"))).distinct(), "pairs")
-    _drop(homes, centres)
-    likely = _likely(tested, nodes, similarity)
-    linked = _similar(likely, _sets(_members(likely), texts, rows, words), similarity)
-    _drop(likely)
+    out = written(stars.select(*_pair(F.col("node"), F.col("centre"))).distinct(), "pairs")
+    _drop(homes)
+    return out
 
-    nodes = written(_rooted(nodes, linked), "rooted")
-    cell = Window.partitionBy("cell")
-    dealt = _dealt(nodes, home_only=False)
-    shared = dealt.withColumns({"a": F.min("node").over(cell), "b": F.max("node").over(cell), "h": F.max(F.col("kind").bitwiseAND(HOME)).over(cell)})
-    shared = written(shared.where((F.col("a") != F.col("b")) & (F.col("h") == HOME)).select("cell", "node", "kind"), "shared")
-    node, home = F.struct("node", "size", "compared"), F.col("kind").bitwiseAND(HOME) == HOME
-    known = shared.join(nodes.select("node", "root", F.col("n").alias("size"), "compared"), "node")
-    reps = known.groupBy("cell", "root").agg(F.min(node).alias("any"), F.min(F.when(home, node)).alias("own"), (F.count_distinct("node") + F.max(F.col("kind").bitwiseAND(SEVERAL))).alias("n"))
-    reps = written(reps, "reps")
-    _drop(shared)
-    crowded = written(reps.groupBy("cell").agg(F.count("*").alias("roots"), F.max("n").alias("most")).where("roots > 1 AND most > 1").select("cell"), "crowded")
-    here = reps.where("own is not null").select("cell", F.col("root").alias("rx"), F.col("own").alias("x"))
-    there = reps.select("cell", F.col("root").alias("ry"), F.col("any").alias("y"))
-    met = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
-    met = met.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
-    fresh = written(met.join(tested, ["u", "v"], "left_anti"), "pairs")
-    _drop(reps)
-    linked = linked.union(_similar(fresh, _sets(_members(fresh), texts, rows, words), similarity))
-    if crowded.isEmpty():
-        return components(linked)
-
-    tested = tested.union(fresh)
-    nodes = written(_rooted(nodes, linked), "rooted")
-    members = _dealt(nodes.withColumn("root", F.col("node")), home_only=False).join(crowded, "cell")
-    members = written(members.join(nodes.select("node", "root"), "node"), "members")
-    cells = members.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
-    x = members.join(written(cells, "cells"), "cell").join(nodes.select("node", F.col("n").alias("size"), "compared"), "node").select("cell", "root", node.alias("x"), home.alias("home"))
-    x = written(x, "open")
-    _drop(members)
-    y = x.select("cell", F.col("root").alias("ry"), F.col("x").alias("y"))
-    rest = x.where("home").join(y, "cell").where((F.col("root") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
-    rest = written(rest.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
-    _drop(x, tested)
-    return components(linked.union(_similar(rest, _sets(_members(rest), texts, rows, words), similarity)))
 
+def _anchor_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) that may be similar, of different components, where one is at the home anchor of the other; of each
+    component an anchor has one node at home and one at all."""
+    dealt = written(_dealt(nodes, home_only=False), "dealt")
+    cells = dealt.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("home").alias("h")).where("a != b AND h").select("cell")
+    met = dealt.join(cells, "cell", "left_semi").groupBy("cell", "root").agg(F.min("node").alias("any"), F.min(F.when(F.col("home"), F.col("node"))).alias("own"))
+    met = written(met, "met")
+    _drop(dealt)
+    of = lambda node, name: nodes.select(F.col("node").alias(node), F.struct("node", "n", "compared").alias(name))
+    here = met.where("own is not null").select("cell", F.col("root").alias("rx"), "own").join(of("own", "x"), "own")
+    there = met.select("cell", F.col("root").alias("ry"), "any").join(of("any", "y"), "any")
+    both = here.join(there, "cell").where((F.col("rx") != F.col("ry")) & _near(F.col("x"), F.col("y"), similarity))
+    out = written(both.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct(), "near")
+    _drop(met)
+    return out
 
-def _near(x: Column, y: Column, similarity: float) -> Column:
-    """Whether nodes (node, size, compared) may be similar."""
-    first = _differ(F.get(x["compared"], F.lit(0)), F.get(y["compared"], F.lit(0))) <= FIRST_BITS
-    return first & _may_be(x["size"], y["size"], x["compared"], y["compared"], COMPARED, ALL_BITS, similarity)
+
+def _rare_pairs(nodes: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (u, v) of nodes of different components that may be similar: they share one of the rarest shingles of both.
+
+    In any order of shingles that is the same for all sets, similar ones share one of their n - needed(n) + 1 first. Here
+    those that only one component has come first, then the others, the rarest first: so of a node with more than
+    n - needed(n) shingles of its component's own, nothing is left, and passages of many texts come last.
+    """
+    each = known.join(nodes.select("node", "root"), "node").select("node", "root", F.explode("s").alias("s"))
+    common = each.groupBy("s").agg(F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("s", "c")
+    common = written(common, "common")
+    own = Window.partitionBy("node")
+    heads = each.join(common, "s").withColumns({"rank": F.row_number().over(own.orderBy("c", "s")), "total": F.count("*").over(own)})
+    heads = heads.join(nodes.select("node", "n", "compared"), "node").where(F.col("rank") <= F.col("total") - _needed(F.col("n"), similarity) + 1)
+    heads = written(heads.select("s", "root", F.struct("node", "n", "compared").alias("x")), "heads")
+    _drop(common)
+    others = heads.select("s", F.col("root").alias("ry"), F.col("x").alias("y"))
+    both = heads.join(others, "s").where((F.col("root") != F.col("ry")) & (F.col("x.node") < F.col("y.node")) & _near(F.col("x"), F.col("y"), similarity))
+    out = written(both.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct(), "near")
+    _drop(heads)
+    return out
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sizes and fingerprints do not rule out that they are similar."""
-    of = lambda name: nodes.select(F.col("node").alias(name), F.struct("node", F.col("n").alias("size"), "compared").alias(f"of_{name}"))
+    """The pairs whose sizes and parities do not rule out that they are similar."""
+    of = lambda name: nodes.select(F.col("node").alias(name), F.struct("node", "n", "compared").alias(f"of_{name}"))
     both = pairs.join(of("u"), "u").join(of("v"), "v")
     return written(both.where(_near(F.col("of_u"), F.col("of_v"), similarity)).select("u", "v"), "likely")
 
@@ -243,12 +274,13 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SI
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     row, sketch = free_name(docs, "row"), free_name(docs, "sketch")
-    whole = written(_sketched(docs, words, sketch).withColumn(row, F.monotonically_increasing_id()), "sketched")
+    whole = written(_sketched(docs, words, similarity, sketch).withColumn(row, F.monotonically_increasing_id()), "sketched")
     k = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     slim = whole.select(F.col(f"{sketch}.*"), k.alias("k"))
-    nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("anchored").alias("anchored"), F.first("compared").alias("compared")), "nodes")
+    sketches = [F.first(c).alias(c) for c in ("n", "anchored", "compared", "first")]
+    nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), *sketches), "nodes")
     texts, rows = whole.select(F.col(row).alias("row"), "text"), nodes.select("node", F.col("k.row").alias("row"))
-    roots = written(groups(nodes.select("node", "n", "anchored", "compared"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
+    roots = written(groups(nodes.drop("k"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
     best = nodes.join(roots, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     kept = best.select(F.col("k.row").alias(row))
     drop = written(whole.select(row).join(kept, row, "left_anti"), "dropped")

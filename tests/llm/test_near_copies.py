@@ -91,3 +91,50 @@ def test_columns_of_any_name(spark):
     out = C.drop_near_copies(df)
     assert out.columns == df.columns
     assert sorted(tuple(r)[:6] for r in out.collect()) == [(1, "one two three", "a", 5, "s", "mine"), (3, None, "c", 7, "u", "mine")]
+
+
+@pytest.mark.parametrize("kind", ["appended", "replaced", "removed", "middle"])
+def test_recall_near_the_threshold(spark, kind):
+    """Pairs of similarity 0.8 to 0.85 are all found, whatever was done to the words."""
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        size = rng.randrange(40, 400)
+        words, other = [f"p{i}w{rng.randrange(5000)}" for _ in range(size)], None
+        n = size - 4
+        if kind == "appended":  # all of it new words
+            other = words + [f"a{i}x{k}" for k in range(int(n / 0.81) - n)]
+        elif kind == "removed":
+            other = words[: size - int(n * 0.18)]
+        elif kind == "middle":
+            other = [*words[: size // 2], *[f"m{i}x{k}" for k in range(max(1, int(n / 0.84) - n - 4))], *words[size // 2 :]]
+        else:
+            other = list(words)
+            for k in range(5, size - 5, 100):
+                other[k] = f"r{i}x{k}"
+        rows += [(2 * i, " ".join(words), None, None, 0), (2 * i + 1, " ".join(other), None, None, 0)]
+    got = sorted(r.doc_id for r in C.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect())
+    want = brute_kept([r[:2] for r in rows])
+    assert got == want and len(want) < 70
+
+
+def test_sets_of_one_passage(spark):
+    """A passage that all texts hold is neither a link nor a reason to compare them; sizes and parities lose no link."""
+    rng = random.Random(6)
+    passage = [f"s{k}" for k in range(60)]
+    rows = [(i, " ".join([*passage, *[f"t{i}w{k}" for k in range(rng.randrange(5, 60))]]), None, None, 0) for i in range(300)]
+    rows += [(1000 + i, f"a short text of number {i % 7} and no more {i % 3}", None, None, 0) for i in range(40)]
+    got = sorted(r.doc_id for r in C.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == brute_kept([r[:2] for r in rows])
+
+
+def test_bounds_against_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        common, a, b = (rng.integers(0, 1 << 64, rng.integers(0, n), dtype=np.uint64) for n in (300, 40, 40))
+        x, y = np.union1d(common, a), np.union1d(common, b)
+        differ = int(np.bitwise_count(C.parities(x) ^ C.parities(y)).sum())
+        assert differ <= len(np.setxor1d(x, y))
+        if len(x) and len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)):
+            assert len(np.intersect1d(x, y)) >= max(C.needed(len(x)), C.needed(len(y)))
+            first = [s[: len(s) - C.needed(len(s)) + 1 + len(s) // C.MORE] for s in (x, y)]
+            assert len(np.intersect1d(*first)) >= 1 + max(C.needed(len(x)), C.needed(len(y))) // C.MORE
