@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -131,3 +132,33 @@ def test_scan(spark):
     more = {r.doc_id: r.spans for r in out}
     assert more[6] == f"private_key:0:{len(pem)}" and more[7].startswith("code_host:0:40")
     assert S.scan_secrets(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("pattern, text", [(r"(?i)secretkey", "\u017fecretKey"), (r"(?i)tokenkey", "to\u212aenkey"), (r"ab\u0130cd", "ab\u0130cd"), (r"(?i)ab\u0130cd", "ABicd"), (r"(?i:wiki)page", "w\u0131kipage")])
+def test_rules_beyond_ascii(pattern, text):
+    """Where a regex matches characters beyond ASCII, its query asks for nothing that they would have to be."""
+    assert re.search(pattern, text)
+    query = S.trigram_query(pattern)
+    index = S.ShardIndex([text, "other"], {g for s in query or () for g in s})
+    assert 0 in index.candidates(query)
+
+
+def test_queries_where_case_is_ignored():
+    assert S.trigram_query(r"(?i)needed_x") == {frozenset(("nee", "eed", "ede", "ded", "ed_", "d_x"))}
+    assert S.trigram_query(r"(?ai)secret") == {frozenset(("sec", "ecr", "cre", "ret"))}
+    assert S.trigram_query(r"(?i)secret") == {frozenset(("ecr", "cre", "ret"))}
+    assert S.trigram_query(r"(?i)(?-i:skip)x") == {frozenset(("ski", "kip", "ipx"))}
+
+
+def test_shards_are_cut_by_rows_and_bytes():
+    sizes = [5, 5, 100, 1, 1, 1, 1, 0]
+    cut = list(S.shards(sizes, 3, 10))
+    assert cut == [(0, 2), (2, 1), (3, 3), (6, 2)]
+    assert all(n <= 3 and sum(sizes[a : a + n - 1]) < 10 for a, n in cut) and list(S.shards([], 3, 10)) == []
+
+
+@given(st.lists(st.text(alphabet="abcABC", max_size=30), max_size=8), st.integers(1, 7))
+def test_slices_of_a_shard(texts, size):
+    trigrams = {"abc", "bca", "aaa"}
+    whole, sliced = S.ShardIndex(texts, trigrams), S.ShardIndex(texts, trigrams, size)
+    assert {g: p.tolist() for g, p in whole.postings.items()} == {g: p.tolist() for g, p in sliced.postings.items()}
