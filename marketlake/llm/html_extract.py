@@ -58,10 +58,13 @@ _GOES_WITH = {"with", "without", "no", "not", "non", "has", "have", "is", "hide"
 _PARTS, _OWN = {"header", "widget"}, {"article", "body", "chapter", "content", "entry", "main", "post", "section", "story", "text"}
 
 
+_HEADING, _HEADER_OF = re.compile("h[1-6]"), "header of "
+
+
 @dataclass
 class Block:
-    """A block's text and where it stands: in an article, in the main element (or an article there), in noise, or open
-    (nothing says)."""
+    """A block's text and where it stands: in an article, in the main element (or an article there), in noise, in what only
+    its name calls noise (named), or open (nothing says)."""
 
     text: str
     zone: str
@@ -84,6 +87,10 @@ def _zone(name: str, attributes: str, outer: str) -> str:
     marks = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
     names = [w for k in ("class", "id", "role") for w in marks.get(k, "").split()]
     noise = _OTHER_ARTICLES if name == "article" else _NOISE_WORDS
+    if outer.startswith(_HEADER_OF):  # the head of a story: its title belongs to the story
+        return outer.removeprefix(_HEADER_OF) if _HEADING.fullmatch(name) else "noise" if name in _NOISE else outer
+    if name == "header" and outer in ("article", "main article"):
+        return _HEADER_OF + outer
     if name in _NOISE:
         return "form" if name == "form" and outer != "noise" else "noise"
     if outer == "noise":
@@ -109,7 +116,7 @@ def blocks(page: str) -> list[Block]:
         if buffer:
             text = " ".join("".join(map(html.unescape, buffer)).split())
             if text:
-                out.append(Block(text, "noise" if zone in ("form", "noise by name", "noise in main") else zone))
+                out.append(Block(text, "named" if zone == "noise by name" else "noise" if zone in ("form", "noise in main") or zone.startswith(_HEADER_OF) else zone))
             buffer.clear()
 
     while at < n:
@@ -157,9 +164,12 @@ def roles(page: str | None) -> list[tuple[str, str, bool]]:
     """The blocks of a page: text, role and whether repeats of it count.
 
     Roles: "noise" by its own markup; "text", of which only boilerplate goes; "beside" a main element or article. What
-    stands inside these does not count as repeated: articles quote each other, menus do not stand in them.
+    stands inside these does not count as repeated: articles quote each other, menus do not stand in them. A name alone
+    makes noise only of a part of a page: where all other text is noise, the runs decide on what is named too.
     """
     found = blocks(page or "")
+    only_named = all(b.zone in ("noise", "named") for b in found)
+    found = [Block(b.text, "open" if only_named else "noise") if b.zone == "named" else b for b in found]
     zones = {b.zone for b in found}
     own = {"main", "main article"} if zones & {"main", "main article"} else {"article"} & zones
     role = {z: "noise" if z == "noise" else "beside" if own and z == "open" else "text" for z in zones}

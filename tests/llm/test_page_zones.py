@@ -46,3 +46,21 @@ def test_runs_of_the_host_decide_on_articles_beside_main(spark):
 
 def test_tags_part_character_references():
     assert text("<article>am&am<b>p;</b> x &amp;</article>") == "am&amp; x &"
+
+
+def test_a_name_alone_does_not_hide_a_whole_page():
+    assert text('<div class="promotion"><h1>Promotion to the league</h1><p>They won.</p></div>') == "Promotion to the league\nThey won."
+    assert text('<nav>menu</nav><div class="promotion"><p>They won.</p></div><footer>f</footer>') == "They won."
+    assert text('<div class="promotion"><p>Buy</p></div><p>They won.</p>') == "They won."
+
+
+def test_runs_decide_on_a_page_that_is_only_named(spark):
+    menu = " ".join(f"entry{i}" for i in range(12))
+    rows = [(i, f"http://a.example/{i}", page(f'<div class="widget"><p>{menu}</p><p>story {i} of its own</p></div>')) for i in range(4)]
+    out = H.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {r.page_id: r.text for r in out.collect()} == {i: f"story {i} of its own" for i in range(4)}
+
+
+def test_title_in_the_header_of_an_article():
+    assert text("<header><h1>Site</h1></header><article><header><h1>The title</h1><p>By one</p><nav><h2>no</h2></nav></header><p>a</p></article>") == "The title\na"
+    assert text("<article><header class='x'><div><h2>T <em>x</em></h2></div>date</header><p>a</p><footer><h3>no</h3></footer></article>") == "T x\na"
