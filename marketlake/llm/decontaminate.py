@@ -9,10 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import grams, ship, token_hashes
+from .shared import drop_written, grams, ship, token_hashes, written
 
 #: Share of an item's words that may differ: similarity of 0.8 or more.
 ERROR_RATE = 0.2
@@ -184,7 +184,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = ERRO
     words, anywhere in the whole text). Returns doc_id, item_id, item_words, distance, start_word and end_word of the
     best match (the leftmost of equals). docs needs doc_id and text, benchmark item_id and text; other columns are
     ignored. The benchmark is sent to tasks in blocks of bounded size, each matched against all documents; documents
-    are never shuffled.
+    are never shuffled. Of several blocks one is held at a time: its matches are written before the next one is sent.
 
     Defined cases: null and empty texts match nothing; items of fewer than min_words words are searched without an error; repeated
     items count once, repeated documents are each reported; null ids are reported as null; an empty benchmark or table
@@ -193,8 +193,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = ERRO
     ship(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = ["doc_id", "item_id", "item_words", "distance", "start_word", "end_word"]
-    out = None
-    for items in blocks_of(benchmark):
+    out, blocks = None, blocks_of(benchmark)
+    items = next(blocks, None)
+    while items is not None:
         sent = docs.sparkSession.sparkContext.broadcast(Pieces(items, rate, min_words))
 
         def match(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -209,20 +210,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = ERRO
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 6, names=names)
 
         part = slim.mapInArrow(match, ", ".join(f"{n} bigint" for n in names))
+        items = next(blocks, None)
+        if items is not None or out is not None:
+            part = written(part, "matches")
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
     return slim.sparkSession.createDataFrame([], ", ".join(f"{n} bigint" for n in names)) if out is None else out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min_words: int = MIN_WORDS, text: str = "text") -> Column | None:
-    """A Boolean column that tells, row by row, whether a text holds an item of the benchmark; None without items."""
-    ship(docs.sparkSession)
-    flag: Column | None = None
-    for items in blocks_of(benchmark):
-        here = _holder(docs.sparkSession.sparkContext.broadcast(Pieces(items, rate, min_words)))(F.col(text))
-        flag = here if flag is None else flag | here
-    return flag
-
-
 def _holder(sent):
     @F.pandas_udf("boolean")
     def holds(each: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -233,6 +228,18 @@ def _holder(sent):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs without the documents that find_contamination would report, all columns kept, nothing shuffled."""
-    flag = contaminated(docs, benchmark, rate, min_words)
-    return docs if flag is None else docs.where(~flag)
+    """docs without the documents that find_contamination would report, all columns kept, nothing shuffled. Of several
+    blocks of the benchmark one is held at a time: what is clean of it is written, and only that meets the next one."""
+    ship(docs.sparkSession)
+    kept, before, blocks = docs, None, blocks_of(benchmark)
+    items = next(blocks, None)
+    while items is not None:
+        sent = docs.sparkSession.sparkContext.broadcast(Pieces(items, rate, min_words))
+        kept, items = kept.where(~_holder(sent)(F.col("text"))), next(blocks, None)
+        if items is not None:
+            kept = written(kept, "clean")
+            sent.destroy()
+            if before is not None:
+                drop_written(before)
+            before = kept
+    return kept
