@@ -183,9 +183,11 @@ def groups(nodes: DataFrame, texts: DataFrame, rows: DataFrame, words: int = WOR
     Only nodes that may have a similar one take part. Those that meet at anchors are linked first: each node is held
     against one other at its home anchors; then, of each component at an anchor, one member at home against one of every
     other. What fingerprints do not bring together (much added text) is found from the rarest shingles. Members of one
-    component are not held against each other again, so a group of very many near copies costs little.
+    component are not held against each other again, so a group of very many near copies costs little. A table that
+    nodes is read from goes.
     """
-    nodes = _in_play(nodes, similarity)
+    every, nodes = nodes, _in_play(nodes, similarity)
+    _drop(every)
     known = _sets(nodes.select("node"), texts, rows, words)
     tested = _home_pairs(nodes)
     likely = _likely(tested, nodes, similarity)
@@ -278,9 +280,10 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SI
     k = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     slim = whole.select(F.col(f"{sketch}.*"), k.alias("k"))
     sketches = [F.first(c).alias(c) for c in ("n", "anchored", "compared", "first")]
-    nodes = written(slim.groupBy("node").agg(F.min("k").alias("k"), *sketches), "nodes")
+    sketched = written(slim.groupBy("node").agg(F.min("k").alias("k"), *sketches), "nodes")
+    nodes = written(sketched.select("node", "k"), "keys")
     texts, rows = whole.select(F.col(row).alias("row"), "text"), nodes.select("node", F.col("k.row").alias("row"))
-    roots = written(groups(nodes.drop("k"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
+    roots = written(groups(sketched.drop("k"), texts, rows, words, similarity).select(F.col("node").alias("_n"), "root"), "roots")
     best = nodes.join(roots, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     kept = best.select(F.col("k.row").alias(row))
     drop = written(whole.select(row).join(kept, row, "left_anti"), "dropped")
