@@ -187,3 +187,14 @@ def test_files_by_name(spark, tmp_path):
 def test_levels_without_identity(spark):
     pages = spark.createDataFrame([("A", 1, ([["0.4", "1"]], None))], "market_ticker string, ts_ms bigint, orderbook_fp struct<yes_dollars:array<array<string>>,no_dollars:array<array<string>>>")
     assert [(r.side, r.cumulative_qty) for r in normalize.book_levels(pages).collect()] == [("YES", 1.0)]
+
+
+def test_a_batch_is_noted_in_one_unsorted_folder_and_names_files_only_where_something_is_wrong(spark, tmp_path):
+    candle = lambda volume: {"end_period_ts": "86400", "volume": volume}
+    page = lambda volume: {"market_ticker": "A", "tape": "historical", "period_minutes": 1440, "start_ts": 0, "ingest_ts": 1, "candlesticks": [candle(volume)]}
+    put(tmp_path / "in", "a.json", page("1.5"), page("n/a"), '{"market_ticker": "A"')
+    pages = spark.read.schema(schemas.CANDLE_PAGE).json(str(tmp_path / "in")).select("*", F.col("_metadata.file_path").alias("_file"))
+    folder, counts = feeds._noted(pages, "candles", str(tmp_path / "lake"), feeds.feeds()["candles"][2], None, "run")
+    assert {k: n for k, n in counts.items() if n} == {("daily", "good"): 1, ("daily", "bad"): 1, ("candles", "page"): 1}
+    assert not [f for f in (tmp_path / "lake" / "_batches" / "candles" / "run").iterdir() if f.is_dir()]
+    assert sorted((r.target, r.verdict, r.file is not None) for r in spark.read.parquet(folder).collect()) == [("candles", "page", True), ("daily", "bad", True), ("daily", "good", False)]
