@@ -198,3 +198,12 @@ def test_a_batch_is_noted_in_one_unsorted_folder_and_names_files_only_where_some
     assert {k: n for k, n in counts.items() if n} == {("daily", "good"): 1, ("daily", "bad"): 1, ("candles", "page"): 1}
     assert not [f for f in (tmp_path / "lake" / "_batches" / "candles" / "run").iterdir() if f.is_dir()]
     assert sorted((r.target, r.verdict, r.file is not None) for r in spark.read.parquet(folder).collect()) == [("candles", "page", True), ("daily", "bad", True), ("daily", "good", False)]
+
+
+def test_the_focus_of_books_may_be_a_table(spark, tmp_path):
+    book = lambda ticker: {"market_ticker": ticker, "ts_ms": 0, "ingest_ts": 1, "page": 0, "orderbook_fp": {"yes_dollars": [["0.5", "1"]]}}
+    put(tmp_path / "in" / "orderbook", "a.json", book("A"), book("B"), book("C"), book(None), '{"market_ticker"')
+    focus, root = spark.createDataFrame([("A",), ("C",), ("C",), (None,)], "market_ticker string"), str(tmp_path / "lake")
+    feeds.start_feed(spark, "orderbook", str(tmp_path / "in"), root, focus=focus, once=True).awaitTermination()
+    assert sorted(r.market_ticker for r in U.read_table(spark, root, U.tables()["orderbook"]).collect()) == ["A", "C"]
+    assert sorted(r.reason for r in spark.read.parquet(f"{root}/quarantine").collect()) == ["broken page", "no market_ticker"]
