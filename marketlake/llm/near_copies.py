@@ -24,6 +24,8 @@ PRINTS, THRESHOLD = 8, 1
 PARITIES = 8
 #: One of so many shingles is looked at beyond those that must hold a shared one; so many more of them must be shared.
 MORE = 20
+#: So many shared shingles that come just before one are kept with it, to tell whether two sets have met before it.
+BEFORE = 4
 _SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(PRINTS)], dtype=np.uint64)
 _SLACK = 1e-6  # of products of a size and a similarity, so that rounding never excludes a pair
 
@@ -244,19 +246,39 @@ def _rare_pairs(nodes: DataFrame, known: DataFrame, similarity: float) -> DataFr
     those that only one component has come first, then the others, the rarest first: so of a node with more than
     n - needed(n) shingles of its component's own, nothing is left, and passages of many texts come last.
     """
+    heads = _heads(nodes, known, similarity)
+    out = written(_sharing(heads, similarity).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct(), "near")
+    _drop(heads)
+    return out
+
+
+def _heads(nodes: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """s, root and x of each node's rarest shingles; x is the node with left, how many shared shingles come after s, and
+    before, the last BEFORE of those before it."""
     each = known.join(nodes.select("node", "root"), "node").select("node", "root", F.explode("s").alias("s"))
     common = each.groupBy("s").agg(F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("s", "c")
     common = written(common, "common")
     own = Window.partitionBy("node")
-    heads = each.join(common, "s").withColumns({"rank": F.row_number().over(own.orderBy("c", "s")), "total": F.count("*").over(own)})
+    heads = each.join(common, "s").withColumns({
+        "rank": F.row_number().over(own.orderBy("c", "s")), "total": F.count("*").over(own),
+        "before": F.collect_list("s").over(own.orderBy("c", "s").rowsBetween(-BEFORE, -1)),
+    })
     heads = heads.join(nodes.select("node", "n", "compared"), "node").where(F.col("rank") <= F.col("total") - _needed(F.col("n"), similarity) + 1)
-    heads = written(heads.select("s", "root", F.struct("node", "n", "compared").alias("x")), "heads")
+    heads = heads.withColumn("left", F.col("total") - F.col("rank"))
+    heads = written(heads.select("s", "root", F.struct("node", "n", "compared", "left", "before").alias("x")), "heads")
     _drop(common)
+    return heads
+
+
+def _sharing(heads: DataFrame, similarity: float) -> DataFrame:
+    """x and y for each shingle that heads of different components share and that may be the first which two similar nodes
+    share: none of those just before it is shared, and all others that are come after it, so both have enough left. The
+    first one of a pair of similar nodes surely is among them, so no pair is lost; hardly any other row is made of it."""
     others = heads.select("s", F.col("root").alias("ry"), F.col("x").alias("y"))
-    both = heads.join(others, "s").where((F.col("root") != F.col("ry")) & (F.col("x.node") < F.col("y.node")) & _near(F.col("x"), F.col("y"), similarity))
-    out = written(both.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct(), "near")
-    _drop(heads)
-    return out
+    x, y = F.col("x"), F.col("y")
+    enough = 1 + F.least(x["left"], y["left"]) >= (x["n"] + y["n"]) * (similarity / (1 + similarity)) - _SLACK
+    both = heads.join(others, "s").where((F.col("root") != F.col("ry")) & (x["node"] < y["node"]) & enough & ~F.arrays_overlap(x["before"], y["before"]) & _near(x, y, similarity))
+    return both.select("x", "y")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:

@@ -138,3 +138,24 @@ def test_bounds_against_brute_force():
             assert len(np.intersect1d(x, y)) >= max(C.needed(len(x)), C.needed(len(y)))
             first = [s[: len(s) - C.needed(len(s)) + 1 + len(s) // C.MORE] for s in (x, y)]
             assert len(np.intersect1d(*first)) >= 1 + max(C.needed(len(x)), C.needed(len(y))) // C.MORE
+
+
+def test_rarest_shingles_of_a_group(spark):
+    """Texts of one group that are not similar enough meet at few of the shingles that they share, similar ones at one at least."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(400), rng.randrange(4, 7)):
+            words[at] = f"x{i}p{at}"
+        rows.append((i, " ".join(words)))
+    sets = [C.shingles(t) for _, t in rows]
+    known = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "node bigint, s array<bigint>")
+    nodes = spark.createDataFrame([(i, i, len(s), C.parities(s).view(np.int64).tolist()) for i, s in enumerate(sets)], "node bigint, root bigint, n int, compared array<bigint>")
+    heads = C._heads(nodes, known, 0.8)
+    met = [(r.u, r.v) for r in C._sharing(heads, 0.8).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).collect()]
+    similar = {(i, j) for j in range(120) for i in range(j) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    assert len(similar) > 100 and similar <= set(met)
+    every = heads.alias("a").join(heads.alias("b"), "s").where(C._near(F.col("a.x"), F.col("b.x"), 0.8) & (F.col("a.x.node") < F.col("b.x.node")))
+    assert len(met) < every.count() / 5
