@@ -122,3 +122,16 @@ def test_a_large_partition_is_several_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
     sizes = [r["count"] for r in stored(spark, root).groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) > 1 and max(sizes) < 3000
+
+
+def test_series_are_looked_up_once(spark, tmp_path):
+    """Rows are not shuffled to learn their tickers' series: what is noted for a run is a small table, and stays as first noted."""
+    hourly, root = U.tables()["hourly"], str(tmp_path / "t")
+    rows = spark.range(2000).select(F.concat(F.lit("T"), (F.col("id") % 7).cast("string")).alias("market_ticker"), F.when(F.col("id") > 9, "B").otherwise("A").alias("series_ticker"))
+    rows.write.parquet(str(tmp_path / "new"))
+    rows = spark.read.parquet(str(tmp_path / "new"))
+    U._series(rows.where("series_ticker = 'A'"), root, hourly, str(tmp_path / "first"))
+    placed = U._in_their_series(rows, U._series(rows, root, hourly, str(tmp_path / "second")))
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Aggregate" not in plan and "hashpartitioning" not in plan
+    assert placed.count() == 2000 and {r.series_ticker for r in placed.distinct().collect()} == {"A"}
