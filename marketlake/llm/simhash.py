@@ -117,7 +117,8 @@ def links(fingerprints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     Each is replicated to the anchors around it; at the anchor of the smaller one of a pair the two meet. The join
     keeps only pairs within the threshold, so neither all pairs at an anchor nor copies are ever rows; Spark splits an
-    anchor that many fingerprints share (AQE skew join).
+    anchor that many fingerprints share (AQE skew join). It is told to sort and merge: it takes replicas to be as few as
+    fingerprints and would broadcast them through the driver, some sixty rows for each.
     """
     ship(fingerprints.sparkSession)
 
@@ -133,7 +134,7 @@ def links(fingerprints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     dealt = spread.mapInPandas(deal, "anchor bigint, v bigint, home boolean")
     at_home = dealt.where("home").select("anchor", F.col("v").alias("u"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= threshold
-    return at_home.join(dealt.select("anchor", "v"), "anchor").where((F.col("u") < F.col("v")) & near).select("u", "v")
+    return at_home.join(dealt.select("anchor", "v").hint("merge"), "anchor").where((F.col("u") < F.col("v")) & near).select("u", "v")
 
 
 def classes(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -153,14 +154,15 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     Fingerprints are computed once and written to the shared folder; equal ones are one node, so copies cost nothing
     more. Null and empty texts have fingerprint zero and link like any other. Null ids take part and are never the
-    smallest; a component of null ids has a null component_id. Repeated rows are each returned.
+    smallest; a component of null ids has a null component_id. Repeated rows are each returned. Tables of fingerprints are
+    small as files and not in memory, so they are joined by sorting and none is broadcast.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     prints = written(fingerprinted(slim).select("doc_id", F.col("__fingerprint").alias("f")), "fingerprints")
     nodes = written(_with_root(prints.groupBy("f").agg(F.min("doc_id").alias("first")), threshold), "nodes")
     ids = nodes.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
-    named = nodes.join(ids, F.col("root") == F.col("r")).select(F.col("f").alias("__f"), "component_id")
-    return prints.join(named, F.col("f") == F.col("__f")).select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+    named = nodes.join(ids.hint("merge"), F.col("root") == F.col("r")).select(F.col("f").alias("__f"), "component_id")
+    return prints.join(named.hint("merge"), F.col("f") == F.col("__f")).select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

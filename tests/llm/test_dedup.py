@@ -85,6 +85,14 @@ def test_near_duplicates_against_brute_force(spark):
     assert S.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_fingerprints_and_their_replicas_are_never_broadcast(spark):
+    docs = spark.createDataFrame([(i, f"w{i} x{i} y{i}") for i in range(9)], "doc_id bigint, text string")
+    prints = spark.range(9).select(F.xxhash64("id").alias("f"))
+    for found in (S.links(prints), S.near_duplicates(docs)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_chains_of_fingerprints(spark):
     rng = random.Random(3)
     prints = []
