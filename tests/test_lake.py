@@ -134,6 +134,32 @@ def test_pages_that_cannot_be_taken(spark, tmp_path):
     assert [r.dataset for r in quality.broken_pages(pages, "listings").collect()] == ["listings"]
 
 
+def test_tickers_of_pages_that_cannot_be_taken_are_skipped_by_name(spark, tmp_path):
+    page = lambda ticker, **more: {"market_ticker": ticker, "tape": "historical", "period_minutes": 1440, "ingest_ts": 1, **more, "candlesticks": [{"end_period_ts": 60, "volume": "1"}]}
+    cut = lambda ticker: json.dumps(page(ticker))[:-30]
+    first = '{"market_ticker" :"C\\u003e1 \\"x\\"", "candlesticks": [{"end'  # escapes
+    put(tmp_path / "in" / "candles", "1.json", page("A"), page("A", period_minutes=7), cut("B"), cut("B"), first, '{"market_ticker": "D', "not json at all")
+    book = {"market_ticker": "E", "ts_ms": 1, "orderbook_fp": {"yes_dollars": [["0.4", "1"]]}}
+    put(tmp_path / "in" / "orderbook", "1.json", book, json.dumps({**book, "market_ticker": "F"})[:-9])
+    root = str(tmp_path / "lake")
+    for feed in ("candles", "orderbook"):
+        feeds.start_feed(spark, feed, str(tmp_path / "in"), root, focus=["E"], once=True).awaitTermination()
+    bad = spark.read.parquet(f"{root}/quarantine").collect()
+    assert sorted((r.dataset, r.market_ticker or "", r.reason) for r in bad) == [
+        ("candles", "", "broken page"), ("candles", "", "broken page"), ("candles", "A", "no such period 7"), ("candles", "B", "broken page"), ("candles", "B", "broken page"),
+        ("candles", 'C>1 "x"', "broken page"), ("orderbook", "F", "broken page"),
+    ]
+    runs = {r.target: (r.processed, r.skipped, r.broken_pages) for r in quality.run_summaries(spark, root).collect()}
+    assert (runs["daily"], runs["candles"], runs["orderbook"]) == ((1, 0, 0), (0, 3, 6), (1, 1, 1))
+
+
+def test_tickers_in_texts_of_any_length(spark):
+    texts = {'{"market_ticker":"A\\\\","x': "A\\", '{"market_ticker":"A\\\\\\"b","x': 'A\\"b', '{"market_ticker":"","x': "", '{"market_ticker":"A\\': None, '{"market_ticker":null,"x": "': None, '{"market_ticker":"\\q","x': None}
+    texts['{"market_ticker":"' + '\\"' * 300_000 + '","x'] = '"' * 300_000
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select("text", landing._named_in("text").alias("ticker")).collect()
+    assert [r.ticker == texts[r.text] for r in found] == [True] * len(texts)
+
+
 def test_candle_pages_are_parsed_once(spark, tmp_path):
     put(tmp_path / "candles", "1.json", {"market_ticker": "A", "period_minutes": 1, "candlesticks": []})
     _, schema, rows_of = feeds.feeds()["candles"]
